@@ -24,7 +24,7 @@ from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
-from fundsieve.llm.words import mix, powers, utf8
+from fundsieve.llm.words import mix, powers, slices, utf8
 
 PIECE = 1 << 22
 MEMORY = 2_000_000
@@ -240,7 +240,7 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
 
     def run(batches):
         codec = Codec.get(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             if offsets:
                 rows = [codec.encode([t or ""])[0] for t in b.column(1).to_pylist()]
                 parts = [[e.ids for e in rows], *([[x[i] for x in e.offsets] for e in rows] for i in (0, 1))]
@@ -269,7 +269,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         codec = Codec.get(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             n, ids, back = zip(*codec.digests(b.column(1)), strict=True) if b.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

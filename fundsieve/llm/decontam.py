@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundsieve.llm.words import gram_hashes, mix, word_hashes
+from fundsieve.llm.words import gram_hashes, mix, slices, word_hashes
 
 SAMPLED = 3
 WALK_SEED = 20240611
@@ -175,7 +175,7 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.8, recall: fl
         index = spark.sparkContext.broadcast(Index([None if none else i for none, i, _ in rows], [t for *_, t in rows], similarity, recall))
 
         def run(batches, index=index):
-            for b in batches:
+            for b in slices(batches):
                 if len(index.value.items):
                     hits = index.value.matches(b.column(1))
                     sizes = dict(zip([i for i, _ in index.value.items], index.value.n.tolist(), strict=True))

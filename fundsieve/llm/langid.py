@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundsieve.llm.words import slices
+
 SEGMENT = 256
 ALPHABET = 64
 PAD, RARE = ALPHABET - 1, ALPHABET - 2
@@ -162,11 +164,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
-            for k in range(0, b.num_rows, 2000):
-                part = b.slice(k, 2000)
-                lang, score = shared.value.predict(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+        for part in slices(batches):
+            lang, score = shared.value.predict(part.column(1))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
@@ -177,10 +177,8 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     at = names.index("text")
 
     def run(batches):
-        for b in batches:
-            for k in range(0, b.num_rows, 2000):
-                part = b.slice(k, 2000)
-                lang, _ = shared.value.predict(part.column(at).cast(pa.string()))
-                yield part.filter(pa.array([x != "und" for x in lang], pa.bool_()))
+        for part in slices(batches, at):
+            lang, _ = shared.value.predict(part.column(at).cast(pa.string()))
+            yield part.filter(pa.array([x != "und" for x in lang], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

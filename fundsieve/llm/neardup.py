@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundsieve.llm.tables import components, cut
-from fundsieve.llm.words import gram_hashes, word_hashes
+from fundsieve.llm.words import gram_hashes, slices, word_hashes
 
 
 def shingle_sets(column: pa.Array, n: int, kind: str) -> list[np.ndarray]:
@@ -47,7 +47,7 @@ def sketches(docs: DataFrame, n: int, k: int, kind: str) -> DataFrame:
     """(doc_id, n_shingles, digest, sketch) of every row, from the whole text."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             sets = shingle_sets(b.column(1), n, kind)
             with np.errstate(over="ignore"):
                 digest = [int(np.sum(s * (s >> np.uint64(7) | np.uint64(1)), dtype=np.uint64).astype(np.int64)) ^ (len(s) << 1) for s in sets]
@@ -60,7 +60,7 @@ def sketches(docs: DataFrame, n: int, k: int, kind: str) -> DataFrame:
 
 def full_sets(docs: DataFrame, n: int, kind: str) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), _lists(shingle_sets(b.column(1), n, kind))], ["doc_id", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles array<long>")

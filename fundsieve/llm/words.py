@@ -109,6 +109,18 @@ def word_hashes(column, kind: str = "alnum", heads: tuple[int, ...] = ()):
     return (join(out), counts_at, *map(join, cut))
 
 
+def slices(batches, column: int = 1, limit: int = 4 << 20):
+    """The record batches in parts of about `limit` bytes of one text column, so that what is derived from a part stays small."""
+    for b in batches:
+        size = np.diff(utf8(b.column(column))[1])
+        upto, lo = np.cumsum(size), 0
+        while lo < b.num_rows:
+            done = upto[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(upto, done + limit, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n words of one sequence; none if it is shorter."""
     m = len(words) - n + 1
