@@ -6,29 +6,50 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsieve.llm import bpe, decontam, langid, neardup, toxicity
+from fundsieve.llm import bpe, decontam, hostrank, imatch, langid, licenses, neardup, pagediff, toxicity, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrank.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.classify(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", langid.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn(docs)).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
@@ -38,5 +59,5 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_decontaminate, op7_toxicity, op9_language_id, op10_minhash_neardup)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_page_differencing, op3_byte_bpe, op4_url_filter, op5_decontaminate, op6_license_scan, op7_toxicity, op8_warc, op9_language_id, op10_minhash_neardup)}
 ORACLES: dict[str, str] = {}
