@@ -1,13 +1,13 @@
 """I-Match fingerprints: terms of a chosen inverse-document-frequency band, hashed over randomised lexicon subsets.
 
 The lexicon holds the terms that occur in between `low` and `high` of all documents. A document's fingerprint has one
-part for each of SUBSETS random subsets of the lexicon (a term is in a subset by 1 in 32): the hash of its sorted
+part for each of SUBSETS random subsets of the lexicon (a term is in a subset by 1 in 128): the hash of its sorted
 distinct terms in that subset. Likeness is the share of parts that agree, of those that either document fills.
 
 A lexicon has at most (mean distinct terms of a document) / low terms, as each takes up `low` of all documents; its
 size is counted, and it is broadcast only below BROADCAST_TERMS, else joined by shuffle.
 
-Cases: null texts count as empty; a text without a term of the band is fingerprinted by its own hash and is like equal
+Cases: null texts count as empty; a text without a term in any subset is fingerprinted by its own hash and is like equal
 texts only; rows stand in descending id order, null ids last, rows of one id by their text's hash, and the row after
 the last is the first (a lone row follows itself); other columns are ignored; an empty table gives no rows.
 """
@@ -37,7 +37,7 @@ def lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
 def subsets_of(term: Column) -> Column:
     """The random lexicon subsets that hold a term, as the set bits of 64."""
     out = F.xxhash64(term, F.lit(1))
-    for seed in range(2, 6):
+    for seed in range(2, 8):
         out = out.bitwiseAND(F.xxhash64(term, F.lit(seed)))
     return out
 
@@ -47,7 +47,8 @@ def fingerprint(marked: Column, digest: Column) -> Column:
     joined = lambda k: F.array_join(F.transform(F.filter(marked, lambda e: F.getbit(e["subsets"], k) == 1), lambda e: e["term"]), " ")
     hashed = lambda j: F.when(j == "", F.lit(EMPTY)).otherwise(F.right(F.concat(F.lit("0" * PART), F.lower(F.hex(F.xxhash64(j)))), F.lit(PART)))
     parts = F.transform(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), joined), hashed)
-    return F.when(F.size(marked) == 0, F.concat(F.lit("t"), digest)).otherwise(F.array_join(parts, ""))
+    none = F.size(F.filter(marked, lambda e: e["subsets"] != 0)) == 0
+    return F.when(none, F.concat(F.lit("t"), digest)).otherwise(F.array_join(parts, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
