@@ -28,10 +28,10 @@ def distinct_terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
-    """The terms of the band, from counts over all documents."""
+    """The terms of the band that some subset holds, from counts over all documents."""
     n = docs.count()
     df = docs.select(F.explode(distinct_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return cut(df.where((F.col("df") >= low * n) & (F.col("df") <= max(1.0, high * n))).select("term", subsets_of(F.col("term")).alias("subsets")))
+    return cut(df.where((F.col("df") >= low * n) & (F.col("df") <= max(1.0, high * n))).select("term").where(subsets_of(F.col("term")) != 0))
 
 
 def subsets_of(term: Column) -> Column:
@@ -42,13 +42,17 @@ def subsets_of(term: Column) -> Column:
     return out
 
 
-def fingerprint(marked: Column, digest: Column) -> Column:
-    """Of the sorted distinct (term, subsets) of a text: its terms hashed subset by subset."""
-    joined = lambda k: F.array_join(F.transform(F.filter(marked, lambda e: F.getbit(e["subsets"], k) == 1), lambda e: e["term"]), " ")
+def fingerprint(terms: Column, digest: Column) -> Column:
+    """Of the sorted distinct terms of a text that are in some subset: the terms hashed subset by subset."""
     hashed = lambda j: F.when(j == "", F.lit(EMPTY)).otherwise(F.right(F.concat(F.lit("0" * PART), F.lower(F.hex(F.xxhash64(j)))), F.lit(PART)))
-    parts = F.transform(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), joined), hashed)
-    none = F.size(F.filter(marked, lambda e: e["subsets"] != 0)) == 0
-    return F.when(none, F.concat(F.lit("t"), digest)).otherwise(F.array_join(parts, ""))
+
+    def parts(marked: Column) -> Column:
+        own = lambda k: F.transform(F.filter(marked, lambda e: F.getbit(e["subsets"], k) == 1), lambda e: e["term"])
+        return F.transform(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.array_join(own(k), " ")), hashed)
+
+    marked = F.transform(terms, lambda t: F.struct(t.alias("term"), subsets_of(t).alias("subsets")))
+    once = F.transform(F.array(marked), parts)[0]  # the lambda's argument is computed once, not for each subset
+    return F.when(F.size(terms) == 0, F.concat(F.lit("t"), digest)).otherwise(F.array_join(once, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -89,7 +93,7 @@ def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = lexicon(docs, low, high)
     size = words.count()
-    words = words.union(docs.sparkSession.createDataFrame([("", 0)], "term string, subsets long"))
+    words = words.union(docs.sparkSession.createDataFrame([("",)], "term string"))
     rows = with_next(docs, buckets)
     half = F.floor(F.char_length("text") / 2).cast("int")
     n = F.char_length("text")
@@ -99,7 +103,7 @@ def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25,
     sides = F.array(F.struct(F.lit(0).alias("side"), F.concat(F.array(F.lit("")), distinct_terms(F.col("text"))).alias("terms"), own.alias("own")), F.struct(F.lit(1).alias("side"), distinct_terms(F.col("edited")).alias("terms"), F.lit(None).alias("own")))
     flat = rows.select("rid", F.explode(sides).alias("s")).select("rid", "s.side", "s.own", F.explode("s.terms").alias("term")).withColumn("own", F.when(F.col("term") == "", F.col("own")))
     kept = flat.join(F.broadcast(words) if size <= BROADCAST_TERMS else words, "term")
-    of = lambda side: F.sort_array(F.collect_set(F.when((F.col("side") == side) & (F.col("term") != ""), F.struct("term", "subsets"))))
+    of = lambda side: F.sort_array(F.collect_set(F.when((F.col("side") == side) & (F.col("term") != ""), F.col("term"))))
     made = kept.groupBy("rid").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t0"), of(1).alias("t1"))
     made = made.select("rid", "own.*", fingerprint(F.col("t0"), F.col("own.sha")).alias("fingerprint"), fingerprint(F.col("t1"), F.col("own.edited_sha256")).alias("edited_fingerprint"))
     # Each row goes to its own id with its fingerprint and to the next one's id to fetch that.
