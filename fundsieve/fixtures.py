@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = VIEWS[name]
     frames = {t: table(spark, sf_dir, t) for t in re.findall(r"(?:FROM|JOIN) (\w+)", sql)}
-    return spark.sql(re.sub(r"(FROM|JOIN) (\w+)", r"\1 {\2}", sql.replace("%", "%")), **frames)
+    return spark.sql(re.sub(r"(FROM|JOIN) (\w+)", r"\1 {\2}", sql), **frames)
 
 
 def with_views(sql: str) -> str:

@@ -201,7 +201,7 @@ def c5_rates(t):
 
 @query("SELECT program_id, seq, regexp_extract(text, '([0-9]+) k€', 1)::DOUBLE * 1000 AS amount FROM fx_clause")
 def c6_amounts(t):
-    return t("fx_clause").select("program_id", "seq", F.element_at(T.amounts(F.col("text")), 1).alias("amount"))
+    return t("fx_clause").select("program_id", "seq", F.try_element_at(T.amounts(F.col("text")), F.lit(1)).alias("amount"))
 
 
 @query("SELECT program_id, min(a)::DOUBLE AS min_amount, max(a)::DOUBLE AS max_amount, min(r)::DOUBLE AS min_rate, max(r)::DOUBLE AS max_rate FROM (SELECT program_id, regexp_extract(text, '([0-9]+) k€', 1)::DOUBLE * 1000 AS a, regexp_extract(text, '([0-9]+) %', 1)::DOUBLE AS r FROM fx_clause) GROUP BY 1")
