@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundsieve.llm.tables import small_batches
 from fundsieve.llm.words import slices
 
 SEGMENT = 256
@@ -181,4 +182,4 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
             lang, _ = shared.value.predict(part.column(at).cast(pa.string()))
             yield part.filter(pa.array([x != "und" for x in lang], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -18,6 +18,14 @@ def shared_folder(spark: SparkSession) -> str:
     return set_to.rstrip("/")
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """df, with fewer rows a batch on their way to Python where the session has Spark's default: whole texts are long, and the executor holds each batch outside its heap several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder once and read it back: later plans start from its files, and lost executors lose nothing."""
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"

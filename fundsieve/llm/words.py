@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15
-PIECE = 1 << 20
+PIECE = 1 << 18
 U = np.uint64
 
 _tables: dict[str, np.ndarray] = {}
@@ -109,7 +109,7 @@ def word_hashes(column, kind: str = "alnum", heads: tuple[int, ...] = ()):
     return (join(out), counts_at, *map(join, cut))
 
 
-def slices(batches, column: int = 1, limit: int = 4 << 20):
+def slices(batches, column: int = 1, limit: int = 1 << 20):
     """The record batches in parts of about `limit` bytes of one text column, so that what is derived from a part stays small."""
     for b in batches:
         size = np.diff(utf8(b.column(column))[1])
