@@ -4,8 +4,8 @@ A page becomes text blocks in page order, each with its place: in an article, in
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles), or neither. Pages stand in
 order of host and path; each is aligned with the page before and after it on its host by the longest common
 subsequence of lines, and shared lines are deleted. Two pages that share nearly all their lines are copies and delete
-nothing from each other. Where a page marks its article, the article's own lines stand whatever its neighbours hold,
-and lines outside it are not content.
+nothing from each other. Where a page marks its article, lines outside it are not content, and the alignment decides
+the lines inside it: those shared with a neighbour go too, and copies are told by the article alone.
 
 Cases: a null html or one without text gives ''; a null url stands on host ''; a page alone on its host has nothing to
 be aligned with; repeated rows are copies of each other; unclosed tags end with their parent; other columns are
@@ -140,16 +140,15 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 
 
 def main_text(own: list[tuple[int, str]], neighbours: list[list[tuple[int, str]]], copy: float = 0.8) -> str:
-    lines = [t for _, t in own]
+    marked = any(p == ARTICLE for p, _ in own)
+    lines = [t for p, t in own if p == ARTICLE or not marked]
     size = sum(map(len, lines))
     gone: set[int] = set()
     for other in neighbours:
         shared = shared_lines(lines, [t for _, t in other])
         if sum(len(lines[i]) for i in shared) < copy * size:
             gone |= shared
-    if any(p == ARTICLE for p, _ in own):
-        return "\n".join(t for p, t in own if p == ARTICLE)
-    return "\n".join(t for i, (_, t) in enumerate(own) if i not in gone)
+    return "\n".join(t for i, t in enumerate(lines) if i not in gone)
 
 
 def extract(pages: DataFrame, buckets: int = 128) -> DataFrame:

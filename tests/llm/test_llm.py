@@ -194,6 +194,19 @@ def test_page_text(spark):
     assert pagediff.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_shared_lines_inside_the_article_go(spark):
+    article = lambda own, extra="": PAGE.format(f"<article><p>Follow us on the net</p><p>{own}</p></article>{extra}")
+    rows = [
+        (1, "http://a.b/1", article("Own 1 is much longer than the rest")),
+        (2, "http://a.b/2", article("Own 2 is much longer than the rest")),
+        (3, "http://c.d/1", article("Copied text is kept on both pages")),
+        (4, "http://c.d/2", article("Copied text is kept on both pages", "<div>" + "other words " * 40 + "</div>")),
+    ]
+    got = {r.page_id: r.text for r in pagediff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    copied = "Follow us on the net\nCopied text is kept on both pages"
+    assert got == {1: "Own 1 is much longer than the rest", 2: "Own 2 is much longer than the rest", 3: copied, 4: copied}
+
+
 def test_host_verdicts(spark):
     link = '<a href="http://{}/">x</a>'
     rows = [(1, "http://good.org/a", link.format("friend.net")), (2, "http://friend.net/", ""), (3, "http://x.com/de/1", ""), (4, "http://spam.net/", link.format("x.com")), (5, None, None), (6, "nope", None), (7, "HTTP://Sub.Example.ORG/en/12?q", None), (8, "http://notorg/", None)]
