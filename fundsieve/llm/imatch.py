@@ -1,13 +1,14 @@
 """I-Match fingerprints: terms of a chosen inverse-document-frequency band, hashed over randomised lexicon subsets.
 
 The lexicon holds the terms that occur in between `low` and `high` of all documents. A document's fingerprint has one
-part for each of SUBSETS random subsets of the lexicon (a term is in a subset by 1 in 128): the hash of its sorted
-distinct terms in that subset. Likeness is the share of parts that agree, of those that either document fills.
+part for each of SUBSETS random subsets of the lexicon (a term is in a subset by 1 in 32, and in one at least, so that
+the subsets cover the lexicon): the hash of its sorted distinct terms in that subset. Likeness is the share of parts
+that agree, of those that either document fills.
 
 A lexicon has at most (mean distinct terms of a document) / low terms, as each takes up `low` of all documents; its
 size is counted, and it is broadcast only below BROADCAST_TERMS, else joined by shuffle.
 
-Cases: null texts count as empty; a text without a term in any subset is fingerprinted by its own hash and is like equal
+Cases: null texts count as empty; a text without a term of the band is fingerprinted by its own hash and is like equal
 texts only; rows stand in descending id order, null ids last, rows of one id by their text's hash, and the row after
 the last is the first (a lone row follows itself); other columns are ignored; an empty table gives no rows.
 """
@@ -28,22 +29,23 @@ def distinct_terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
-    """The terms of the band that some subset holds, from counts over all documents."""
+    """The terms of the band, from counts over all documents."""
     n = docs.count()
     df = docs.select(F.explode(distinct_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return cut(df.where((F.col("df") >= low * n) & (F.col("df") <= max(1.0, high * n))).select("term").where(subsets_of(F.col("term")) != 0))
+    return cut(df.where((F.col("df") >= low * n) & (F.col("df") <= max(1.0, high * n))).select("term"))
 
 
 def subsets_of(term: Column) -> Column:
-    """The random lexicon subsets that hold a term, as the set bits of 64."""
+    """The random lexicon subsets that hold a term, as the set bits of 64; a term that none drew goes to one by its hash."""
     out = F.xxhash64(term, F.lit(1))
-    for seed in range(2, 8):
+    for seed in range(2, 6):
         out = out.bitwiseAND(F.xxhash64(term, F.lit(seed)))
-    return out
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(term, F.lit(0)), F.lit(SUBSETS)).cast("int"))
+    return F.when(out == 0, one).otherwise(out)
 
 
 def fingerprint(terms: Column, digest: Column) -> Column:
-    """Of the sorted distinct terms of a text that are in some subset: the terms hashed subset by subset."""
+    """Of the sorted distinct terms of a text that are in the lexicon: the terms hashed subset by subset."""
     hashed = lambda j: F.when(j == "", F.lit(EMPTY)).otherwise(F.right(F.concat(F.lit("0" * PART), F.lower(F.hex(F.xxhash64(j)))), F.lit(PART)))
 
     def parts(marked: Column) -> Column:
@@ -66,10 +68,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, buckets: int) -> DataFrame:
-    """docs(doc_id, text) with rid, next_rid and next_text, the next row in descending id order.
+    """docs(doc_id, text) with part, rid, next_rid and next_text, the next row in descending id order.
 
     Rows are dealt by ranges of ids; the first row of each range also visits the range before it, so no task needs
-    another's rows.
+    another's rows. They stay dealt by part, so work that groups by part and rid needs no shuffle of its own.
     """
     cuts = quantile_cuts(docs, ["doc_id"], buckets)
     dealt = docs.withColumn("home", range_bucket(docs, ["doc_id"], cuts))
@@ -82,7 +84,7 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     w = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     rid = lambda home, n: home.cast("long") * (1 << 40) + n
     rows = rows.select("*", F.row_number().over(w).alias("rn"), F.lead("text").over(w).alias("next_text"), F.lead("guest").over(w).alias("next_guest"), F.lead("home").over(w).alias("next_home")).where("NOT guest")
-    return rows.select("doc_id", "text", "next_text", rid(F.col("part"), F.col("rn")).alias("rid"), F.when(F.col("next_guest"), rid(F.col("next_home"), F.lit(1))).otherwise(rid(F.col("part"), F.col("rn") + 1)).alias("next_rid"))
+    return rows.select("part", "doc_id", "text", "next_text", rid(F.col("part"), F.col("rn")).alias("rid"), F.when(F.col("next_guest"), rid(F.col("next_home"), F.lit(1))).otherwise(rid(F.col("part"), F.col("rn") + 1)).alias("next_rid"))
 
 
 def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25, buckets: int = 128) -> DataFrame:
@@ -101,10 +103,10 @@ def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25,
     rows = rows.withColumn("edited", edited)
     own = F.struct("doc_id", n.cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha"), F.sha2("edited", 256).alias("edited_sha256"), "next_rid")
     sides = F.array(F.struct(F.lit(0).alias("side"), F.concat(F.array(F.lit("")), distinct_terms(F.col("text"))).alias("terms"), own.alias("own")), F.struct(F.lit(1).alias("side"), distinct_terms(F.col("edited")).alias("terms"), F.lit(None).alias("own")))
-    flat = rows.select("rid", F.explode(sides).alias("s")).select("rid", "s.side", "s.own", F.explode("s.terms").alias("term")).withColumn("own", F.when(F.col("term") == "", F.col("own")))
+    flat = rows.select("part", "rid", F.explode(sides).alias("s")).select("part", "rid", "s.side", "s.own", F.explode("s.terms").alias("term")).withColumn("own", F.when(F.col("term") == "", F.col("own")))
     kept = flat.join(F.broadcast(words) if size <= BROADCAST_TERMS else words, "term")
     of = lambda side: F.sort_array(F.collect_set(F.when((F.col("side") == side) & (F.col("term") != ""), F.col("term"))))
-    made = kept.groupBy("rid").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t0"), of(1).alias("t1"))
+    made = kept.groupBy("part", "rid").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t0"), of(1).alias("t1"))
     made = made.select("rid", "own.*", fingerprint(F.col("t0"), F.col("own.sha")).alias("fingerprint"), fingerprint(F.col("t1"), F.col("own.edited_sha256")).alias("edited_fingerprint"))
     # Each row goes to its own id with its fingerprint and to the next one's id to fetch that.
     asks = F.struct(F.col("next_rid").alias("at"), F.lit(None).cast("string").alias("theirs"), F.struct("rid", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint").alias("row"))

@@ -177,6 +177,12 @@ def test_fingerprints(spark, docs, odd, empty):
     assert imatch.edited_fingerprints(odd).count() == len(ODD) and imatch.edited_fingerprints(empty).count() == 0
 
 
+def test_fingerprints_use_the_whole_band(spark):
+    few = spark.createDataFrame([(i, f"word{i}") for i in range(200)], "doc_id long, text string")
+    prints = [r.fingerprint for r in imatch.edited_fingerprints(few).collect()]
+    assert not any(p.startswith("t") for p in prints) and len(set(prints)) == 200
+
+
 PAGE = '<html><head><title>T</title></head><body><header>Head</header><nav><a href="/x">Menu</a></nav>{}<div class="comments">No</div><footer>Foot</footer></body></html>'
 
 
