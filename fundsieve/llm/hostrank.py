@@ -46,21 +46,33 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.select("src", ascii_lower(F.col("dst")).alias("dst")).where("src <> dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """(kind, host, rank): PageRank of each kind of edges(kind, src, dst) from seeds(kind, host, seed). Ranks of hosts without links go back to the seeds, which scales all ranks alike."""
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float, rounds: int) -> DataFrame:
+    """(kind, host, rank): PageRank of each kind of edges(kind, src, dst) from seeds(kind, host, seed). Ranks of hosts without links go back to the seeds, which scales all ranks alike.
+
+    Ranks only grow from round to round, so the growth of their sum is their summed change. Rounds end when it is within
+    the tolerance and no new host was reached; more than `rounds` of them fail.
+    """
     degree = edges.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("links"))
     edges = cut(edges.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping / F.col("links")).alias("share")))
     start = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("rank"))
     ranks = start
     if not edges.isEmpty():
+        size = lambda r: r.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total")).first()
+        before = size(start)
         for _ in range(rounds):
             moved = ranks.join(edges, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
             ranks = cut(start.unionByName(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+            now = size(ranks)
+            if now.hosts == before.hosts and now.total - before.total <= tolerance:
+                break
+            before = now
+        else:
+            raise RuntimeError(f"ranks still changed after {rounds} rounds")
     total = ranks.groupBy("kind").agg(F.sum("rank").alias("total"))
     return ranks.join(F.broadcast(total), "kind").select("kind", "host", (F.col("rank") / F.col("total")).alias("rank"))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 1.0, damping: float = 0.85, rounds: int = 20) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 1.0, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 1000) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every row."""
     host, path = host_and_path(F.col("url"))
     named = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -73,7 +85,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float
     seeds = seeds.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("seed"))
     links = host_edges(pages)
     edges = links.select(F.lit("trust").alias("kind"), "src", "dst").union(links.select(F.lit("distrust"), F.col("dst"), F.col("src")))
-    ranks = propagate(edges, seeds, damping, rounds)
+    ranks = propagate(edges, seeds, damping, tolerance, rounds)
     of = lambda k: F.coalesce(F.max(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k)
     hosts = ranks.groupBy("host").agg(of("trust"), of("distrust"))
     trust, distrust = (F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust"))

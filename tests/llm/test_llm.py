@@ -222,6 +222,16 @@ def test_host_verdicts(spark):
     assert got[2].trust > 0 and got[4].distrust > 0
 
 
+def test_host_verdicts_reach_the_end_of_a_long_chain(spark):
+    link = '<a href="http://{}/">x</a>'
+    rows = [(0, "http://x.com/de/1", "")] + [(i, f"http://n{i}.net/", link.format(f"n{i - 1}.net" if i > 1 else "x.com")) for i in range(1, 26)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in hostrank.judge(pages, queries.URL_RULES).collect()}
+    assert all(r.verdict == "block" and r.distrust > 0 for r in got.values())
+    with pytest.raises(RuntimeError):
+        hostrank.judge(pages, queries.URL_RULES, rounds=3)
+
+
 def test_licenses(spark, docs, odd, empty):
     names = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
     want = {(d.doc_id, n) for d in docs.collect() for t, n in names.items() if t in d.text}
