@@ -2,7 +2,7 @@
 
 For each language a suffix automaton is built over a bounded sample of labelled text. A text is cut greedily into the
 longest pieces that occur in a language's sample; the language that needs the fewest pieces, normalised by the text's
-length and the sample's, wins. All automata run over all texts of a batch in lockstep: the whole text is dealt into
+length and the sample's, wins. Every letter of the samples is a symbol of its own. All automata run over all texts of a batch in lockstep: the whole text is dealt into
 segments of SEGMENT symbols, and each step moves every segment on by one symbol. A segment's end also ends a piece, for
 all languages alike.
 
@@ -25,16 +25,36 @@ from fundsieve.llm.tables import small_batches
 from fundsieve.llm.words import slices
 
 SEGMENT = 256
-ALPHABET = 64
-PAD, RARE = ALPHABET - 1, ALPHABET - 2
+DENSE = 256  # symbols of a language, up to which its transitions are a full table
 SAMPLE_DOCS, SAMPLE_CHARS, REFERENCE_CHARS, ALL_REFERENCES = 120, 2000, 24_000, 1_200_000
 
 
 class Automaton:
-    """Dense transitions of the suffix automaton of a sequence of symbols; 0 means none, as nothing leads back to the start."""
+    """Transitions of the suffix automaton of a sequence of symbols below `width`: a full table, or sorted keys where there are many symbols; 0 means none, as nothing leads back to the start."""
+
+    def __init__(self, symbols: list[int], width: int, dense: int = DENSE):
+        nxt, self.width = self.build(symbols), width
+        kind = np.uint16 if len(nxt) < 1 << 16 else np.int32
+        self.table = self.keys = None
+        if width <= dense:
+            self.table = np.zeros((len(nxt), width), kind)
+            for s, row in enumerate(nxt):
+                for c, t in row.items():
+                    self.table[s, c] = t
+            self.table = self.table.ravel()
+        else:
+            self.keys = np.array([s * width + c for s, row in enumerate(nxt) for c in sorted(row)] or [-1], np.int64)
+            self.to = np.array([row[c] for row in nxt for c in sorted(row)] or [0], kind)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        at = state.astype(np.int64) * self.width + symbol
+        if self.table is not None:
+            return self.table[at].astype(np.int32)
+        k = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[k] == at, self.to[k], 0).astype(np.int32)
 
     @staticmethod
-    def build(symbols: list[int]) -> np.ndarray:
+    def build(symbols: list[int]) -> list[dict]:
         nxt: list[dict] = [{}]
         link, length, last = [-1], [0], 0
         for c in symbols:
@@ -60,11 +80,7 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = twin
             last = cur
-        table = np.zeros((len(nxt), ALPHABET), np.uint16 if len(nxt) < 1 << 16 else np.int32)
-        for s, row in enumerate(nxt):
-            for c, t in row.items():
-                table[s, c] = t
-        return table.ravel()
+        return nxt
 
 
 _letters: list[np.ndarray] = []
@@ -90,27 +106,33 @@ class Model:
         chars = min(reference_chars, ALL_REFERENCES // max(1, len(texts)))
         joined = {k: "\n".join(texts[k]).lower()[:chars] for k in self.languages}
         seen = Counter(c for t in joined.values() for c in t if c.isalpha())
-        self.symbol = np.zeros(0x110000, np.uint8)
-        self.symbol[is_letter()] = RARE
-        for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: RARE - 1]):
+        self.rare, self.pad = len(seen) + 1, len(seen) + 2  # letters of no sample; beyond the end of a text
+        self.symbol = np.zeros(0x110000, np.int32)
+        self.symbol[is_letter()] = self.rare
+        for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))):
             self.symbol[ord(c)] = k + 1
-        self.tables, self.scale = [], []
+        self.tables, self.own, self.scale = [], [], []
         for k in self.languages:
             symbols = self.symbol[np.frombuffer(joined[k].encode("utf-32-le"), np.uint32)]
-            self.tables.append(Automaton.build(symbols.tolist()))
+            used = np.unique(symbols[symbols > 0])
+            own = np.full(len(seen) + 3, len(used) + 1, np.int32)  # the last one leads nowhere
+            own[0], own[used] = 0, np.arange(1, len(used) + 1)
+            self.tables.append(Automaton(own[symbols].tolist(), len(used) + 2))
+            self.own.append(own)
             self.scale.append(math.log2(len(symbols) + 2))
 
     def pieces(self, grid: np.ndarray, live: np.ndarray) -> np.ndarray:
         """For each language, the number of pieces that each column of grid needs."""
         out = np.zeros((len(self.tables), grid.shape[1]), np.int32)
         for k, table in enumerate(self.tables):
+            start = np.zeros(grid.shape[1], np.int32)
             state = np.zeros(grid.shape[1], np.int32)
             count = out[k]
-            for row, on in zip(grid, live, strict=True):
-                to = table[state * ALPHABET + row].astype(np.int32)
+            for row, on in zip(self.own[k][grid], live, strict=True):
+                to = table.step(state, row)
                 new = (to == 0) | (state == 0)
                 count += new & on
-                state = np.where(to == 0, table[row], to).astype(np.int32)
+                state = np.where(to == 0, table.step(start, row), to)
         return out
 
     def predict(self, column) -> tuple[list, list]:
@@ -127,7 +149,7 @@ class Model:
         for k in range(0, len(doc), 8192):
             where = first[k : k + 8192, None] + np.arange(SEGMENT)
             live = where < at[doc[k : k + 8192] + 1][:, None]
-            grid = np.where(live, symbols[np.minimum(where, len(symbols) - 1)], PAD).astype(np.int32)
+            grid = np.where(live, symbols[np.minimum(where, len(symbols) - 1)], self.pad).astype(np.int32)
             got = self.pieces(np.ascontiguousarray(grid.T), np.ascontiguousarray(live.T))
             for i, row in enumerate(got):
                 cost[i] += np.bincount(doc[k : k + 8192], row, n)

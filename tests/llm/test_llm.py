@@ -136,6 +136,15 @@ def test_automaton_parse_is_greedy():
     assert model.pieces(points, np.ones_like(points, bool))[0, 0] == want
 
 
+def test_no_letter_of_a_learned_language_is_folded():
+    letters = lambda lo, n: "".join(map(chr, range(lo, lo + n)))
+    model = langid.Model({"el": [letters(0x3B1, 17) * 9], "ru": [letters(0x430, 32) * 9], "en": [letters(97, 26) * 9], "hy": [letters(0x561, 30)], "ka": [letters(0x10D0, 30)]})
+    assert model.predict(pa.array([letters(0x10D0, 12), letters(0x561, 12)]))[0] == ["ka", "hy"]
+    text = letters(0x4E00, 400)
+    model = langid.Model({"ja": [text[:390:2] + text[:300]], "zh": [text]})
+    assert model.tables[1].table is None and model.predict(pa.array([text[50:90], text[100:200:2]]))[0] == ["zh", "ja"]
+
+
 def test_toxicity(docs, labels, odd, empty):
     index = toxicity.learn(docs, labels)
     got = toxicity.classify(docs, index).collect()
