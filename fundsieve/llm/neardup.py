@@ -9,9 +9,10 @@ A value that more than `hot` classes retain would make a list of too many pairs.
 way: each list links its members to its most central one, and classes that are still apart meet by prefix filtering
 over their full sets, rarest shingle first and by size range, which loses no pair over the threshold.
 
-Cases: null and empty texts have no shingles, link with nothing and stay; texts of fewer words than a shingle are one
-shingle of all their words; equal rows fall in one class; a row with a null id makes no links and takes the component
-of its copies, or null; other columns are ignored.
+Cases: null and empty texts have no shingles and link with nothing; texts of fewer words than a shingle are one
+shingle of all their words; equal rows fall in one class; rows of one id with different texts are one document, which
+is linked wherever any of them is; a row with a null id makes no links and takes the component of its copies, or null;
+other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from fundsieve.llm.tables import components, cut
 from fundsieve.llm.words import gram_hashes, slices, word_hashes
 
 
+CLASS = ["n_shingles", "digest", "digest2"]
+
+
 def shingle_sets(column: pa.Array, n: int, kind: str) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes."""
     words, at = word_hashes(column, kind)
@@ -43,33 +47,40 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
+def digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two digests of each set: what tells classes of equal sets apart (CLASS)."""
+    with np.errstate(over="ignore"):
+        first = [int(np.sum(s * (s >> np.uint64(7) | np.uint64(1)), dtype=np.uint64).astype(np.int64)) ^ (len(s) << 1) for s in sets]
+    second = [int(np.bitwise_xor.reduce(s).astype(np.int64)) if len(s) else 0 for s in sets]
+    return [pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(first, pa.int64()), pa.array(second, pa.int64())]
+
+
 def sketches(docs: DataFrame, n: int, k: int, kind: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, sketch) of every row, from the whole text."""
+    """(doc_id, n_shingles, digest, digest2, sketch) of every row, from the whole text."""
 
     def run(batches):
         for b in slices(batches):
             sets = shingle_sets(b.column(1), n, kind)
-            with np.errstate(over="ignore"):
-                digest = [int(np.sum(s * (s >> np.uint64(7) | np.uint64(1)), dtype=np.uint64).astype(np.int64)) ^ (len(s) << 1) for s in sets]
-            other = [int(np.bitwise_xor.reduce(s).astype(np.int64)) if len(s) else 0 for s in sets]
-            size = np.array([len(s) for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(digest, pa.int64()), pa.array(other, pa.int64()), _lists([s[:k] for s in sets])], ["doc_id", "n_shingles", "digest", "digest2", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *digests(sets), _lists([s[:k] for s in sets])], ["doc_id", *CLASS, "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, digest long, digest2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, n: int, kind: str) -> DataFrame:
+    """(doc_id, n_shingles, digest, digest2, shingles) of every row."""
+
     def run(batches):
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), _lists(shingle_sets(b.column(1), n, kind))], ["doc_id", "shingles"])
+            sets = shingle_sets(b.column(1), n, kind)
+            yield pa.RecordBatch.from_arrays([b.column(0), *digests(sets), _lists(sets)], ["doc_id", *CLASS, "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, digest long, digest2 long, shingles array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
     def run(batches):
         for t in batches:
@@ -91,7 +102,7 @@ def least_shared(k: int, percent: int, sigmas: float = 6.0) -> int:
 
 def sketch_pairs(postings: DataFrame, reps: DataFrame, k: int, percent: int, least: int) -> DataFrame:
     """Pairs of classes in one inverted list whose sizes and union sketch allow the threshold."""
-    p = postings.select("value", "doc_id", "n_shingles")
+    p = postings.select("value", "node", "n_shingles")
     a, b = p.toDF("value", "a", "na"), p.toDF("value", "b", "nb")
     fits = (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     return estimated(a.join(b, "value").where(fits).select("a", "b").distinct(), reps, k, least, percent)
@@ -99,7 +110,7 @@ def sketch_pairs(postings: DataFrame, reps: DataFrame, k: int, percent: int, lea
 
 def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """Keep pairs whose union sketch shares enough: the k smallest of both sketches, and how many are in both. Sketches of whole sets are exact."""
-    s = reps.select("doc_id", "sketch", "n_shingles")
+    s = reps.select("node", "sketch", "n_shingles")
     t = pairs.join(s.toDF("a", "sa", "na"), "a").join(s.toDF("b", "sb", "nb"), "b")
 
     def run(batches):
@@ -120,69 +131,104 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: in
     return t.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int, step: float = 1.03) -> DataFrame:
+def prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int, step: float = 1.1) -> DataFrame:
     """Pairs in different components that may reach the threshold, by prefix filtering over full sets.
 
-    A pair of sizes x >= y at the threshold shares at least t(x + y) shingles, t = percent / (100 + percent), so with
-    the rarest first each side has a common one among its first size - t(x + y) + 1. Sizes fall into ranges of
-    ratio `step`; a document lists its prefix once per partner range, cut for that range's smallest size.
+    A pair of sizes x and y at the threshold shares at least percent (x + y) / (100 + percent) shingles. With the
+    rarest first, each side has a common one among its first size - that + 1, and after the first common one enough are
+    left on both sides. Sizes fall into ranges of ratio `step`; a document lists its prefix once for each range of
+    partners, cut for the smallest of them. Lists of one component, or without both ranges, hold no such pair.
     """
-    t, j = percent / (100 + percent), percent / 100
-    flat = sets.select("doc_id", F.explode("shingles").alias("sh"))
+    flat = sets.select("node", F.explode("shingles").alias("sh"))
     count = flat.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
-    ranked = flat.join(count.where("df > 1"), "sh", "left").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "sh"))).alias("s"))
-    size = F.size("s")
-    rng = lambda x: F.floor(F.log(x) / math.log(step))
-    ranked = ranked.join(comps, "doc_id").withColumn("n", size).withColumn("r", rng(size))
-    lo = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(step), F.col("q")) - 1e-9))
-    both = ranked.select("doc_id", "comp", "n", "r", "s", F.explode(F.sequence(rng(F.ceil(F.col("n") * j)), rng(F.floor(F.col("n") / j)))).alias("q"))
-    need = F.ceil(t * (F.col("n") + F.greatest(lo, F.ceil(F.col("n") * j))) - 1e-9)
-    keys = both.select("doc_id", "comp", "n", F.least("r", "q").alias("r1"), F.greatest("r", "q").alias("r2"), (F.col("r") <= F.col("q")).alias("is_low"), (F.col("r") >= F.col("q")).alias("is_high"), F.explode(F.slice("s", F.lit(1), F.greatest(F.lit(0), F.col("n") - need + 1).cast("int"))).alias("e"))
-    keys = cut(keys.where("e.df > 1").select("doc_id", "comp", "n", "r1", "r2", "is_low", "is_high", F.col("e.sh").alias("sh")))
+    ranked = flat.join(count.where("df > 1"), "sh", "left").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "sh"))).alias("s"))
+    rng = lambda x: F.floor(F.log(x) / math.log(step)).cast("int")
+    ranked = ranked.join(comps, "node").withColumn("n", F.size("s").cast("long")).withColumn("r", rng(F.col("n")))
+    least, most = F.expr(f"(n * {percent} + 99) div 100"), F.expr(f"(n * 100) div {percent}")
+    both = ranked.select("node", "comp", "n", "r", "s", F.explode(F.sequence(rng(least), rng(most))).alias("q"), least.alias("least"))
+    both = both.withColumn("smallest", F.greatest("least", F.floor(F.pow(F.lit(step), F.col("q")) - 1e-9)))
+    need = F.expr(f"({percent} * (n + smallest) + 99 + {percent}) div {100 + percent}")
+    prefix = F.slice("s", F.lit(1), F.greatest(F.lit(0), F.col("n") - need + 1).cast("int"))
+    shared = F.filter(F.transform(prefix, lambda e, i: F.struct(e["df"].alias("df"), e["sh"].alias("sh"), (i + 1).alias("pos"))), lambda e: e["df"] > 1)
+    keys = both.select("node", "comp", "n", F.least("r", "q").alias("r1"), F.greatest("r", "q").alias("r2"), (F.col("r") <= F.col("q")).alias("is_low"), (F.col("r") >= F.col("q")).alias("is_high"), F.explode(shared).alias("e"))
+    keys = cut(keys.select("node", "comp", "n", "r1", "r2", "is_low", "is_high", F.col("e.sh").alias("sh"), F.col("e.pos").alias("pos")))
     on = ["sh", "r1", "r2"]
-    mixed = keys.groupBy(*on).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
-    weight = keys.groupBy(*on, "comp").agg(F.count(F.lit(1)).alias("w")).groupBy(*on).agg(F.max_by("comp", F.struct("w", "comp")).alias("main"))
-    keys = keys.join(mixed.select(*on), on, "left_semi").join(weight, on)
-    a = keys.where("comp <> main").select(*on, F.col("doc_id").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("is_low").alias("lx"), F.col("is_high").alias("hx"))
-    b = keys.select(*on, F.col("doc_id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("is_low").alias("ly"), F.col("is_high").alias("hy"))
-    fits = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & ((F.col("lx") & F.col("hy")) | (F.col("hx") & F.col("ly")))
+    mixed = keys.groupBy(*on).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.bool_or("is_low").alias("low"), F.bool_or("is_high").alias("high")).where("c1 <> c2 AND low AND high")
+    keys = cut(keys.join(cut(mixed.select(*on)), on, "left_semi"))
+    main = cut(keys.groupBy(*on, "comp").agg(F.count(F.lit(1)).alias("w")).groupBy(*on).agg(F.max_by("comp", F.struct("w", "comp")).alias("main")))
+    own = ["comp", "n", "is_low", "is_high", "pos"]
+    a = keys.join(main, on).where("comp <> main").select(*on, F.col("node").alias("x"), *[F.col(c).alias(c + "_x") for c in own])
+    b = keys.select(*on, F.col("node").alias("y"), *[F.col(c).alias(c + "_y") for c in own])
+    roles = (F.col("is_low_x") & F.col("is_high_y")) | (F.col("is_high_x") & F.col("is_low_y"))
+    left = 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    fits = (F.col("comp_x") != F.col("comp_y")) & roles & ((100 + percent) * left >= percent * (F.col("n_x") + F.col("n_y")))
     return a.join(b, on).where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def classes_of(sk: DataFrame) -> DataFrame:
+    """(node, doc_id, sketch, ...CLASS) of each class of equal sets: its smallest doc_id and a number of its own, which is that id unless several classes have it."""
+    reps = sk.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*CLASS).agg(F.min(F.struct("doc_id", "sketch")).alias("f"))
+    reps = cut(reps.select(*CLASS, "f.doc_id", "f.sketch"))
+    again = cut(reps.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", F.lit(True).alias("again")))
+    return reps.join(again, "doc_id", "left").select(F.when(F.col("again"), F.xxhash64("doc_id", *CLASS)).otherwise(F.col("doc_id")).alias("node"), "doc_id", *CLASS, "sketch")
+
+
+def same_id(sk: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links between the classes that rows of one doc_id belong to: they are one document."""
+    ids = sk.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *CLASS)
+    lo, hi = F.struct(*CLASS), F.struct(*CLASS)
+    several = cut(ids.groupBy("doc_id").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi")).where("lo <> hi").select("doc_id"))
+    named = ids.join(several, "doc_id", "left_semi").distinct().join(reps.select("node", *CLASS), CLASS)
+    return named.join(named.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96, hot: int = 48, kind: str = "space") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text, ...)."""
     least = least_shared(k, percent)
     sk = cut(sketches(docs, n, k, kind))
-    one = ["digest", "digest2", "n_shingles"]
-    reps = sk.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*one).agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "sketch")).alias("f"))
-    reps = cut(reps.select("doc_id", "n_shingles", *one[:2], F.col("f.sketch").alias("sketch")))
-    values = reps.select("doc_id", "n_shingles", F.explode("sketch").alias("value"))
+    reps = cut(classes_of(sk))
+    values = reps.select("node", "n_shingles", F.explode("sketch").alias("value"))
     held = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A pair over the threshold shares `least` retained values, so one is among the k - least + 1 rarest of each.
-    ranked = values.join(held, "value", "left").groupBy("doc_id", "n_shingles").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "value"))).alias("s"))
+    ranked = values.join(held, "value", "left").groupBy("node", "n_shingles").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "value"))).alias("s"))
     hot_values = F.size(F.filter("s", lambda e: e["df"] > hot))
     keep = F.greatest(F.lit(1), F.size("s") - F.least(F.lit(least), F.floor(F.size("s") * least / k)) + 1).cast("int")
-    postings = cut(ranked.withColumn("central", hot_values).select("doc_id", "n_shingles", "central", F.explode(F.slice("s", F.lit(1), keep)).alias("e")).where("e.df > 1").select("doc_id", "n_shingles", "central", F.col("e.df").alias("df"), F.col("e.value").alias("value")))
+    postings = cut(ranked.withColumn("central", hot_values).select("node", "n_shingles", "central", F.explode(F.filter(F.slice("s", F.lit(1), keep), lambda e: e["df"] > 1)).alias("e")).select("node", "n_shingles", "central", F.col("e.df").alias("df"), F.col("e.value").alias("value")))
     rare, common = postings.where(F.col("df") <= hot), postings.where(F.col("df") > hot)
-    centre = common.groupBy("value").agg(F.max_by("doc_id", F.struct("central", -F.col("doc_id"))).alias("c"))
-    spokes = common.join(centre, "value").where("doc_id <> c").select(F.least("doc_id", "c").alias("a"), F.greatest("doc_id", "c").alias("b")).distinct()
+    centre = common.groupBy("value").agg(F.max_by("node", F.struct("central", -F.col("node"))).alias("c"))
+    spokes = common.join(centre, "value").where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
     pairs = cut(sketch_pairs(rare, reps, k, percent, least).union(estimated(spokes, reps, k, least, percent)).distinct())
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(common.select("doc_id")).distinct()
-    sets = cut(full_sets(docs.join(ids, docs["doc_id"].cast("long") == ids["doc_id"], "left_semi"), n, kind).dropDuplicates(["doc_id"]))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(common.select("node")).distinct()
+    wanted = cut(reps.join(wanted, "node", "left_semi").select("node", "doc_id", *CLASS))
+    ids = wanted.select("doc_id").distinct()
+    # Only classes' own rows: a doc_id may stand on rows of other sets too.
+    sets = full_sets(docs.join(ids, docs["doc_id"].cast("long") == ids["doc_id"], "left_semi"), n, kind)
+    sets = cut(sets.join(wanted, ["doc_id", *CLASS]).select("node", "shingles").dropDuplicates(["node"]))
     links = cut(confirm(pairs, sets, percent))
     if not common.isEmpty():
         first = components(links)
-        near = common.select("doc_id").distinct().join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"))
-        near = cut(near)
-        apart = prefix_pairs(sets.join(near, "doc_id", "left_semi"), near, percent)
+        near = cut(common.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
+        apart = cut(prefix_pairs(sets.join(near, "node", "left_semi"), near, percent))
         links = links.union(confirm(apart, sets, percent))
-    comps = cut(components(links)).withColumnRenamed("component", "linked")
-    classes = reps.join(comps, reps["doc_id"] == comps["node"], "left").select(*one, F.coalesce("linked", "doc_id").alias("class_id"))
-    few = F.coalesce("class_id", F.col("doc_id"))
-    return sk.select("doc_id", *one).join(classes, one, "left").select("doc_id", "n_shingles", few.alias("component_id"), (F.col("doc_id") == few).alias("kept"))
+    comps = cut(components(links.union(same_id(sk, reps)))).withColumnRenamed("component", "comp")
+    known = cut(reps.join(comps, "node", "left").select("doc_id", *CLASS, F.coalesce("comp", "node").alias("comp")))
+    first = cut(known.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
+    known = cut(known.join(first, "comp").select(*CLASS, "component_id"))
+    few = F.coalesce("component_id", F.col("doc_id"))
+    some = sk.where("n_shingles > 0").select("doc_id", *CLASS).join(known, CLASS, "left").select("doc_id", "n_shingles", few.alias("component_id"))
+    # Rows without words make no links; if their id stands on another row too, they go with that one.
+    bare = sk.where("n_shingles = 0").select("doc_id", "n_shingles")
+    twice = cut(some.join(bare.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    bare = bare.join(twice, "doc_id", "left").select("doc_id", "n_shingles", few.alias("component_id"))
+    return some.union(bare).select("*", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stand for their group, unchanged: of rows with that id one stays; rows with a null id stay."""
+    """The documents that stand for their group, unchanged: of equal texts of one id one row stays, and every row with a null id."""
     gone = near_duplicates(docs, n, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    digest = "text_digest"
+    while digest in docs.columns:
+        digest += "_"
+    known = docs.where("doc_id IS NOT NULL").join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    known = known.withColumn(digest, F.sha2("text", 256)).dropDuplicates(["doc_id", digest])
+    return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
