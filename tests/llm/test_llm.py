@@ -68,6 +68,41 @@ def test_near_duplicates_odd(odd, empty):
     assert sorted((r.doc_id for r in neardup.one_of_each(odd).collect()), key=str) == [1, 2, 3, 4, 6, 7, None]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    text = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    rows = [(1, text(0, 60)), (2, text(1, 60)), (3, text(0, 59)), (3, text(100, 160)), (4, text(101, 160)), (5, text(200, 260)), (6, None), (6, text(201, 260)), (7, ""), (None, text(100, 160))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (1, 48):
+        got = sorted(((r.doc_id, r.component_id) for r in neardup.near_duplicates(docs, hot=hot).collect()), key=str)
+        assert got == sorted([(1, 1), (2, 1), (3, 1), (3, 1), (4, 1), (5, 5), (6, 5), (6, 5), (7, 7), (None, 1)], key=str)
+    two = spark.createDataFrame([(3, text(0, 60)), (3, text(100, 160)), (3, text(0, 60)), (4, text(1, 60))], "doc_id long, text string")
+    assert sorted(r.text for r in neardup.one_of_each(two).collect()) == sorted([text(0, 60), text(100, 160)])
+
+
+def test_near_duplicates_in_hot_lists_equal_brute_force(spark):
+    """Copies with few and many edits around one text, and texts that share one passage: every list is hot."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.choice(120, rng.integers(0, 9), replace=False).tolist():
+            words[at] = f"e{i}_{at}"
+        rows.append((i, " ".join(words)))
+    for i in range(150, 260):
+        rows.append((i, " ".join([f"o{i}_{k}" for k in range(rng.integers(3, 40))] + base[:30] + [f"p{i}_{k}" for k in range(rng.integers(0, 3))])))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    comp = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and comp[a] != comp[b]:
+                x, y = comp[a], comp[b]
+                comp = {k: min(x, y) if v in (x, y) else v for k, v in comp.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, hot=3).collect()}
+    assert got == comp and len(set(comp.values())) > 50
+
+
 def test_bpe_equals_tiktoken(spark, docs, odd):
     path = public_tokenizers.path(queries.BPE_RANKS)
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
@@ -98,6 +133,34 @@ def test_leaks(spark, docs, odd, empty):
     assert [r.doc_id for r in decontam.without_leaks(near, items).collect()] == [2]
 
 
+def test_leaks_near_the_limit_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"v{i}" for i in range(400)]
+    items, rows, want = [], [], {}
+    for i in range(120):
+        n = int(rng.integers(5, 41))
+        words = rng.choice(vocabulary, n).tolist()
+        items.append((i, " ".join(words)))
+        for e in sorted({1, max(1, int(n * 0.2)), int(n * 0.2) + 3}):
+            part = list(words)
+            for _ in range(e):
+                at = int(rng.integers(0, len(part)))
+                part[at : at + int(rng.integers(0, 2))] = [f"x{rng.integers(1 << 30)}"]
+            text = rng.choice(vocabulary, 30).tolist() + part + rng.choice(vocabulary, 30).tolist()
+            rows.append((len(rows), " ".join(text)))
+    item_words, row_words = [t.split() for _, t in items], [t.split() for _, t in rows]
+    for d, text in enumerate(row_words):
+        for i, words in enumerate(item_words):
+            if len(set(words) & set(text)) >= len(set(words)) * 0.4:
+                distance = decontam.edit_distance_within(words, text)[0]
+                if distance <= int(len(words) * 0.2 + 1e-9):
+                    want[d, i] = distance
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (4096, 40):
+        got = {(r.doc_id, r.item_id): r.distance for r in decontam.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), block=block).collect()}
+        assert set(got) <= set(want) and len(got) >= 0.9 * len(want) and sum(got[k] == want[k] for k in got) >= 0.95 * len(got)
+
+
 def test_edit_distance():
     rng = np.random.default_rng(0)
     for _ in range(200):
