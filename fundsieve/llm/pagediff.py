@@ -3,9 +3,10 @@
 A page becomes text blocks in page order, each with its place: in an article, in a part that markup names as no content
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles), or neither. Pages stand in
 order of host and path; each is aligned with the page before and after it on its host by the longest common
-subsequence of lines, and shared lines are deleted. Two pages that share nearly all their lines are copies and delete
-nothing from each other. Where a page marks its article, lines outside it are not content, and the alignment decides
-the lines inside it: those shared with a neighbour go too, and copies are told by the article alone.
+subsequence of lines, and shared lines are deleted. Two pages that share nearly all their lines (`copy` of the text) are
+copies and delete nothing from each other. Where a page marks its article, lines outside it are not content, and inside
+it the alignment deletes the lines of places (paths of tags and classes) all of whose lines are shared: boxes of the
+site's frame, but no passage that a text shares with a neighbour's.
 
 Cases: a null html or one without text gives ''; a null url stands on host ''; a page alone on its host has nothing to
 be aligned with; repeated rows are copies of each other; unclosed tags end with their parent; other columns are
@@ -17,8 +18,10 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
+from collections import Counter
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +35,10 @@ BLOCKS = set("address article aside blockquote body caption center dd details di
 ASIDE = RAW | set("head nav aside footer form button select textarea dialog menu title".split())
 NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|newsletter|subscri\w*|popup|modal|sidebar|side|menu|nav\w*|breadcrumbs?|footer|header|masthead|comments?|replies|respond|disqus|share|sharing|social|related|recommend\w*|widget|toolbar|pagination|pager|skip)(?:$|[\s_-])", re.I)
 ROLES = set("navigation banner contentinfo complementary search form alert dialog menu".split())
-TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>|[^<]+|<""", re.S)
+# A quoted value may hold "<" within its first 2,000 characters only, so that no unclosed quote makes every tag scan the rest of the page.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:"[^"<]*"|"[^"]{0,2000}"|'[^'<]*'|'[^']{0,2000}'|[^'"<>])*+)>|<[!?][^<>]*>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-SPACE = re.compile(r"\s+")
+SPACE, DIGITS = re.compile(r"\s+"), re.compile(r"\d+")
 NEITHER, ARTICLE = 0, 1
 
 
@@ -50,18 +54,28 @@ def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(html: str) -> list[tuple[int, str]]:
-    """(place, text) of the blocks that may be content, in page order."""
-    out: list[tuple[int, str]] = []
+def blocks(html: str) -> list[tuple[int, int, str]]:
+    """(kind, place, text) of the blocks that may be content, in page order; a place is one path of tags and classes."""
+    out: list[tuple[int, int, str]] = []
     text: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # tag, asides and articles so far
-    asides = articles = 0
+    stack: list[tuple[str, int, int, int]] = []  # tag; asides, articles and place before it
+    open_tags: Counter = Counter()
+    unclosed: set[str] = set()
+    asides = articles = place = 0
 
     def flush() -> None:
         line = SPACE.sub(" ", entities.unescape("".join(text))).strip()
         text.clear()
         if line and not asides:
-            out.append((ARTICLE if articles else NEITHER, line))
+            out.append((ARTICLE if articles else NEITHER, place, line))
+
+    def close_to(tag: str) -> None:
+        nonlocal asides, articles, place
+        while stack:
+            t, asides, articles, place = stack.pop()
+            open_tags[t] -= 1
+            if t == tag:
+                break
 
     pos = 0
     while m := TOKEN.match(html, pos):
@@ -75,32 +89,32 @@ def blocks(html: str) -> list[tuple[int, str]]:
             text.append(" ")
             continue
         if tag in RAW and not close:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
+            end = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
+            if end is None:
+                unclosed.add(tag)
             pos = end.end() if end else len(html) if tag in ("script", "style") else pos
             continue
         if tag in BLOCKS:
             flush()
         if close:
-            if any(s[0] == tag for s in stack):
+            if open_tags[tag]:
                 flush()
-                while stack:
-                    t, asides, articles = stack.pop()
-                    if t == tag:
-                        break
+                close_to(tag)
             continue
         if tag in VOID:
             continue
-        if tag in BLOCKS and stack and any(s[0] == "p" for s in stack[-4:]):  # a block ends an open paragraph
-            while stack:
-                t, asides, articles = stack.pop()
-                if t == "p":
-                    break
+        if tag in BLOCKS and any(s[0] == "p" for s in stack[-4:]):  # a block ends an open paragraph
+            close_to("p")
         aside = is_aside(tag, attributes, articles > 0)
         if aside and tag not in BLOCKS:
             flush()
-        stack.append((tag, asides, articles))
+        stack.append((tag, asides, articles, place))
+        open_tags[tag] += 1
         asides += aside
         articles += tag in ("article", "main")
+        if tag in BLOCKS:
+            names = " ".join("".join(v) for k, *v in ATTRIBUTE.findall(attributes) if k.lower() != "role")
+            place = xxhash.xxh64_intdigest(f"{place} {tag} {DIGITS.sub('0', names)}") >> 1
     flush()
     return out
 
@@ -139,19 +153,25 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def main_text(own: list[tuple[int, str]], neighbours: list[list[tuple[int, str]]], copy: float = 0.8) -> str:
-    marked = any(p == ARTICLE for p, _ in own)
-    lines = [t for p, t in own if p == ARTICLE or not marked]
+def main_text(own: list[tuple[int, int, str]], neighbours: list[list[tuple[int, int, str]]], copy: float = 0.8) -> str:
+    """The lines that no neighbour shares; inside a marked article, shared lines go where all lines of their place are shared."""
+    marked = any(p == ARTICLE for p, *_ in own)
+    rows = [(place, t) for p, place, t in own if p == ARTICLE or not marked]
+    lines = [t for _, t in rows]
     size = sum(map(len, lines))
     gone: set[int] = set()
     for other in neighbours:
-        shared = shared_lines(lines, [t for _, t in other])
+        shared = shared_lines(lines, [t for *_, t in other])
         if sum(len(lines[i]) for i in shared) < copy * size:
             gone |= shared
+    if marked and gone:
+        # The article's title and its running text share a line with a near copy or quote one; a box of the frame shares all.
+        stays = {place for i, (place, _) in enumerate(rows) if i not in gone} | {place for place, _ in rows[:1]}
+        gone = {i for i in gone if rows[i][0] not in stays}
     return "\n".join(t for i, t in enumerate(lines) if i not in gone)
 
 
-def extract(pages: DataFrame, buckets: int = 128) -> DataFrame:
+def extract(pages: DataFrame, rows_per_range: int = 2000, ranges: tuple[int, int] = (128, 1024)) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
     Rows are dealt by ranges of (host, path, page_id); the first and last of each range also visit the range beside.
@@ -160,7 +180,8 @@ def extract(pages: DataFrame, buckets: int = 128) -> DataFrame:
     keys = ["host", "path", "page_id"]
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), path.alias("path"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     named = rows.select(*keys)
-    cuts = quantile_cuts(named, keys, buckets)
+    buckets = min(ranges[1], max(ranges[0], -(-named.count() // rows_per_range)))
+    cuts = quantile_cuts(named, keys, buckets, 32 * buckets)
     dealt = named.withColumn("home", range_bucket(named, keys, cuts))
     edges = sorted(dealt.groupBy("home").agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi")).collect(), key=lambda r: r.home)
     table = [(r.home, *r.lo, *r.hi, edges[i - 1].home if i else None, edges[i + 1].home if i + 1 < len(edges) else None) for i, r in enumerate(edges)]
@@ -174,13 +195,13 @@ def extract(pages: DataFrame, buckets: int = 128) -> DataFrame:
     def split(frames):
         for f in frames:
             got = [blocks(h) for h in f.html]
-            yield pd.DataFrame({"page_id": f.page_id, "url": f.url, "host": f.host, "path": f.path, "own": f.home == f.part, "part": f.part, "places": [[p for p, _ in g] for g in got], "texts": [[t for _, t in g] for g in got]})
+            yield pd.DataFrame({"page_id": f.page_id, "url": f.url, "host": f.host, "path": f.path, "own": f.home == f.part, "part": f.part, "kinds": [[k for k, *_ in g] for g in got], "places": [[p for _, p, _ in g] for g in got], "texts": [[t for *_, t in g] for g in got]})
 
     def align(frames):
         def stream():
             for f in frames:
                 for r in f.itertuples(index=False):
-                    yield (r.part, r.host), r, list(zip(r.places, r.texts, strict=True))
+                    yield (r.part, r.host), r, list(zip(r.kinds, r.places, r.texts, strict=True))
             yield None, None, []
 
         out, before, now = [], (None, None, []), (None, None, [])
@@ -194,6 +215,6 @@ def extract(pages: DataFrame, buckets: int = 128) -> DataFrame:
             before, now = now, after
         yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"])
 
-    lines = rows.mapInPandas(split, "page_id long, url string, host string, path string, own boolean, part int, places array<int>, texts array<string>")
+    lines = rows.mapInPandas(split, "page_id long, url string, host string, path string, own boolean, part int, kinds array<int>, places array<long>, texts array<string>")
     ordered = lines.repartition("part").sortWithinPartitions("part", "host", "path", "page_id")
     return ordered.mapInPandas(align, "page_id long, url string, text string, n_chars long")

@@ -3,16 +3,17 @@
 Each task writes its pages into archives of bounded size in the shared folder, one gzip member for each record, and
 yields an index row for each: file, offset, length, url and digest. The index, written as a table, is what counts: a
 task that runs again writes new files, and files that no index row names are never read. Reading sorts the wanted rows
-by file and offset, joins near ranges into one read and cuts the records out of it.
+by file and offset, joins near ranges into one read and cuts the records out of it; its tasks follow the bytes to read.
 
 Cases: a null html is an empty payload; a null url gives no target header; payloads under `least` bytes are always
 responses; of equal larger payloads the rows with the smallest page_id are responses and the others revisit it; rows
-with a null page_id are responses; other columns are ignored; an empty table gives no rows.
+with a null page_id are responses; a page_id may stand on several rows, each is a record of its own payload; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from fundsieve.llm.tables import cut, shared_folder
 
-ARCHIVE_BYTES, GAP, READ_BYTES = 16 << 20, 64 << 10, 4 << 20
+ARCHIVE_BYTES, GAP, READ_BYTES, TASK_BYTES = 16 << 20, 64 << 10, 4 << 20, 32 << 20
 NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 INDEX = "page_id long, url string, file string, offset long, length long, record_type string, refers_to long, payload_digest string, payload_bytes long"
 
@@ -52,11 +53,9 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
-def revisits(pages: DataFrame, least: int) -> DataFrame:
-    """(page_id, refers_to) of rows whose payload an earlier page_id has."""
-    own = cut(pages.where((F.octet_length("html") >= least) & F.col("page_id").isNotNull()).select(F.col("page_id").cast("long").alias("page_id"), F.sha2("html", 256).alias("digest")))
-    first = own.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return own.join(first.select("digest", "refers_to"), "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
+def first_of(pages: DataFrame) -> DataFrame:
+    """(digest, first): the smallest page_id of each digest that several rows have."""
+    return cut(pages.where("digest IS NOT NULL").groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"))
 
 
 def write(pages: DataFrame, least: int = 100, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
@@ -87,7 +86,12 @@ def write(pages: DataFrame, least: int = 100, date: str = "2024-01-01T00:00:00Z"
             out.close()
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    rows = rows.join(revisits(rows, least), "page_id", "left").select("page_id", "url", "html", "refers_to")
+    large = (F.octet_length("html") >= least) & F.col("page_id").isNotNull()
+    rows = rows.withColumn("digest", F.when(large, F.sha2("html", 256)))
+    # Rows that can't revisit get keys of their own, so that no key but a payload's holds many rows; adaptive execution splits those.
+    key = F.coalesce("digest", F.concat(F.lit("-"), F.xxhash64("page_id", "url", "html").cast("string")))
+    first = first_of(rows).withColumnRenamed("digest", "key")
+    rows = rows.withColumn("key", key).join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
     return cut(rows.mapInArrow(run, INDEX)).withColumn("folder", F.lit(folder))
 
 
@@ -121,5 +125,7 @@ def read(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "record_type", "refers_to", "payload", "payload_digest", "payload_bytes"])
                 k = last
 
-    places = index.select("folder", "file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    parts = max(index.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    places = index.select("folder", "file", "offset", "length").repartition(parts, "file", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("file", "offset")
     return places.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload string, payload_digest string, payload_bytes long")

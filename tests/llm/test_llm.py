@@ -282,7 +282,58 @@ def test_shared_lines_inside_the_article_go(spark):
     ]
     got = {r.page_id: r.text for r in pagediff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     copied = "Follow us on the net\nCopied text is kept on both pages"
-    assert got == {1: "Own 1 is much longer than the rest", 2: "Own 2 is much longer than the rest", 3: copied, 4: copied}
+    # A shared paragraph stays among others of its place; a box of its own goes.
+    follow = "Follow us on the net\n"
+    assert got == {1: follow + "Own 1 is much longer than the rest", 2: follow + "Own 2 is much longer than the rest", 3: copied, 4: copied}
+    boxed = lambda own: PAGE.format(f"<article><h1>Title</h1><p>{own}</p><div class='tip'>Follow us on the net</div></article>")
+    rows = [(i, f"http://e.f/{i}", boxed(f"Own {i} is much longer than the rest")) for i in (1, 2)]
+    got = {r.page_id: r.text for r in pagediff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title\nOwn {i} is much longer than the rest" for i in (1, 2)}
+
+
+def test_alignment_equals_brute_force_on_whole_hosts(spark):
+    """Unmarked pages of two hosts: what is left equals a quadratic longest common subsequence with the pages beside."""
+    rng = np.random.default_rng(11)
+    pages, lines = [], {}
+    for i in range(60):
+        frame = [f"frame line {k}" for k in range(6) if rng.random() < 0.8]
+        own = [f"page {i} has its own text number {k} of some length" for k in range(rng.integers(2, 6))]
+        cut_at = int(rng.integers(0, len(frame) + 1))
+        lines[i] = frame[:cut_at] + own + frame[cut_at:]
+        pages.append((i, f"http://h{i % 2}.net/{i:03d}", "<body>" + "".join(f"<div>{t}</div>" for t in lines[i]) + "</body>"))
+
+    def lcs(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for x in range(len(a) - 1, -1, -1):
+            for y in range(len(b) - 1, -1, -1):
+                best[x][y] = 1 + best[x + 1][y + 1] if a[x] == b[y] else max(best[x + 1][y], best[x][y + 1])
+        return best[0][0]
+
+    got = {r.page_id: r.text for r in pagediff.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    changed = 0
+    for i, text in got.items():
+        beside = [j for j in (i - 2, i + 2) if j in lines]
+        left = text.split("\n")
+        gone = [pagediff.shared_lines(lines[i], lines[j]) for j in beside]
+        assert all(len(g) == lcs(lines[i], lines[j]) for g, j in zip(gone, beside, strict=True))
+        assert left == [t for k, t in enumerate(lines[i]) if not any(k in g for g in gone)] and all(t in left for t in lines[i] if t.startswith("page"))
+        changed += text != "\n".join(lines[i])
+    assert changed >= 55  # without the alignment these pages would keep frame lines
+
+
+def test_parsing_is_linear():
+    import time
+
+    begin = time.time()
+    for html in ("<a " * 300_000, "<div>" * 100_000, "<p>x" * 100_000, "<svg>" * 100_000, '<a "' * 200_000, "<!" * 300_000, "</div>" * 100_000, "<a '\"" * 100_000):
+        pagediff.blocks(html)
+    assert time.time() - begin < 40
+
+
+def test_pages_with_odd_rows(spark):
+    rows = [(None, None, None, "a", 1), (1, "http://a.b/1", "", "b", 2), (1, "http://a.b/1", "<p>x</p>", "c", 3), (1, "http://a.b/1", "<p>x</p>", "c", 3), (2, "no url", "<article>" + "<p>word</p>" * 20000 + "</article>", "d", 4)]
+    got = pagediff.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, part int")).collect()
+    assert sorted((str(r.page_id), r.n_chars) for r in got) == [("1", 0), ("1", 1), ("1", 1), ("2", 99999), ("None", 0)]
 
 
 def test_host_verdicts(spark):
@@ -326,6 +377,18 @@ def test_warc_round_trip(spark):
     assert warc.read(warc.write(pages.limit(0))).count() == 0
 
 
+def test_warc_keeps_every_payload_of_repeated_ids(spark):
+    a, b, c = ("A" * 100, "B" * 150, "C" * 200)
+    rows = [(1, a), (2, b), (5, a), (5, c), (6, a), (6, b)]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", h, "clash", 7) for i, h in rows], "page_id long, url string, html string, key string, first long")
+    got = sorted((r.page_id, r.record_type, r.refers_to, r.payload, r.payload_digest) for r in warc.read(warc.write(pages)).collect())
+    sha = lambda h: hashlib.sha256(h.encode()).hexdigest()
+    assert sorted(got, key=str) == sorted([(1, "response", None, a, sha(a)), (2, "response", None, b, sha(b)), (5, "revisit", 1, None, sha(a)), (5, "response", None, c, sha(c)), (6, "revisit", 1, None, sha(a)), (6, "revisit", 2, None, sha(b))], key=str)
+    long = "é" * 3_000_000
+    got = warc.read(warc.write(spark.createDataFrame([(i, None, long) for i in range(3)], "page_id long, url string, html string"))).collect()
+    assert sorted((r.page_id, r.record_type, r.payload_bytes) for r in got) == [(0, "response", 6_000_000), (1, "revisit", 6_000_000), (2, "revisit", 6_000_000)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
