@@ -1,18 +1,26 @@
-"""License texts in documents by patience alignment.
+"""License texts and notices in documents by patience alignment.
 
 Words unique to both a template and a part of a document are anchors; the longest increasing run of their places is
-kept and the gaps between them are aligned the same way, with common beginnings and ends first. Coverage is the share
-of the template's words so matched. A part is tried where the document and the template have a run of words in common
-(two words for templates of under twelve, else three); tasks hold the templates, whose number is fixed.
-
-Cases: null and empty texts hold no license; several templates in one text give a row each, and of several places of
-one template the best, then first, counts; repeated rows repeat; other columns are ignored; an empty table gives none.
+kept and the gaps between them are aligned the same way, with common beginnings and ends first. Of the matched words the
+stretch counts that gains most, a word between them that the template lacks costing as much as a matched one gains.
+Coverage is the share of matched words among the template's and those extra ones. Of templates that overlap in a
+document the one that covers best wins, then the one with more matched words.
+
+A template is the whole text of a license or a notice: a phrase that releases something and the license's name. A
+notice's name must stand in full and without words between, so that versions and variants are told apart, and so must
+more than half of its phrase, so that a license that is only named is none. A part of a
+document is tried where enough runs of words agree with the template on about the same diagonal (for a text: a fifth of
+its runs of three words; for a notice: one run of two words of the name). Tasks hold the templates, whose number is fixed.
+
+Cases: null and empty texts hold no license; every place of a license in a text is a row; repeated rows repeat; other
+columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -22,101 +30,176 @@ from pyspark.sql import functions as F
 from fundsieve.llm.decontam import lowered_words
 from fundsieve.llm.words import gram_hashes, slices
 
-# Wording of public licenses and of the usual notices that name them.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
-    "BSD-clauses": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "MIT": "Released under the MIT License",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+# Names of public licenses as notices write them, and the phrases before the names.
+NAMES = {
+    "0BSD": ["BSD Zero Clause License", "0BSD License"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPL-3.0"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache 2.0 License", "Apache-2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License"],
+    "CC0-1.0": ["CC0 1.0", "Creative Commons Zero 1.0", "CC0 1.0 Universal"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "EPL-2.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU GPL v2", "GPL-2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU GPL v3", "GPL-3.0"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU LGPL v2.1", "LGPL-2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU LGPL v3", "LGPL-3.0"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL-2.0"],
+    "Unlicense": ["Unlicense"],
 }
-
-
-def patience(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
-    """Pairs of equal words of a[a0:a1] and b[b0:b1], increasing in both."""
-    head, tail = [], []
-    while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-        head.append((a0, b0))
-        a0, b0 = a0 + 1, b0 + 1
-    while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-        a1, b1 = a1 - 1, b1 - 1
-        tail.append((a1, b1))
-    inner = []
-    if a0 < a1 and b0 < b1:
+CC_VARIANTS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = ("2.0", "3.0", "4.0")
+PHRASES = ["Licensed under", "Licensed under the", "Released under the", "Distributed under the terms of the", "This work is licensed under", "This work is licensed under the", "Available under the"]
+
+
+def notices() -> list[tuple[str, str, str]]:
+    """(license, phrase, name) of every notice."""
+    names = {k: list(v) for k, v in NAMES.items()}
+    for short, full in CC_VARIANTS.items():
+        for version in CC_VERSIONS:
+            tail = " International License" if version == "4.0" else " License"
+            names[f"CC-{short}-{version}"] = [f"CC {short} {version}", f"Creative Commons {full} {version}{tail}"]
+    return [(k, phrase, name) for k, own in sorted(names.items()) for name in own for phrase in PHRASES]
+
+
+def texts() -> list[tuple[str, str]]:
+    """(license, whole text) of the licenses packaged with this module."""
+    folder = resources.files(__package__) / "license_texts"
+    return sorted((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in folder.iterdir() if f.name.endswith(".txt"))
+
+
+def patience(a: list, b: list) -> list[tuple[int, int]]:
+    """Pairs of equal words of a and b, increasing in both."""
+    out, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            out.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            out.append((a1, b1))
+        if a0 == a1 or b0 == b1:
+            continue
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         place = {a[i]: i for i in range(a0, a1) if in_a[a[i]] == 1}
-        anchors = [(j, place[b[j]]) for j in range(b0, b1) if in_b[b[j]] == 1 and b[j] in place]
         ends: list[int] = []
         last: list[tuple] = []
-        for j, i in anchors:
-            k = bisect_left(ends, i)
-            node = (i, j, last[k - 1] if k else None)
-            ends[k : k + 1], last[k : k + 1] = [i], [node]
-        node, run = last[-1] if last else None, []
+        for j in range(b0, b1):
+            if in_b[b[j]] == 1 and b[j] in place:
+                i = place[b[j]]
+                k = bisect_left(ends, i)
+                node = (i, j, last[k - 1] if k else None)
+                ends[k : k + 1], last[k : k + 1] = [i], [node]
+        node = last[-1] if last else None
+        if node is None:
+            continue
         while node:
-            run.append(node[:2])
-            node = node[2]
-        for i, j in reversed(run):
-            inner += patience(a, b, a0, i, b0, j) + [(i, j)]
-            a0, b0 = i + 1, j + 1
-        if run:
-            inner += patience(a, b, a0, a1, b0, b1)
-    return head + inner + tail[::-1]
+            i, j, node = node
+            out.append((i, j))
+            todo.append((i + 1, a1, j + 1, b1))
+            a1, b1 = i, j
+        todo.append((a0, a1, b0, b1))
+    return sorted(out)
+
+
+def best_stretch(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """(first, last, extra) of the stretch of pairs that gains most; extra: words of b between them that match nothing."""
+    best, start, gain, extra = (0, 0, 0, 0), 0, 0, 0
+    for k in range(len(pairs)):
+        between = pairs[k][1] - pairs[k - 1][1] - 1 if k else 0
+        if gain - between <= 0:
+            start, gain, extra = k, 0, 0
+        else:
+            gain, extra = gain - between, extra + between
+        gain += 1
+        if gain > best[0]:
+            best = (gain, start, k, extra)
+    return best[1:]
 
 
 class Templates:
-    def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        words, at = lowered_words(pa.array([templates[k] for k in self.names]))
-        self.words = [words[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
-        self.grams: dict[int, dict] = {}
-        for k, w in enumerate(self.words):
-            q = min(len(w), 2 if len(w) < 12 else 3)
-            for offset, h in enumerate(gram_hashes(np.array(w, np.uint64), q).tolist()):
-                self.grams.setdefault(q, {}).setdefault(h, []).append((k, offset))
-        self.keys = {q: np.sort(np.array(list(g), np.uint64)) for q, g in self.grams.items()}
+    def __init__(self, whole: list[tuple[str, str]], short: list[tuple[str, str, str]]):
+        rows = [(k, "text", "", t) for k, t in whole] + [(k, "notice", phrase, name) for k, phrase, name in short]
+        self.names, self.kinds = [r[0] for r in rows], [r[1] for r in rows]
+        heads, head_at = lowered_words(pa.array([r[2] for r in rows], pa.string()))
+        tails, tail_at = lowered_words(pa.array([r[3] for r in rows], pa.string()))
+        self.words = [heads[a:b].tolist() + tails[c:d].tolist() for a, b, c, d in zip(head_at[:-1], head_at[1:], tail_at[:-1], tail_at[1:], strict=True)]
+        self.name_at = np.diff(head_at).tolist()  # where a notice's name begins
+        self.least = [max(1, (len(w) - 2) // 5) if kind == "text" else 1 for w, kind in zip(self.words, self.kinds, strict=True)]
+        grams: dict[int, list[tuple[int, int, int]]] = {}
+        for k, (w, kind, at) in enumerate(zip(self.words, self.kinds, self.name_at, strict=True)):
+            q = 3 if kind == "text" else min(2, len(w) - at)
+            grams.setdefault(q, []).extend((h, k, at + o) for o, h in enumerate(gram_hashes(np.array(w[at:], np.uint64), q).tolist()))
+        self.grams = {}
+        for q, own in grams.items():
+            own.sort()
+            self.grams[q] = (np.array([g[0] for g in own], np.uint64), np.array([g[1] for g in own]), np.array([g[2] for g in own]))
+
+    def hits(self, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document, template, first and last diagonal) of each part to try."""
+        out = []
+        for q, (h, template, offset) in self.grams.items():
+            g = gram_hashes(words, q)
+            pos = np.flatnonzero(np.isin(g, h))
+            doc = np.searchsorted(at, pos, "right") - 1
+            inside = pos + q <= at[doc + 1]
+            pos, doc = pos[inside], doc[inside]
+            lo, hi = np.searchsorted(h, g[pos], "left"), np.searchsorted(h, g[pos], "right")
+            many = hi - lo
+            entry = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(pos) else np.zeros(0, np.int64)
+            k, diagonal, doc = template[entry], np.repeat(pos, many) - offset[entry], np.repeat(doc, many)
+            order = np.lexsort((diagonal, k, doc))
+            k, diagonal, doc = k[order], diagonal[order], doc[order]
+            size = np.array([len(w) for w in self.words])[k] if len(k) else k
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (diagonal[1:] - diagonal[:-1] > np.maximum(2, size[1:] // 4))
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(k))[: len(first)] - 1
+            enough = last - first + 1 >= np.array(self.least)[k[first]] if len(first) else np.zeros(0, bool)
+            out += [(int(doc[a]), int(k[a]), int(diagonal[a]), int(diagonal[b])) for a, b in zip(first[enough], last[enough], strict=True)]
+        return out
 
     def find(self, column, least: float) -> list[tuple]:
-        """(row, template, coverage, first word, last word) of each template that covers enough."""
+        """(row, license, kind, coverage, first word, last word) of each license of each text."""
         words, at = lowered_words(column)
-        best: dict[tuple, tuple] = {}
-        tried = set()
-        for q, keys in self.keys.items():
-            g = gram_hashes(words, q)
-            pos = np.flatnonzero(np.isin(g, keys))
-            doc = np.searchsorted(at, pos, "right") - 1
-            for p, d, h in zip(pos.tolist(), doc.tolist(), g[pos].tolist(), strict=True):
-                if p + q > at[d + 1]:
+        found = []
+        for d, k, first, last in self.hits(words, at):
+            n = len(self.words[k])
+            slack = max(2, n // 4)
+            lo, hi = max(int(at[d]), first - slack), min(int(at[d + 1]), last + n + slack)
+            pairs = patience(self.words[k], words[lo:hi].tolist())
+            if not pairs:
+                continue
+            a, b, extra = best_stretch(pairs)
+            cover = (b - a + 1) / (n + extra)
+            if cover < least:
+                continue
+            if self.kinds[k] == "notice":
+                name = [p for p in pairs[a : b + 1] if p[0] >= self.name_at[k]]
+                phrase = b - a + 1 - len(name)
+                if len(name) < n - self.name_at[k] or name[-1][1] - name[0][1] != len(name) - 1 or 2 * phrase <= self.name_at[k]:
                     continue
-                for k, offset in self.grams[q][h]:
-                    start = p - offset
-                    if (d, k, start) in tried:
-                        continue
-                    tried.add((d, k, start))
-                    n = len(self.words[k])
-                    lo, hi = max(int(at[d]), start - n // 4), min(int(at[d + 1]), start + n + max(2, n // 4))
-                    part = words[lo:hi].tolist()
-                    pairs = patience(self.words[k], part, 0, n, 0, len(part))
-                    cover = len(pairs) / n
-                    if cover >= least:
-                        found = (-cover, lo + pairs[0][1] - int(at[d]), lo + pairs[-1][1] - int(at[d]))
-                        best[d, k] = min(best.get((d, k), found), found)
-        return [(d, self.names[k], -c, a, b) for (d, k), (c, a, b) in sorted(best.items())]
-
-
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
-    """(doc_id, license, coverage, first_word, last_word) of each template found in a text."""
-    shared = docs.sparkSession.sparkContext.broadcast(Templates(templates))
+            found.append((d, -cover, -(b - a + 1), self.names[k], lo + pairs[a][1] - int(at[d]), lo + pairs[b][1] - int(at[d]), self.kinds[k]))
+        out: list[tuple] = []
+        taken: dict[int, list[tuple[int, int]]] = {}
+        for d, cover, _, name, a, b, kind in sorted(found):
+            own = taken.setdefault(d, [])
+            if all(b < x or a > y for x, y in own):
+                own.append((a, b))
+                out.append((d, name, kind, -cover, a, b))
+        return sorted(out, key=lambda r: (r[0], r[4]))
+
+
+def scan(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, license, kind, coverage, first_word, last_word) of each license found in a text; kind: text or notice."""
+    shared = docs.sparkSession.sparkContext.broadcast(Templates(texts(), notices()))
 
     def run(batches):
         for b in slices(batches):
             hits = shared.value.find(b.column(1), least)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([h[0] for h in hits], pa.int64())), *[pa.array([h[i] for h in hits], t) for i, t in ((1, pa.string()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64()))]], ["doc_id", "license", "coverage", "first_word", "last_word"])
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([h[0] for h in hits], pa.int64())), *[pa.array([h[i + 1] for h in hits], t) for i, t in enumerate(kinds)]], ["doc_id", "license", "kind", "coverage", "first_word", "last_word"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, license string, coverage double, first_word long, last_word long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, license string, kind string, coverage double, first_word long, last_word long")
