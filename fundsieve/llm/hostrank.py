@@ -52,7 +52,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: flo
     Ranks only grow from round to round, so the growth of their sum is their summed change. Rounds end when it is within
     the tolerance and no new host was reached; more than `rounds` of them fail.
     """
-    degree = edges.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("links"))
+    # Written tables on both sides of a join: adaptive execution can then split the rows of a hub.
+    edges = cut(edges)
+    degree = cut(edges.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("links")))
     edges = cut(edges.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping / F.col("links")).alias("share")))
     start = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("rank"))
     ranks = start
@@ -87,7 +89,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float
     edges = links.select(F.lit("trust").alias("kind"), "src", "dst").union(links.select(F.lit("distrust"), F.col("dst"), F.col("src")))
     ranks = propagate(edges, seeds, damping, tolerance, rounds)
     of = lambda k: F.coalesce(F.max(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k)
-    hosts = ranks.groupBy("host").agg(of("trust"), of("distrust"))
+    hosts = cut(ranks.groupBy("host").agg(of("trust"), of("distrust")))
     trust, distrust = (F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust"))
     by_host = F.when(distrust > threshold * trust, "block").otherwise("allow")
     return named.join(hosts, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_host).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))

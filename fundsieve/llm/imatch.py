@@ -6,7 +6,7 @@ the subsets cover the lexicon): the hash of its sorted distinct terms in that su
 that agree, of those that either document fills.
 
 A lexicon has at most (mean distinct terms of a document) / low terms, as each takes up `low` of all documents; its
-size is counted, and it is broadcast only below BROADCAST_TERMS, else joined by shuffle.
+size is counted, and it is broadcast only below `broadcast_terms`, else joined by shuffle.
 
 Cases: null texts count as empty; a text without a term of the band is fingerprinted by its own hash and is like equal
 texts only; rows stand in descending id order, null ids last, rows of one id by their text's hash, and the row after
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from fundsieve.llm.tables import cut, quantile_cuts, range_bucket
 
-SUBSETS, PART, BROADCAST_TERMS = 64, 4, 500_000
+SUBSETS, PART, BROADCAST_TERMS, ROWS_PER_RANGE, RANGES = 64, 4, 500_000, 2000, (128, 1024)
 EMPTY = "." * PART
 
 
@@ -73,7 +73,7 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     Rows are dealt by ranges of ids; the first row of each range also visits the range before it, so no task needs
     another's rows. They stay dealt by part, so work that groups by part and rid needs no shuffle of its own.
     """
-    cuts = quantile_cuts(docs, ["doc_id"], buckets)
+    cuts = quantile_cuts(docs, ["doc_id"], buckets, 32 * buckets)
     dealt = docs.withColumn("home", range_bucket(docs, ["doc_id"], cuts))
     edges = sorted((r.home, r.top) for r in dealt.groupBy("home").agg(F.max("doc_id").alias("top")).collect())
     visits = [(home, top, edges[(i + 1) % len(edges)][0]) for i, (home, top) in enumerate(edges)]
@@ -87,16 +87,15 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     return rows.select("part", "doc_id", "text", "next_text", rid(F.col("part"), F.col("rn")).alias("rid"), F.when(F.col("next_guest"), rid(F.col("next_home"), F.lit(1))).otherwise(rid(F.col("part"), F.col("rn") + 1)).alias("next_rid"))
 
 
-def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25, buckets: int = 128) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     The edited text has the last half of the text replaced by as much of the next row's beginning.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = lexicon(docs, low, high)
-    size = words.count()
-    words = words.union(docs.sparkSession.createDataFrame([("",)], "term string"))
-    rows = with_next(docs, buckets)
+    small = words.count() <= broadcast_terms
+    rows = with_next(docs, min(RANGES[1], max(RANGES[0], -(-docs.count() // ROWS_PER_RANGE))))
     half = F.floor(F.char_length("text") / 2).cast("int")
     n = F.char_length("text")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
@@ -104,7 +103,11 @@ def edited_fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.25,
     own = F.struct("doc_id", n.cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha"), F.sha2("edited", 256).alias("edited_sha256"), "next_rid")
     sides = F.array(F.struct(F.lit(0).alias("side"), F.concat(F.array(F.lit("")), distinct_terms(F.col("text"))).alias("terms"), own.alias("own")), F.struct(F.lit(1).alias("side"), distinct_terms(F.col("edited")).alias("terms"), F.lit(None).alias("own")))
     flat = rows.select("part", "rid", F.explode(sides).alias("s")).select("part", "rid", "s.side", "s.own", F.explode("s.terms").alias("term")).withColumn("own", F.when(F.col("term") == "", F.col("own")))
-    kept = flat.join(F.broadcast(words) if size <= BROADCAST_TERMS else words, "term")
+    # The term "" carries a row's own columns through. It joins a broadcast lexicon, but no shuffled one, where it would be one key for all rows.
+    if small:
+        kept = flat.join(F.broadcast(words.union(docs.sparkSession.createDataFrame([("",)], "term string"))), "term")
+    else:
+        kept = flat.where("term <> ''").join(words, "term").unionByName(flat.where("term = ''"))
     of = lambda side: F.sort_array(F.collect_set(F.when((F.col("side") == side) & (F.col("term") != ""), F.col("term"))))
     made = kept.groupBy("part", "rid").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t0"), of(1).alias("t1"))
     made = made.select("rid", "own.*", fingerprint(F.col("t0"), F.col("own.sha")).alias("fingerprint"), fingerprint(F.col("t1"), F.col("own.edited_sha256")).alias("edited_fingerprint"))

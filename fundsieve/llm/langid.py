@@ -1,10 +1,11 @@
 """Language identification by cross-parsing entropy.
 
-For each language a suffix automaton is built over a bounded sample of labelled text. A text is cut greedily into the
+For each language a suffix automaton is built over a bounded sample of labelled text: runs of SAMPLE_CHARS characters,
+each from a place of its own in one of about SAMPLE_DOCS texts. A text is cut greedily into the
 longest pieces that occur in a language's sample; the language that needs the fewest pieces, normalised by the text's
 length and the sample's, wins. Every letter of the samples is a symbol of its own. All automata run over all texts of a batch in lockstep: the whole text is dealt into
 segments of SEGMENT symbols, and each step moves every segment on by one symbol. A segment's end also ends a piece, for
-all languages alike.
+all languages alike: at most one piece more for each SEGMENT symbols, in short texts none.
 
 Cases: null texts and texts without letters are `und` with score 0, and so is every text if nothing was learnt; ties go
 to the first language by name; repeated rows repeat; other columns are ignored.
@@ -26,7 +27,7 @@ from fundsieve.llm.words import slices
 
 SEGMENT = 256
 DENSE = 256  # symbols of a language, up to which its transitions are a full table
-SAMPLE_DOCS, SAMPLE_CHARS, REFERENCE_CHARS, ALL_REFERENCES = 120, 2000, 24_000, 1_200_000
+SAMPLE_DOCS, SAMPLE_CHARS = 120, 200
 
 
 class Automaton:
@@ -101,10 +102,9 @@ def code_points(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    def __init__(self, texts: dict[str, list[str]], reference_chars: int = REFERENCE_CHARS):
+    def __init__(self, texts: dict[str, list[str]]):
         self.languages = sorted(texts)
-        chars = min(reference_chars, ALL_REFERENCES // max(1, len(texts)))
-        joined = {k: "\n".join(texts[k]).lower()[:chars] for k in self.languages}
+        joined = {k: "\n".join(texts[k]).lower() for k in self.languages}
         seen = Counter(c for t in joined.values() for c in t if c.isalpha())
         self.rare, self.pad = len(seen) + 1, len(seen) + 2  # letters of no sample; beyond the end of a text
         self.symbol = np.zeros(0x110000, np.int32)
@@ -168,16 +168,18 @@ def held_out(column: str = "doc_id"):
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Fit on about sample_docs labelled documents of each language outside the held-out fifth, each with its first sample_chars characters."""
-    train = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """Fit on about sample_docs labelled texts of each language outside the held-out fifth, each with a run of sample_chars characters from a place of its own."""
+    train = docs.where(~held_out() & F.col("lang").isNotNull() & (F.char_length("text") > 0))
     counts = {r.lang: r.n for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model({})
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, sample_docs / n))])[F.col("lang")]
-    picked = train.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000)
-    rows = sorted(picked.select("lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("text").alias("h")).distinct().collect(), key=lambda r: (r.h, r.text))
+    digest = F.xxhash64("text")  # copies are in together or out together, and count once
+    picked = train.where(F.pmod(digest, F.lit(1_000_000)) < share * 1_000_000)
+    start = F.pmod(F.xxhash64(digest), F.greatest(F.lit(1), F.char_length("text") - sample_chars + 1)) + 1
+    rows = picked.select("lang", F.substring(F.col("text"), start.cast("int"), F.lit(sample_chars)).alias("text"), digest.alias("h")).distinct().collect()
     texts: dict[str, list[str]] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r.h, r.text)):
         texts.setdefault(r.lang, []).append(r.text)
     return Model(texts)
 

@@ -60,4 +60,24 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_page_differencing, op3_byte_bpe, op4_url_filter, op5_decontaminate, op6_license_scan, op7_toxicity, op8_warc, op9_language_id, op10_minhash_neardup)}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN strlen(h) >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM q""",
+    "op10_minhash_neardup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+low AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(low.other, s.doc_id)) AS component_id, least(s.doc_id, coalesce(low.other, s.doc_id)) = s.doc_id AS kept
+FROM s LEFT JOIN low USING (doc_id)""",
+}

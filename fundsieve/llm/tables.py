@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset, a new local one (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset and all runs in one process (tests), a new local one."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         set_to = "file://" + tempfile.mkdtemp(prefix="fundsieve-")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")

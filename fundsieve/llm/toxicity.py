@@ -27,7 +27,7 @@ from fundsieve.llm.langid import held_out
 from fundsieve.llm.tables import small_batches
 from fundsieve.llm.words import slices, word_hashes
 
-SAMPLE_ROWS, NEIGHBOURS, BLOCK, FLOOR, SEEN_BITS = 4000, 25, 64, 0.02, 22
+SAMPLE_ROWS, NEIGHBOURS, BLOCK, FLOOR, SEEN_BITS = 2000, 25, 128, 0.02, 22
 
 
 def word_terms(column) -> tuple[np.ndarray, np.ndarray]:
@@ -78,12 +78,12 @@ class Index:
         term = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0, np.int64)
         unit = np.concatenate(units) if vectors else np.zeros(0)
         by = np.argsort(term, kind="stable")
-        term, self.example, self.value = term[by], example[by].astype(np.int32), unit[by].astype(np.float32)
+        term, self.example, self.value = term[by], example[by], unit[by].astype(np.float32)
         # Postings lie by term and example; a cell is the part of a term's list that lies in one block.
         cell = term * max(1, self.blocks) + self.example // BLOCK
         _, first = np.unique(cell, return_index=True)
         self.posting_at = np.append(first, len(term)).astype(np.int32)
-        self.cell_block = (self.example[first] // BLOCK).astype(np.int32)
+        self.cell_block = self.example[first] // BLOCK
         self.cell_most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0, np.float32)
         self.cell_at = np.searchsorted(term[first], np.arange(len(hashes) + 1)).astype(np.int32)
 

@@ -186,6 +186,16 @@ def test_language(docs, odd, empty):
     assert langid.with_language(odd, model).columns == odd.columns
 
 
+def test_language_of_short_and_long_texts(spark, docs):
+    """The end of a segment ends a piece in every language alike: length alone decides nothing."""
+    model = langid.learn(docs)
+    rows = [r for r in docs.select("text", "lang").collect() if r.lang and len(r.text) > 1000]
+    short, long = (sum(p == r.lang for p, r in zip(model.predict(pa.array([f(r.text) for r in rows]))[0], rows, strict=True)) for f in (lambda t: t[:250], lambda t: " ".join([t] * 20)))
+    assert short >= 0.9 * len(rows) and long >= 0.95 * len(rows)
+    copies = spark.createDataFrame([(None, "aaa bbb " * 9, "xx")] * 40 + [(None, f"ccc ddd {i} " * 9, "yy") for i in range(400)], "doc_id long, text string, lang string")
+    assert langid.learn(copies).languages == ["xx", "yy"]
+
+
 def test_automaton_parse_is_greedy():
     model = langid.Model({"x": ["abracadabra"], "y": ["zzz"]})
     want = 0
@@ -273,6 +283,47 @@ def test_fingerprints(spark, docs, odd, empty):
     assert imatch.edited_fingerprints(odd).count() == len(ODD) and imatch.edited_fingerprints(empty).count() == 0
 
 
+def test_fingerprints_equal_brute_force(spark, docs):
+    """Fingerprints and likenesses recomputed from the texts; Spark gives the hashes of single strings only."""
+    from pyspark.sql import functions as F
+
+    rows = {r.doc_id: r for r in imatch.edited_fingerprints(docs).collect()}
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = sorted(text, reverse=True)
+    following = {i: ids[(k + 1) % len(ids)] for k, i in enumerate(ids)}
+    edited = {i: t[: len(t) - len(t) // 2] + text[following[i]][: len(t) // 2] for i, t in text.items()}
+    terms = lambda t: set(re.findall(r"[^\W_]+", t.lower()))
+    df: dict = {}
+    for t in text.values():
+        for w in terms(t):
+            df[w] = df.get(w, 0) + 1
+    band = sorted(w for w, n in df.items() if 0.002 * len(text) <= n <= max(1.0, 0.25 * len(text)))
+    subsets = {r.t: r.s for r in spark.createDataFrame([(w,) for w in band], "t string").select("t", imatch.subsets_of(F.col("t")).alias("s")).collect()}
+    parts = {}
+    for own in (*text.values(), *edited.values()):
+        in_band = sorted(terms(own) & set(band), key=lambda w: w.encode())
+        parts[own] = [" ".join(w for w in in_band if subsets[w] >> k & 1) for k in range(imatch.SUBSETS)]
+    joined = sorted({j for p in parts.values() for j in p if j})
+    hashed = {r.j: r.h for r in spark.createDataFrame([(j,) for j in joined], "j string").select("j", F.lower(F.hex(F.xxhash64("j"))).alias("h")).collect()}
+    prints = {own: [hashed[j].rjust(imatch.PART, "0")[-imatch.PART :] if j else imatch.EMPTY for j in p] if any(p) else None for own, p in parts.items()}
+    like = lambda a, b: 1.0 if a == b else sum(x == y != imatch.EMPTY for x, y in zip(a, b, strict=True)) / sum(x != imatch.EMPTY or y != imatch.EMPTY for x, y in zip(a, b, strict=True)) if a and b else 0.0
+    checked = 0
+    for i, t in text.items():
+        if prints[t] and prints[edited[i]] and prints[text[following[i]]]:
+            checked += 1
+            assert (rows[i].fingerprint, rows[i].edited_fingerprint) == ("".join(prints[t]), "".join(prints[edited[i]]))
+            assert abs(rows[i].near_edited - like(prints[t], prints[edited[i]])) < 1e-9 and abs(rows[i].near_next - like(prints[t], prints[text[following[i]]])) < 1e-9
+    assert checked > 0.9 * len(text)
+    near = [r.near_edited for r in rows.values()]
+    assert sum(near) / len(near) > 3 * sum(r.near_next for r in rows.values()) / len(near)  # half a text in common shows
+
+
+def test_a_shuffled_lexicon_gives_the_same_fingerprints(odd, docs):
+    for df in (odd, docs):
+        a, b = (sorted(map(str, imatch.edited_fingerprints(df, broadcast_terms=n).collect())) for n in (0, 500_000))
+        assert a == b
+
+
 def test_fingerprints_use_the_whole_band(spark):
     few = spark.createDataFrame([(i, f"word{i}") for i in range(200)], "doc_id long, text string")
     prints = [r.fingerprint for r in imatch.edited_fingerprints(few).collect()]
@@ -369,6 +420,31 @@ def test_host_verdicts(spark):
     assert got[2].trust > 0 and got[4].distrust > 0
 
 
+def test_ranks_equal_a_dense_page_rank(spark):
+    rng = np.random.default_rng(8)
+    n = 40
+    edges = sorted({(int(a), int(b)) for a, b in rng.integers(0, n, (160, 2)) if a != b} | {(0, k) for k in range(1, n)})
+    seeds = {1: 0.25, 5: 0.75}
+    share = np.zeros((n, n))
+    for a, b in edges:
+        share[b, a] = 1 / sum(x == a for x, _ in edges)
+    start = np.array([seeds.get(i, 0.0) for i in range(n)])
+    rank = np.linalg.solve(np.eye(n) - 0.85 * share, 0.15 * start)
+    rank /= rank.sum()
+    df = spark.createDataFrame([("trust", f"h{a}", f"h{b}") for a, b in edges], "kind string, src string, dst string")
+    start = spark.createDataFrame([("trust", f"h{i}", s) for i, s in seeds.items()], "kind string, host string, seed double")
+    got = {int(r.host[1:]): r["rank"] for r in hostrank.propagate(df, start, 0.85, 1e-9, 1000).collect()}
+    assert all(abs(got.get(i, 0.0) - rank[i]) < 1e-6 for i in range(n))
+
+
+def test_host_verdicts_of_odd_tables(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string, host string, rank double")
+    assert hostrank.judge(empty, queries.URL_RULES).count() == 0
+    rows = [(1, "http://a.net/x", None, "clash", 1.0)] * 3 + [(None, "://", "<a href='//b.net/'>", "clash", 2.0), (2, "http://b.net" + "/long" * 100_000, "<a href=" * 50_000, "clash", 3.0)]
+    got = hostrank.judge(spark.createDataFrame(rows, "page_id long, url string, html string, host string, rank double"), queries.URL_RULES).collect()
+    assert len(got) == 5 and {r.verdict for r in got} == {"allow"}
+
+
 def test_host_verdicts_reach_the_end_of_a_long_chain(spark):
     link = '<a href="http://{}/">x</a>'
     rows = [(0, "http://x.com/de/1", "")] + [(i, f"http://n{i}.net/", link.format(f"n{i - 1}.net" if i > 1 else "x.com")) for i in range(1, 26)]
@@ -448,6 +524,14 @@ def test_warc_keeps_every_payload_of_repeated_ids(spark):
     assert sorted((r.page_id, r.record_type, r.payload_bytes) for r in got) == [(0, "response", 6_000_000), (1, "revisit", 6_000_000), (2, "revisit", 6_000_000)]
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_oracle(spark, name):
+    import oracle
+
+    sf = "/root/testdata/sf0.01"
+    assert oracle.differ(spark, oracle.connect(sf), queries.QUERIES[name], queries.ORACLES[name], sf) is None
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
@@ -457,3 +541,35 @@ def test_pipeline(spark):
         assert kept.columns == docs.columns, name
         assert kept.join(docs, "doc_id", "left_anti").count() == 0
     assert 0 < corpus_pipeline.run(spark, SF).count() <= docs.count()
+
+
+def test_pipeline_equals_its_operators_on_a_table_of_known_rows(spark, tmp_path):
+    """Which rows each stage must drop is known: no letters, toxic, near copies, benchmark passages; the rest stays and is counted."""
+    import corpus_pipeline
+
+    docs, items, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark", "labels"))
+    rows = docs.collect()
+    base = max(rows, key=lambda r: r.n_chars).text.split()
+    rng = np.random.default_rng(6)
+    fresh = lambda n: " ".join(rng.choice(base, n).tolist())
+    own = fresh(300)
+    more = [(10_001, own), (10_002, own + " one more"), (10_003, own), (10_004, fresh(60) + " " + items.first().text + " " + fresh(60)), (10_005, "12 34 !"), (10_006, ""), (10_007, None), (None, fresh(200)), (10_008, fresh(20_000))]
+    for table in (items, labels):
+        table.write.parquet(str(tmp_path / ("benchmark.parquet" if table is items else "labels.parquet")))
+    docs.unionByName(spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in more], docs.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {r.doc_id for r in out}
+    assert {10_001, 10_008, None} <= got and not got & {10_002, 10_003, 10_004, 10_005, 10_006, 10_007}
+    assert len(out) == len({r.doc_id for r in out})
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+
+
+def test_stages_with_odd_rows(spark, odd):
+    import corpus_pipeline
+
+    kept = {name: [r.doc_id for r in stage(spark, odd, SF).collect()] for name, stage in corpus_pipeline.STAGES}
+    assert sorted(kept["near_duplicates"], key=str) == sorted([1, 2, 3, 4, 6, 7, None], key=str)
+    assert sorted(kept["decontaminate"], key=str) == sorted(kept["tokens"], key=str) == sorted((r[0] for r in ODD), key=str)
+    assert not {1, 2} & set(kept["language"])
