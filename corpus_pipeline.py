@@ -15,27 +15,27 @@ from fundsieve.llm.tables import cut
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a language."""
+    """Drops texts without a language: null and empty ones, those without a letter, and all where nothing could be learnt. Null ids and repeated rows are kept like others."""
     return langid.with_language(docs, langid.learn(docs))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that score as toxic."""
+    """Drops texts that score as toxic, by labels of rows still here. Null, empty and unlike texts get the rate of toxic labels, so they stay; repeated rows share one fate; without labels all stay."""
     return toxicity.without_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates (five words, similarity 0.8)."""
+    """Keeps one document of each group of near-duplicates (five words, similarity 0.8), the smallest id. Texts without words are in no group; of equal rows one stays, and every row with a null id."""
     return neardup.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item, by id: all rows of that id go, rows with a null id stay. Null and empty texts hold none; without items all stay."""
     return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes."""
+    """Token counts and digests of the ids and of the decoded bytes of every row; null texts count as empty."""
     return bpe.round_trip(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
