@@ -16,7 +16,11 @@ VIEWS = {
  CASE WHEN o_custkey % 2 = 0 THEN 'NATIONAL' ELSE 'REGIONAL' END AS scope, r_name AS region,
  CAST(o_orderdate AS DATE) AS opening_date, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderdate + INTERVAL 90 DAY AS DATE) END AS closing_date,
  (o_orderkey % 11 = 0) AS permanent, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS min_cost, o_totalprice * 4 AS max_cost,
- concat('https://s', CAST(o_custkey % 20 AS VARCHAR(5)), '.example.org/p/', CAST(o_orderkey % 14000 AS VARCHAR(20))) AS official_page
+ concat('https://s', CAST(o_custkey % 20 AS VARCHAR(5)), '.example.org/p/', CAST(o_orderkey % 14000 AS VARCHAR(20))) AS official_page,
+ CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'PME' WHEN 2 THEN 'PME|ETI' WHEN 3 THEN 'ETI|GE' WHEN 4 THEN 'STARTUP|PME' ELSE 'PME|ETI|GE' END AS company_categories,
+ CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END AS themes,
+ CASE WHEN o_orderkey % 5 = 0 THEN concat('https://s', CAST(o_custkey % 20 AS VARCHAR(5)), '.example.org/cdc/', CAST(o_orderkey AS VARCHAR(20)), '.pdf') END AS cdc_link,
+ CASE WHEN o_orderkey % 3 = 1 THEN 'versement au solde' END AS disbursement_terms, CASE WHEN o_orderkey % 7 < 3 THEN 'remboursement sur 5 ans' END AS repayment_terms
  FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey""",
     "fx_evidence": """SELECT l_orderkey AS program_id, l_linenumber AS seq,
  CASE CAST(l_partkey % 8 AS INT) WHEN 0 THEN 'objective' WHEN 1 THEN 'beneficiaries' WHEN 2 THEN 'financialTerms' WHEN 3 THEN 'projectsExpected' WHEN 4 THEN 'eligibleExpenses' WHEN 5 THEN 'calendar' WHEN 6 THEN 'prerequisites' ELSE 'selectionCriteria' END AS field,

@@ -73,9 +73,11 @@ def counted_samples(hits: DataFrame, by: str, key: str, k: int = 20, salts: int
 
 
 def completeness(programs: DataFrame, evidence: DataFrame, fields: list[str]) -> DataFrame:
-    """Share of checks that hold, in percent: own columns and a piece of evidence per field."""
-    has = evidence.groupBy("program_id").agg(F.collect_set("field").alias("fields"))
-    own = [F.coalesce(F.col("title"), F.lit("")) != "", F.col("official_page").isNotNull(), F.col("instrument").isNotNull(), F.col("scope").isNotNull(), F.col("region").isNotNull(), F.col("closing_date").isNotNull() | F.col("permanent"), F.col("min_cost").isNotNull(), F.col("max_cost").isNotNull()]
+    """Share of sixteen checks that hold, in percent: own columns, a piece of evidence per field, and six pieces at least."""
+    has = evidence.groupBy("program_id").agg(F.collect_set("field").alias("fields"), F.count(F.lit(1)).alias("pieces"))
+    repaid = ~F.col("instrument").isin("AVANCE_REMBOURSABLE", "PRET_TAUX_ZERO") | F.col("repayment_terms").isNotNull()
+    filled = [F.col(c).isNotNull() for c in ("company_categories", "instrument", "themes", "cdc_link", "disbursement_terms")]
+    own = [F.coalesce(F.col("title"), F.lit("")) != "", *filled, F.col("closing_date").isNotNull() | F.col("permanent"), repaid, F.col("pieces") >= 6]
     checks = own + [F.array_contains("fields", f) for f in fields]
     hits = reduce(lambda a, b: a + b, [F.coalesce(c.cast("int"), F.lit(0)) for c in checks])
     return programs.join(has, "program_id", "left").select("program_id", F.round(100.0 * hits / len(checks)).cast("long").alias("completeness"))

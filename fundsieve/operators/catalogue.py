@@ -143,9 +143,12 @@ def qa_flags(programs: DataFrame, evidence: DataFrame) -> DataFrame:
         ("MISSING_ELIGIBLE_EXPENSES", lacks("eligibleExpenses")),
         ("MISSING_PREREQUISITES", lacks("prerequisites")),
         ("MISSING_SELECTION_CRITERIA", lacks("selectionCriteria")),
+        ("MISSING_CDC", F.col("cdc_link").isNull()),
+        ("MISSING_COMPANY_CATEGORY", F.col("company_categories").isNull()),
         ("DATE_INCONSISTENCY", F.col("opening_date") > F.col("closing_date")),
         ("MISSING_FINANCIAL_TERMS", lacks("financialTerms")),
-        ("MISSING_REPAYMENT_TERMS", repay & lacks("financialTerms")),
+        ("MISSING_DISBURSEMENT_TERMS", F.col("disbursement_terms").isNull()),
+        ("MISSING_REPAYMENT_TERMS", repay & F.col("repayment_terms").isNull()),
     )
     return t.select("program_id", F.array_join(out, "|").alias("flags"), F.size(out).cast("long").alias("n_flags"))
 
@@ -163,7 +166,8 @@ def confidence(coverage: DataFrame, fields: list[str] = CRITICAL) -> DataFrame:
 def verification(programs: DataFrame, evidence: DataFrame) -> DataFrame:
     proven = evidence.where(F.col("tier").isin("A", "B") & F.col("field").isin(CRITICAL)).groupBy("program_id").agg(F.countDistinct("field").alias("covered"))
     t = programs.join(proven, "program_id", "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
-    ok = (F.col("covered") == len(CRITICAL)) & (F.col("permanent") | F.col("closing_date").isNotNull()) & F.col("instrument").isNotNull()
+    repaid = ~F.col("instrument").isin("AVANCE_REMBOURSABLE", "PRET_TAUX_ZERO") | F.col("repayment_terms").isNotNull()
+    ok = (F.col("covered") == len(CRITICAL)) & (F.col("permanent") | F.col("closing_date").isNotNull()) & F.col("instrument").isNotNull() & F.col("company_categories").isNotNull() & repaid
     return t.select("program_id", F.col("covered").cast("long").alias("covered"), F.when(ok, "VERIFIE").otherwise("A_REVERIFIER").alias("status"))
 
 
@@ -195,13 +199,15 @@ def recent_or_active(as_of: str) -> Column:
 GENERIC_TITLE = r"(?i)^(accueil|home|aides?|dispositif|document|page|sans titre|nos aides|toutes nos aides|contact et aide)$"
 
 
-def publication_reason(programs: DataFrame, proofs: DataFrame, certified: DataFrame, as_of: str) -> DataFrame:
+def publication_reason(programs: DataFrame, proofs: DataFrame, sources: DataFrame, as_of: str, forbidden: list[str]) -> DataFrame:
     """The first gate that a programme fails, in order; null: published."""
-    t = programs.join(proofs, "program_id", "left").join(certified.select("source_id", F.lit(True).alias("certified")), "source_id", "left")
+    t = programs.join(proofs, "program_id", "left").join(sources.select("source_id", F.lit(True).alias("configured"), "certified"), "source_id", "left")
     call = F.col("kind").rlike("AAP|AMI")
     lacks = lambda c: ~F.coalesce(c, F.lit(False))
     reason = (
-        F.when(lacks("certified"), "SOURCE_NOT_CERTIFIED")
+        F.when(F.col("program_id").isNull() | F.col("title").isNull(), "INVALID_RECORD")
+        .when(lacks("configured"), "SOURCE_NOT_CONFIGURED")
+        .when(lacks("certified"), "SOURCE_NOT_CERTIFIED")
         .when(lacks(recent_or_active(as_of)), "INACTIVE_OR_STALE")
         .when(~call & (F.col("instrument").isNull() | (F.col("instrument") == "AUTRE")), "MISSING_INSTRUMENT_EVIDENCE")
         .when(~call & ~F.col("instrument").isin(TARGET), "OUT_OF_TARGET_INSTRUMENT")
@@ -210,7 +216,9 @@ def publication_reason(programs: DataFrame, proofs: DataFrame, certified: DataFr
         .when(lacks("instrument_proof"), "MISSING_INSTRUMENT_EVIDENCE")
         .when(lacks("enterprise"), "MISSING_ENTERPRISE_EVIDENCE")
         .when((F.length(F.trim("title")) < 4) | F.col("title").rlike(GENERIC_TITLE), "GENERIC_TITLE")
-        .when(~F.col("official_page").rlike("(?i)^https://"), "MISSING_DIRECT_URL")
+        .when(F.coalesce("official_page", F.lit("")) == "", "MISSING_DIRECT_URL")
+        .when(~F.col("official_page").rlike("(?i)^https://[^/]"), "INVALID_DIRECT_URL")
+        .when(F.lower(F.regexp_extract("official_page", "(?i)^https?://([^/?#]*)", 1)).isin(forbidden), "FORBIDDEN_AGGREGATOR")
     )
     return t.select("program_id", "source_id", reason.alias("reason"))
 
@@ -249,3 +257,52 @@ def date_state(programs: DataFrame, as_of: str) -> DataFrame:
 def paris_days(events: DataFrame, ts: str) -> DataFrame:
     day = F.to_date(F.from_utc_timestamp(ts, "Europe/Paris"))
     return events.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).withColumn("next_day", F.date_add("day", 1))
+
+
+def alias_dedupe(rows: DataFrame, page: Column, title: Column, catalogue_paths: list[str]) -> DataFrame:
+    """One row per alias: the page's key, or title, scope and territory where the page is absent or a catalogue's. Of rows of one alias the first that has a value gives it; their sources are listed."""
+    own = F.lower(F.regexp_extract("page", "^https?://[^/]*([^?]*)", 1))
+    territory = F.when(F.col("scope") == "REGIONAL", F.col("region")).otherwise("FRANCE")
+    by_title = F.concat(F.lit("title:"), title, F.lit("|"), "scope", F.lit("|"), territory)
+    alias = F.when(F.col("page").isNull() | own.isin(catalogue_paths), by_title).otherwise(F.concat(F.lit("url:"), "page"))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("program_id"))).alias(c)
+    sources = F.array_join(F.transform(F.sort_array(F.collect_set("source_id")), lambda x: x.cast("string")), "|")
+    return rows.withColumn("page", page).groupBy(alias.alias("alias")).agg(F.min("program_id").alias("kept"), F.count(F.lit(1)).alias("records"), F.min_by("name", "program_id").alias("title"), first("closing_date"), sources.alias("sources"))
+
+
+def report_movements(before: DataFrame, after: DataFrame, key: str, fields: list[str], closed: str) -> DataFrame:
+    """(key, movement, reason): new, modified in any field, and obsolete rows, which vanished or became closed. Without an earlier table nothing counts as new."""
+    b, a = (t.select(key, F.lit(True).alias(f"_{n}"), *[F.col(c).alias(f"{n}_{c}") for c in fields]) for t, n in ((before, "b"), (after, "a")))
+    old, new = F.col("_b").isNotNull(), F.col("_a").isNotNull()
+    differs = reduce(lambda x, y: x | y, [~F.col(f"b_{c}").eqNullSafe(F.col(f"a_{c}")) for c in fields])
+    started = F.broadcast(before.agg((F.count(F.lit(1)) > 0).alias("_started")))  # one row
+    ends = F.col("a_lifecycle").rlike(closed) & ~F.col("b_lifecycle").rlike(closed)
+    one = lambda cond, m, why: F.when(cond, F.struct(F.lit(m).alias("movement"), F.lit(why).cast("string").alias("reason")))
+    moves = F.array_compact(F.array(one(~old & F.col("_started"), "new", None), one(old & new & differs, "modified", None), one(old & ~new, "obsolete", "DISPARU_DE_LA_COLLECTE"), one(old & new & ends, "obsolete", "DEVENU_CLOS_OU_OBSOLETE")))
+    return b.join(a, key, "full_outer").crossJoin(started).select(key, F.explode(moves).alias("m")).select(key, "m.*")
+
+
+def home(programs: DataFrame, runs: DataFrame, verified: DataFrame, as_of: str) -> DataFrame:
+    """(metric, name, value): shares by scope, the commonest instruments and regions, the soonest closings and counters."""
+    day = F.lit(as_of).cast("date")
+    count = F.count(F.lit(1))
+    said = lambda t, metric, name, value: t.select(F.lit(metric).alias("metric"), name.alias("name"), value.cast("double").alias("value"))
+    none = F.lit("")
+    total = programs.agg(count.alias("total"))
+    shares = programs.groupBy("scope").agg(count.alias("n")).crossJoin(F.broadcast(total)).select(F.concat(F.lit("share:"), "scope").alias("metric"), none.alias("name"), F.round(100.0 * F.col("n") / F.col("total"), 6).alias("value"))
+    top = lambda c, k: said(programs.groupBy(c).agg(count.alias("n")).orderBy(F.desc("n"), c).limit(k), c, F.col(c), F.col("n"))
+    soon = programs.where(F.col("closing_date") >= day).orderBy("closing_date", "program_id").limit(6)
+    parts = [shares, top("instrument", 6), top("region", 8), said(soon, "closing", F.col("program_id").cast("string"), F.datediff("closing_date", day))]
+    parts.append(said(runs.agg(F.round(100.0 * F.count_if("success") / count, 6).alias("n")), "source_success", none, F.col("n")))
+    counters = programs.agg(F.count_if(F.col("opening_date") == day).alias("created_today"), F.count_if(F.col("lifecycle") == "ACTIVE").alias("active"))
+    parts += [said(counters, c, none, F.col(c)) for c in ("created_today", "active")]
+    parts.append(said(verified.agg(F.count_if(F.col("status") == "VERIFIE").alias("n")), "verified", none, F.col("n")))
+    return reduce(DataFrame.union, parts)
+
+
+def reporting(programs: DataFrame, completeness: DataFrame, k: int = 8) -> DataFrame:
+    """The sources with most programmes, and the shares of those with a direct link, a document, a date, and nearly all fields."""
+    share = lambda c: F.round(100.0 * F.count_if(c) / F.count(F.lit(1)), 6)
+    t = programs.join(completeness, "program_id", "left")
+    g = t.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), share(F.col("official_page").startswith("https://")).alias("direct_share"), share(F.col("cdc_link").isNotNull()).alias("document_share"), share(F.col("closing_date").isNotNull() | F.col("permanent")).alias("dated_share"), share(F.col("completeness") >= 80).alias("complete_share"))
+    return g.orderBy(F.desc("n"), "source_id").limit(k)

@@ -66,7 +66,8 @@ def e3_link_hygiene(t):
 
 @query("SELECT official_page, min(program_id) AS program_id, arg_min(title, program_id) AS title FROM fx_program WHERE lifecycle <> 'ARCHIVE' GROUP BY 1")
 def e4_direct_library(t):
-    rows = t("fx_program").where("lifecycle <> 'ARCHIVE'").dropDuplicates(["program_id"])
+    rows = t("fx_program").where("lifecycle <> 'ARCHIVE'")
+    rows = A.first_of(rows, "program_id", ["opening_date", "title"], ["opening_date", "title", "official_page"])
     return A.first_of(rows, "official_page", ["program_id"], ["program_id", "title"])
 
 
@@ -111,9 +112,13 @@ def e20_stock_purge(t):
 # F: quality and audit
 
 
-@query(f"WITH f AS (SELECT program_id, list(DISTINCT field) AS fields FROM fx_evidence GROUP BY 1) SELECT program_id, round(100.0 * ((title <> '')::INT + (official_page IS NOT NULL)::INT + (instrument IS NOT NULL)::INT + (scope IS NOT NULL)::INT + (region IS NOT NULL)::INT + (closing_date IS NOT NULL OR permanent)::INT + (min_cost IS NOT NULL)::INT + (max_cost IS NOT NULL)::INT + len(coalesce(list_intersect(fields, [{', '.join(repr(f) for f in C.CRITICAL)}]), []))) / 16)::BIGINT AS completeness FROM fx_program LEFT JOIN f USING (program_id)")
+COMPLETE_FIELDS = ["objective", "beneficiaries", "projectsExpected", "eligibleExpenses", "prerequisites", "selectionCriteria", "financialTerms"]
+COMPLETE_SQL = f"SELECT program_id, round(100.0 * ((title <> '')::INT + (company_categories IS NOT NULL)::INT + (instrument IS NOT NULL)::INT + (themes IS NOT NULL)::INT + (cdc_link IS NOT NULL)::INT + (disbursement_terms IS NOT NULL)::INT + (closing_date IS NOT NULL OR permanent)::INT + (instrument NOT IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') OR repayment_terms IS NOT NULL)::INT + coalesce(pieces >= 6, FALSE)::INT + len(coalesce(list_intersect(fields, [{', '.join(repr(f) for f in COMPLETE_FIELDS)}]), []))) / 16)::BIGINT AS completeness FROM fx_program LEFT JOIN (SELECT program_id, list(DISTINCT field) AS fields, count(*) AS pieces FROM fx_evidence GROUP BY 1) f USING (program_id)"
+
+
+@query(COMPLETE_SQL)
 def f2_completeness(t):
-    return A.completeness(t("fx_program"), t("fx_evidence"), C.CRITICAL)
+    return A.completeness(t("fx_program"), t("fx_evidence"), COMPLETE_FIELDS)
 
 
 @query(f"SELECT program_id, rule FROM (SELECT program_id, unnest(list_filter([CASE WHEN length(title) < 14 THEN 'TITLE_LENGTH' END, CASE WHEN instrument NOT IN {listed(C.TARGET)} THEN 'INSTRUMENT_ENUM' END, CASE WHEN NOT regexp_matches(official_page, '^https://[^/]+/p/[0-9]+$') THEN 'PAGE_FORMAT' END, CASE WHEN min_cost > 300000 THEN 'COST_RANGE' END], x -> x IS NOT NULL)) AS rule FROM fx_program)")
@@ -285,3 +290,11 @@ def h3_change_log(t):
 @query(f"SELECT program_id, type, fields, changed_on FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY changed_on DESC, program_id) AS r FROM ({CHANGE_SQL}) WHERE type <> 'MODIFICATION' OR contains(fields, 'closing_date')) WHERE r <= CASE type WHEN 'CREATION' THEN 40 WHEN 'MODIFICATION' THEN 30 ELSE 20 END")
 def h4_watch_feed(t):
     return A.watch_feed(dated_changes(t), ["closing_date"], {"CREATION": 40, "MODIFICATION": 30, "SORTIE_PERIMETRE": 20}).select("program_id", "type", "fields", "changed_on")
+
+
+# L: reporting
+
+
+@query(f"SELECT source_id, count(*) AS n, round(100.0 * count(*) FILTER (starts_with(official_page, 'https://')) / count(*), 6)::DOUBLE AS direct_share, round(100.0 * count(cdc_link) / count(*), 6)::DOUBLE AS document_share, round(100.0 * count(*) FILTER (permanent OR closing_date IS NOT NULL) / count(*), 6)::DOUBLE AS dated_share, round(100.0 * count(*) FILTER (completeness >= 80) / count(*), 6)::DOUBLE AS complete_share FROM fx_program LEFT JOIN ({COMPLETE_SQL}) USING (program_id) GROUP BY 1 ORDER BY n DESC, source_id LIMIT 8")
+def l2_reporting(t):
+    return C.reporting(t("fx_program"), A.completeness(t("fx_program"), t("fx_evidence"), COMPLETE_FIELDS))

@@ -298,9 +298,20 @@ def e5_canonical_key(t):
     return t("fx_program").select("program_id", F.concat_ws(":", F.col("source_id").cast("string"), F.col("program_id").cast("string")).alias("canonical_key"))
 
 
-@query("SELECT official_page, min(program_id) AS kept, count(*) AS records, arg_min(title, program_id) AS title FROM fx_program GROUP BY 1")
+# Paths of catalogue pages, which stand for no single programme.
+CATALOGUE_PATHS = ["", "/", "/stock", "/catalogue", "/aides", "/les-aides", "/vos-aides", "/appels", "/fr/appels", "/les-aides-et-appels-a-projets", "/aides-financieres/catalogue"]
+ALIAS_ROWS = """SELECT *, CASE WHEN program_id % 50 = 0 THEN NULL WHEN program_id % 50 = 1 THEN concat('https://s', CAST(source_id AS VARCHAR(5)), '.example.org/aides/') WHEN program_id % 3 = 0 THEN concat(official_page, '/?utm_source=x') ELSE official_page END AS url,
+ CASE WHEN program_id % 100 < 50 THEN 'Appel à projets Énergie' ELSE title END AS name FROM fx_program"""
+ALIAS_TITLE = "'title:' || trim(regexp_replace(regexp_replace(" + NORM.format(c="name") + f", '{GENERIC_WORDS}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) || '|' || scope || '|' || CASE WHEN scope = 'REGIONAL' THEN region ELSE 'FRANCE' END"
+
+
+@query(f"""WITH r AS ({ALIAS_ROWS}), k AS (SELECT *, {DEDUPE_URL} AS page FROM r), g AS (SELECT *, CASE WHEN page IS NULL OR lower(regexp_extract(page, '^https?://[^/]*([^?]*)', 1)) IN {listed(CATALOGUE_PATHS)} THEN {ALIAS_TITLE} ELSE 'url:' || page END AS alias FROM k)
+SELECT alias, min(program_id) AS kept, count(*) AS records, arg_min(name, program_id) AS title, arg_min(closing_date, program_id) FILTER (closing_date IS NOT NULL) AS closing_date, array_to_string(list_sort(list(DISTINCT source_id)), '|') AS sources FROM g GROUP BY 1""")
 def e6_alias_dedupe(t):
-    return t("fx_program").groupBy("official_page").agg(F.min("program_id").alias("kept"), F.count(F.lit(1)).alias("records"), F.min_by("title", "program_id").alias("title"))
+    n = F.col("program_id") % 50
+    page = F.when(n == 0, None).when(n == 1, F.concat(F.lit("https://s"), F.col("source_id").cast("string"), F.lit(".example.org/aides/"))).when(F.col("program_id") % 3 == 0, F.concat("official_page", F.lit("/?utm_source=x"))).otherwise(F.col("official_page"))
+    name = F.when(F.col("program_id") % 100 < 50, "Appel à projets Énergie").otherwise(F.col("title"))
+    return C.alias_dedupe(t("fx_program").withColumn("url", page).withColumn("name", name), T.dedupe_url(F.col("url")), title_core(F.col("name")), CATALOGUE_PATHS)
 
 
 @query(f"""WITH ranked AS (SELECT program_id, seq, source_url, checked_on, evidence_text, tier, CASE WHEN seq % 3 = 0 THEN NULL ELSE evidence_text END AS v, {RANK} AS rk FROM fx_evidence),
@@ -367,7 +378,7 @@ def e19_volume_gate(t):
 
 
 @query("""WITH f AS (SELECT program_id, list(DISTINCT field) AS fields FROM fx_evidence GROUP BY 1),
-k AS (SELECT p.program_id, list_filter([CASE WHEN title = '' THEN 'MISSING_TITLE' END, CASE WHEN official_page IS NULL THEN 'MISSING_SOURCE' END, CASE WHEN NOT h('objective') THEN 'MISSING_OBJECTIVE' END, CASE WHEN NOT h('beneficiaries') THEN 'MISSING_BENEFICIARIES' END, CASE WHEN instrument IS NULL THEN 'MISSING_AID_TYPE' END, CASE WHEN closing_date IS NULL AND NOT permanent THEN 'MISSING_DEADLINE' END, CASE WHEN NOT h('eligibleExpenses') THEN 'MISSING_ELIGIBLE_EXPENSES' END, CASE WHEN NOT h('prerequisites') THEN 'MISSING_PREREQUISITES' END, CASE WHEN NOT h('selectionCriteria') THEN 'MISSING_SELECTION_CRITERIA' END, CASE WHEN opening_date > closing_date THEN 'DATE_INCONSISTENCY' END, CASE WHEN NOT h('financialTerms') THEN 'MISSING_FINANCIAL_TERMS' END, CASE WHEN instrument IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') AND NOT h('financialTerms') THEN 'MISSING_REPAYMENT_TERMS' END], x -> x IS NOT NULL) AS flags FROM fx_program p LEFT JOIN f USING (program_id))
+k AS (SELECT p.program_id, list_filter([CASE WHEN title = '' THEN 'MISSING_TITLE' END, CASE WHEN official_page IS NULL THEN 'MISSING_SOURCE' END, CASE WHEN NOT h('objective') THEN 'MISSING_OBJECTIVE' END, CASE WHEN NOT h('beneficiaries') THEN 'MISSING_BENEFICIARIES' END, CASE WHEN instrument IS NULL THEN 'MISSING_AID_TYPE' END, CASE WHEN closing_date IS NULL AND NOT permanent THEN 'MISSING_DEADLINE' END, CASE WHEN NOT h('eligibleExpenses') THEN 'MISSING_ELIGIBLE_EXPENSES' END, CASE WHEN NOT h('prerequisites') THEN 'MISSING_PREREQUISITES' END, CASE WHEN NOT h('selectionCriteria') THEN 'MISSING_SELECTION_CRITERIA' END, CASE WHEN cdc_link IS NULL THEN 'MISSING_CDC' END, CASE WHEN company_categories IS NULL THEN 'MISSING_COMPANY_CATEGORY' END, CASE WHEN opening_date > closing_date THEN 'DATE_INCONSISTENCY' END, CASE WHEN NOT h('financialTerms') THEN 'MISSING_FINANCIAL_TERMS' END, CASE WHEN disbursement_terms IS NULL THEN 'MISSING_DISBURSEMENT_TERMS' END, CASE WHEN instrument IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') AND repayment_terms IS NULL THEN 'MISSING_REPAYMENT_TERMS' END], x -> x IS NOT NULL) AS flags FROM fx_program p LEFT JOIN f USING (program_id))
 SELECT program_id, array_to_string(flags, '|') AS flags, len(flags)::BIGINT AS n_flags FROM k""".replace("h('", "coalesce(list_contains(fields, '").replace("') THEN", "'), FALSE) THEN"))
 def f1_qa_flags(t):
     return C.qa_flags(t("fx_program"), t("fx_evidence"))
@@ -386,7 +397,7 @@ def f4_confidence(t):
     return C.confidence(C.evidence_coverage(t("fx_evidence")))
 
 
-@query(f"""SELECT p.program_id, coalesce(covered, 0)::BIGINT AS covered, CASE WHEN covered = 8 AND (permanent OR closing_date IS NOT NULL) THEN 'VERIFIE' ELSE 'A_REVERIFIER' END AS status
+@query(f"""SELECT p.program_id, coalesce(covered, 0)::BIGINT AS covered, CASE WHEN covered = 8 AND (permanent OR closing_date IS NOT NULL) AND company_categories IS NOT NULL AND (instrument NOT IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') OR repayment_terms IS NOT NULL) THEN 'VERIFIE' ELSE 'A_REVERIFIER' END AS status
 FROM fx_program p LEFT JOIN (SELECT program_id, count(DISTINCT field) AS covered FROM fx_evidence WHERE tier IN ('A', 'B') AND field IN {listed(C.CRITICAL)} GROUP BY 1) e USING (program_id)""")
 def f5_verification(t):
     return C.verification(t("fx_program"), t("fx_evidence"))
@@ -421,10 +432,11 @@ def f18_source_health(t):
 # G: publication
 
 
+AGGREGATORS = ["s3.example.org", "s7.example.org"]
 PROOF_SQL = "SELECT program_id, bool_or(field = 'objective') AS guichet, bool_or(field = 'calendar') AS status, bool_or(field = 'financialTerms') AS instrument_proof, bool_or(field = 'beneficiaries') AS enterprise FROM fx_evidence WHERE tier IN ('A', 'B') AND regexp_matches(source_url, '(?i)^https?://') GROUP BY 1"
-REASON_SQL = f"""SELECT p.program_id, p.source_id, CASE WHEN p.source_id NOT IN (SELECT source_id FROM fx_source WHERE strategy <> 'control-only') THEN 'SOURCE_NOT_CERTIFIED' WHEN lifecycle <> 'ACTIVE' OR NOT (permanent OR closing_date IS NULL OR closing_date > {DAY}) THEN 'INACTIVE_OR_STALE'
+REASON_SQL = f"""SELECT p.program_id, p.source_id, CASE WHEN title IS NULL THEN 'INVALID_RECORD' WHEN p.source_id NOT IN (SELECT source_id FROM fx_source) THEN 'SOURCE_NOT_CONFIGURED' WHEN p.source_id NOT IN (SELECT source_id FROM fx_source WHERE strategy <> 'control-only') THEN 'SOURCE_NOT_CERTIFIED' WHEN lifecycle <> 'ACTIVE' OR NOT (permanent OR closing_date IS NULL OR closing_date > {DAY}) THEN 'INACTIVE_OR_STALE'
  WHEN kind = 'AIDE' AND instrument = 'AUTRE' THEN 'MISSING_INSTRUMENT_EVIDENCE' WHEN kind = 'AIDE' AND instrument NOT IN {listed(C.TARGET)} THEN 'OUT_OF_TARGET_INSTRUMENT' WHEN NOT coalesce(guichet, FALSE) THEN 'MISSING_GUICHET_EVIDENCE' WHEN NOT coalesce(status, FALSE) THEN 'MISSING_STATUS_EVIDENCE'
- WHEN NOT coalesce(instrument_proof, FALSE) THEN 'MISSING_INSTRUMENT_EVIDENCE' WHEN NOT coalesce(enterprise, FALSE) THEN 'MISSING_ENTERPRISE_EVIDENCE' WHEN length(title) < 4 THEN 'GENERIC_TITLE' WHEN NOT starts_with(official_page, 'https://') THEN 'MISSING_DIRECT_URL' END AS reason FROM fx_program p LEFT JOIN ({PROOF_SQL}) e USING (program_id)"""
+ WHEN NOT coalesce(instrument_proof, FALSE) THEN 'MISSING_INSTRUMENT_EVIDENCE' WHEN NOT coalesce(enterprise, FALSE) THEN 'MISSING_ENTERPRISE_EVIDENCE' WHEN length(title) < 4 THEN 'GENERIC_TITLE' WHEN coalesce(official_page, '') = '' THEN 'MISSING_DIRECT_URL' WHEN NOT starts_with(official_page, 'https://') THEN 'INVALID_DIRECT_URL' WHEN regexp_extract(official_page, 'https://([^/]*)', 1) IN {listed(AGGREGATORS)} THEN 'FORBIDDEN_AGGREGATOR' END AS reason FROM fx_program p LEFT JOIN ({PROOF_SQL}) e USING (program_id)"""
 
 
 def proofs(t):
@@ -432,7 +444,7 @@ def proofs(t):
 
 
 def reasons(t):
-    return C.publication_reason(t("fx_program"), proofs(t), t("fx_source").where("strategy <> 'control-only'"), AS_OF)
+    return C.publication_reason(t("fx_program"), proofs(t), t("fx_source").select("source_id", (F.col("strategy") != "control-only").alias("certified")), AS_OF, AGGREGATORS)
 
 
 @query(PROOF_SQL)
@@ -481,11 +493,14 @@ def h1_changes(t):
     return C.changes(t("fx_before"), t("fx_after"), "program_id", FIELDS)
 
 
-@query("""SELECT kind, count(*) AS n FROM (SELECT CASE WHEN b.program_id IS NULL THEN 'new' WHEN a.program_id IS NULL OR (a.lifecycle = 'ARCHIVE' AND b.lifecycle <> 'ARCHIVE') THEN 'obsolete' WHEN a.closing_date IS DISTINCT FROM b.closing_date OR a.lifecycle <> b.lifecycle THEN 'modified' ELSE 'same' END AS kind FROM fx_before b FULL JOIN fx_after a ON a.program_id = b.program_id) GROUP BY 1""")
+CLOSED = "ARCHIVE|STALE|CLOS|CLOSED|EXPIRED|OBSOLETE"
+
+
+@query("""WITH j AS (SELECT coalesce(a.program_id, b.program_id) AS program_id, a.program_id IS NULL AS gone, b.program_id IS NULL AS fresh, a.lifecycle AS la, b.lifecycle AS lb, """ + " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in FIELDS) + f""" AS differs FROM fx_before b FULL JOIN fx_after a ON a.program_id = b.program_id)
+SELECT program_id, 'new' AS movement, NULL::VARCHAR AS reason FROM j WHERE fresh AND (SELECT count(*) FROM fx_before) > 0 UNION ALL SELECT program_id, 'modified', NULL FROM j WHERE NOT fresh AND NOT gone AND differs UNION ALL SELECT program_id, 'obsolete', 'DISPARU_DE_LA_COLLECTE' FROM j WHERE gone
+UNION ALL SELECT program_id, 'obsolete', 'DEVENU_CLOS_OU_OBSOLETE' FROM j WHERE NOT fresh AND NOT gone AND regexp_matches(la, '{CLOSED}') AND NOT regexp_matches(lb, '{CLOSED}')""")
 def h2_report_diff(t):
-    b, a = t("fx_before").select("program_id", F.col("lifecycle").alias("lb"), F.col("closing_date").alias("cb")), t("fx_after").select("program_id", F.col("lifecycle").alias("la"), F.col("closing_date").alias("ca"))
-    kind = F.when(F.col("lb").isNull(), "new").when(F.col("la").isNull() | ((F.col("la") == "ARCHIVE") & (F.col("lb") != "ARCHIVE")), "obsolete").when(~F.col("ca").eqNullSafe(F.col("cb")) | (F.col("la") != F.col("lb")), "modified").otherwise("same")
-    return b.join(a, "program_id", "full_outer").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return C.report_movements(t("fx_before"), t("fx_after"), "program_id", FIELDS, CLOSED)
 
 
 # I: time
@@ -571,16 +586,12 @@ def k5_fit_scores(t):
     return pair.select("company_id", "program_id", finance.alias("finance"), F.when((F.col("scope") == "NATIONAL") | (F.col("region") == F.col("company_region")), 1.0).otherwise(0.0).alias("territory"))
 
 
-@query(f"SELECT scope, count(*) AS n, count(*) FILTER (lifecycle = 'ACTIVE') AS active, count(*) FILTER (closing_date >= {DAY}) AS upcoming, min(closing_date) FILTER (closing_date >= {DAY}) AS soonest FROM fx_program GROUP BY 1")
+@query(f"""WITH p AS (SELECT * FROM fx_program), i AS (SELECT instrument AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 6), r AS (SELECT region AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 8), c AS (SELECT CAST(program_id AS VARCHAR) AS k, date_diff('day', {DAY}, closing_date) AS n FROM p WHERE closing_date >= {DAY} ORDER BY closing_date, program_id LIMIT 6)
+SELECT 'share:' || scope AS metric, '' AS name, round(100.0 * count(*) / (SELECT count(*) FROM p), 6)::DOUBLE AS value FROM p GROUP BY scope UNION ALL SELECT 'instrument', k, n::DOUBLE FROM i UNION ALL SELECT 'region', k, n::DOUBLE FROM r UNION ALL SELECT 'closing', k, n::DOUBLE FROM c
+UNION ALL SELECT 'source_success', '', round(100.0 * count(*) FILTER (success) / count(*), 6)::DOUBLE FROM fx_run UNION ALL SELECT 'created_today', '', count(*)::DOUBLE FROM p WHERE opening_date = {DAY} UNION ALL SELECT 'active', '', count(*)::DOUBLE FROM p WHERE lifecycle = 'ACTIVE'
+UNION ALL SELECT 'verified', '', count(*)::DOUBLE FROM (SELECT program_id FROM fx_evidence WHERE tier IN ('A', 'B') AND field IN {listed(C.CRITICAL)} GROUP BY 1 HAVING count(DISTINCT field) = 8) e JOIN p USING (program_id) WHERE (permanent OR closing_date IS NOT NULL) AND company_categories IS NOT NULL AND (instrument NOT IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') OR repayment_terms IS NOT NULL)""")
 def l1_home(t):
-    ahead = F.col("closing_date") >= F.lit(AS_OF).cast("date")
-    return t("fx_program").groupBy("scope").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lifecycle") == "ACTIVE").alias("active"), F.count_if(ahead).alias("upcoming"), F.min(F.when(ahead, F.col("closing_date"))).alias("soonest"))
-
-
-@query("SELECT instrument, count(*) AS n, round(100.0 * count(closing_date) / count(*), 6)::DOUBLE AS dated_share FROM fx_program GROUP BY 1 ORDER BY n DESC, instrument LIMIT 8")
-def l2_reporting(t):
-    g = t("fx_program").groupBy("instrument").agg(F.count(F.lit(1)).alias("n"), F.round(100.0 * F.count("closing_date") / F.count(F.lit(1)), 6).alias("dated_share"))
-    return g.orderBy(F.desc("n"), "instrument").limit(8)
+    return C.home(t("fx_program"), t("fx_run"), C.verification(t("fx_program"), t("fx_evidence")), AS_OF)
 
 
 @query("SELECT s.source_id, s.name, max(r.checked_at) AS last_sync, count(r.cycle_id) AS runs FROM fx_source s LEFT JOIN fx_run r USING (source_id) GROUP BY 1, 2")
