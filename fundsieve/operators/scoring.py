@@ -29,6 +29,26 @@ def bigrams(words: Column) -> Column:
     return F.transform(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 1)), lambda x, i: F.concat_ws(" ", x, words[i + 1]))
 
 
+def by_territory(projects: DataFrame, programs: DataFrame) -> DataFrame:
+    """Pairs of projects(company_region, ...) and the programmes of their region or of the whole country, by one equi-join on the territory."""
+    asks = projects.withColumn("territory_key", F.explode(F.array_distinct(F.array("company_region", F.lit("NATIONAL")))))
+    key = F.when(F.col("scope") == "NATIONAL", "NATIONAL").otherwise(F.col("region"))
+    return asks.join(programs.withColumn("territory_key", key), "territory_key").drop("territory_key")
+
+
+def fit_scores(pairs: DataFrame, day: Column, has_terms: Column) -> DataFrame:
+    """Adds calendar, finance, territory, size and access, each from 0 to 1; middle values where a side says nothing."""
+    calendar = F.when(F.col("permanent"), 1.0).when(F.col("closing_date").isNull(), 0.55).when(F.col("closing_date") >= day, 1.0).otherwise(0.0)
+    outside = F.coalesce(F.col("budget") < F.col("min_cost"), F.lit(False)) | F.coalesce(F.col("budget") > F.col("max_cost"), F.lit(False))
+    bounded = F.col("min_cost").isNotNull() | F.col("max_cost").isNotNull()
+    finance = F.when(F.col("budget") == 0, F.when(has_terms, 0.65).otherwise(0.5)).when(outside, 0.0).when(bounded | has_terms, 1.0).otherwise(0.65)
+    territory = F.when((F.col("scope") == "NATIONAL") | (F.col("region") == F.col("company_region")), 1.0).otherwise(0.0)
+    unknown = (F.col("category") == "À préciser") | F.col("company_categories").isNull()
+    size = F.when(unknown, 0.55).when(F.array_contains(F.split("company_categories", r"\|"), F.col("category")), 1.0).otherwise(0.0)
+    t = pairs.withColumns({"calendar": calendar, "finance": finance, "territory": territory, "size": size})
+    return t.withColumn("access", 0.58 * F.col("territory") + 0.42 * F.col("calendar"))
+
+
 def relevance(pairs: DataFrame, keys: list[str], dimensions: dict[str, tuple[Column, Column]]) -> DataFrame:
     """score = mean ratio of the documented dimensions in percent; dimension -> (documented, ratio)."""
     known = {d: F.coalesce(c.cast("int"), F.lit(0)) for d, (c, _) in dimensions.items()}
@@ -38,12 +58,13 @@ def relevance(pairs: DataFrame, keys: list[str], dimensions: dict[str, tuple[Col
 
 
 def eligibility(pairs: DataFrame, keys: list[str], evidence: DataFrame, criteria: list[tuple[str, str, Column]]) -> DataFrame:
-    """Status per pair. A criterion (name, field, fails) blocks only with proof of tier A or B on its field; else it is to be checked."""
+    """Status per pair. A criterion (name, field, fails) blocks only with proof of tier A or B on its field, else it is to be checked; one without a rule (None) is to be checked until its field has proof."""
     proven = evidence.where(F.col("tier").isin("A", "B")).groupBy("program_id").agg(F.collect_set("field").alias("proven"))
     t = pairs.join(proven, "program_id", "left")
     has = lambda f: F.coalesce(F.array_contains("proven", f), F.lit(False))
     one = lambda bad, f: F.when(F.coalesce(bad, F.lit(False)), F.when(has(f), "NON CONFORME").otherwise("À VÉRIFIER")).otherwise("CONFORME")
-    state = F.array(*[F.struct(F.lit(n).alias("name"), one(bad, f).alias("state")) for n, f, bad in criteria])
+    shown = lambda f: F.when(has(f), "CONFORME").otherwise("À VÉRIFIER")
+    state = F.array(*[F.struct(F.lit(n).alias("name"), (shown(f) if bad is None else one(bad, f)).alias("state")) for n, f, bad in criteria])
     t = t.withColumn("c", state)
     of = lambda s: F.transform(F.filter("c", lambda x: x["state"] == s), lambda x: x["name"])
     overall = F.when(F.size(of("NON CONFORME")) > 0, "NON CONFORME").when(F.size(of("À VÉRIFIER")) > 0, "À VÉRIFIER").otherwise("CONFORME")

@@ -565,25 +565,28 @@ def k10_bm25f_ranking(t):
     return ranked.select("item_id", "doc_id", F.round("bm25", 4).alias("bm25"), "rank")
 
 
-@query(BM25_SQL + "SELECT item_id, doc_id, round(1.0 / (60 + row_number() OVER (PARTITION BY item_id ORDER BY round(bm25, 6) DESC, doc_id)) + 1.0 / (60 + row_number() OVER (PARTITION BY item_id ORDER BY doc_id)), 8)::DOUBLE AS rrf FROM s")
-def k11_rank_fusion(t):
-    s = bm25(t).withColumn("score", F.round("bm25", 6))
-    return M.reciprocal_rank_fusion(s, "item_id", [[F.desc("score"), "doc_id"], ["doc_id"]]).select("item_id", "doc_id", F.round("rrf", 8).alias("rrf"))
+CONCEPTS = [("ia", "ia|data|the"), ("energie", "energie|und"), ("export", "export|les")]
+CONCEPT_RULES = [(n, f"(^|[^a-z0-9])({p})($|[^a-z0-9])") for n, p in CONCEPTS]
+CONCEPT_SQL = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({MATCHING.format(c='text')}, '{p}') THEN '{n}' END" for n, p in CONCEPT_RULES) + "], x -> x IS NOT NULL)"
+IN_ORDER = "list_transform(list_filter(list_zip(w, generate_series(1, len(w))), z -> list_position(w, z[1]) = z[2]), z -> z[1])"
+PAIRED = "list_distinct(list_transform(generate_series(1, len(w) - 1), x -> w[x] || ' ' || w[x + 1]))"
+SIDE_SQL = "SELECT {key}, w, {pairs} AS b, c FROM (SELECT {key}, {order} AS w, c FROM (SELECT {key}, {terms} AS w, {concepts} AS c FROM {table}))"
+OVERLAP_SQL = "ov AS (SELECT item_id, doc_id, hits, bigram_hits, concept_hits, round(least(1.0, greatest(least(1.0, 0.52 * cov + 0.16 * prec + 0.14 * big + 0.18 * least(1.0, con)), least(1.0, 0.68 * con + 0.32 * cov)) + CASE WHEN hits >= 4 THEN 0.07 ELSE 0 END + CASE WHEN concept_hits >= 2 THEN 0.07 ELSE 0 END), 6)::DOUBLE AS ratio FROM (SELECT *, hits::DOUBLE / least(qn, 16) AS cov, hits::DOUBLE / least(n, 20) AS prec, CASE WHEN qb > 0 THEN bigram_hits::DOUBLE / least(qb, 8) ELSE 0 END AS big, CASE WHEN qc > 0 THEN concept_hits::DOUBLE / greatest(1, ceil(0.55 * qc)) ELSE 0 END AS con FROM (SELECT item_id, doc_id, len(list_intersect(d.w, q.w))::BIGINT AS hits, len(list_intersect(d.b, q.b))::BIGINT AS bigram_hits, len(list_intersect(d.c, q.c))::BIGINT AS concept_hits, len(d.w) AS n, len(q.w) AS qn, len(q.b) AS qb, len(q.c) AS qc FROM (" + SIDE_SQL.format(key="doc_id", table="documents", pairs=PAIRED, order=IN_ORDER, terms=TERMS.format(c="text"), concepts=CONCEPT_SQL) + ") d, (" + SIDE_SQL.format(key="item_id", table="benchmark", pairs=PAIRED, order=IN_ORDER, terms=TERMS.format(c="text"), concepts=CONCEPT_SQL) + ") q) WHERE hits > 0))"
+
 
+def overlaps(t):
+    return M.overlap(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), CONCEPT_RULES).where("hits > 0")
 
-@query(f"""WITH d AS (SELECT doc_id, list_distinct({TERMS.format(c='text')}) AS w FROM documents), q AS (SELECT item_id, list_distinct({TERMS.format(c='text')}) AS w FROM benchmark)
-SELECT item_id, doc_id, len(list_intersect(d.w, q.w))::BIGINT AS hits FROM d, q WHERE len(list_intersect(d.w, q.w)) > 0""")
+
+@query("WITH " + OVERLAP_SQL + " SELECT * FROM ov")
 def k4_overlap_hits(t):
-    return M.overlap(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text")).where("hits > 0").select("item_id", "doc_id", "hits")
+    return overlaps(t)
 
 
-@query("""SELECT company_id, program_id, CASE WHEN budget < coalesce(min_cost, 0) OR budget > max_cost THEN 0.0 WHEN min_cost IS NOT NULL THEN 1.0 ELSE 0.65 END::DOUBLE AS finance, CASE WHEN p.scope = 'NATIONAL' OR p.region = c.region THEN 1.0 ELSE 0.0 END::DOUBLE AS territory
-FROM fx_company c JOIN fx_program p ON c.company_id % 5000 = p.program_id % 5000 AND c.region = p.region""")
-def k5_fit_scores(t):
-    c = t("fx_company").withColumnRenamed("region", "company_region")
-    pair = c.join(t("fx_program"), (F.col("company_id") % 5000 == F.col("program_id") % 5000) & (F.col("company_region") == F.col("region")))
-    finance = F.when((F.col("budget") < F.coalesce("min_cost", F.lit(0.0))) | (F.col("budget") > F.col("max_cost")), 0.0).when(F.col("min_cost").isNotNull(), 1.0).otherwise(0.65)
-    return pair.select("company_id", "program_id", finance.alias("finance"), F.when((F.col("scope") == "NATIONAL") | (F.col("region") == F.col("company_region")), 1.0).otherwise(0.0).alias("territory"))
+@query(BM25_SQL + ", " + OVERLAP_SQL + " SELECT item_id, doc_id, round(1.0 / (60 + row_number() OVER (PARTITION BY item_id ORDER BY ratio DESC, doc_id)) + 1.0 / (60 + row_number() OVER (PARTITION BY item_id ORDER BY round(bm25, 6) DESC, ratio DESC, doc_id)), 8)::DOUBLE AS rrf FROM s JOIN ov USING (item_id, doc_id)")
+def k11_rank_fusion(t):
+    s = bm25(t).withColumn("score", F.round("bm25", 6)).join(overlaps(t), ["item_id", "doc_id"])
+    return M.reciprocal_rank_fusion(s, "item_id", [[F.desc("ratio"), "doc_id"], [F.desc("score"), F.desc("ratio"), "doc_id"]]).select("item_id", "doc_id", F.round("rrf", 8).alias("rrf"))
 
 
 @query(f"""WITH p AS (SELECT * FROM fx_program), i AS (SELECT instrument AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 6), r AS (SELECT region AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 8), c AS (SELECT CAST(program_id AS VARCHAR) AS k, date_diff('day', {DAY}, closing_date) AS n FROM p WHERE closing_date >= {DAY} ORDER BY closing_date, program_id LIMIT 6)

@@ -9,7 +9,7 @@ from fundsieve.functions import text as T
 from fundsieve.operators import catalogue as C
 from fundsieve.operators import extraction as X
 from fundsieve.operators import scoring as S
-from fundsieve.plans.queries import DAY, MATCHING, NORM, TERMS, listed, query
+from fundsieve.plans.queries import CONCEPTS, DAY, MATCHING, NORM, TERMS, listed, query
 
 
 def day():
@@ -84,9 +84,6 @@ def k2_bigrams(t):
     return d.select("doc_id", F.size("w").cast("long").alias("tokens"), F.md5(F.array_join(S.bigrams(F.col("w")), "|")).alias("bigrams"))
 
 
-CONCEPTS = [("ia", "ia|data|the"), ("energie", "energie|und"), ("export", "export|les")]
-
-
 @query("SELECT doc_id, concept FROM (SELECT doc_id, unnest(list_filter([" + ", ".join(f"CASE WHEN regexp_matches({MATCHING.format(c='text')}, '(^|[^a-z0-9])({p})($|[^a-z0-9])') THEN '{n}' END" for n, p in CONCEPTS) + "], x -> x IS NOT NULL)) AS concept FROM documents)")
 def k3_concepts(t):
     m = T.matching_norm(F.col("text"))
@@ -100,28 +97,40 @@ def k6_funder_family(t):
     return t("fx_program").select("program_id", X.first_case(rules, "GENERAL").alias("family"))
 
 
-PAIR_SQL = "SELECT c.company_id, c.category, c.budget, c.region AS company_region, p.* FROM fx_company c JOIN fx_program p ON c.company_id % 500 = p.program_id % 500 AND c.region = p.region"
+# The projects asked for (companies with an id divisible by 100) meet every programme of their territory.
+PAIR_SQL = "SELECT c.company_id, c.category, c.budget, c.region AS company_region, p.* FROM fx_company c JOIN fx_program p ON p.scope = 'NATIONAL' OR c.region = p.region WHERE c.company_id % 100 = 0"
+FITS_SQL = f"""SELECT *, 0.58::DOUBLE * territory + 0.42::DOUBLE * calendar AS access FROM (SELECT *, CASE WHEN permanent THEN 1.0 WHEN closing_date IS NULL THEN 0.55 WHEN closing_date >= {DAY} THEN 1.0 ELSE 0.0 END::DOUBLE AS calendar,
+CASE WHEN budget = 0 THEN CASE WHEN instrument IN {listed(C.TARGET)} THEN 0.65 ELSE 0.5 END WHEN coalesce(budget < min_cost, FALSE) OR coalesce(budget > max_cost, FALSE) THEN 0.0 WHEN min_cost IS NOT NULL OR max_cost IS NOT NULL OR instrument IN {listed(C.TARGET)} THEN 1.0 ELSE 0.65 END::DOUBLE AS finance,
+CASE WHEN scope = 'NATIONAL' OR region = company_region THEN 1.0 ELSE 0.0 END::DOUBLE AS territory, CASE WHEN category = 'À préciser' OR company_categories IS NULL THEN 0.55 WHEN list_contains(string_split(company_categories, '|'), category) THEN 1.0 ELSE 0.0 END::DOUBLE AS size FROM ({PAIR_SQL}))"""
 
 
 def pairs(t):
-    c = t("fx_company").withColumnRenamed("region", "company_region")
-    return c.join(t("fx_program"), (F.col("company_id") % 500 == F.col("program_id") % 500) & (F.col("company_region") == F.col("region")))
+    c = t("fx_company").where("company_id % 100 = 0").withColumnRenamed("region", "company_region")
+    return S.by_territory(c, t("fx_program"))
+
+
+def fits(t):
+    return S.fit_scores(pairs(t), day(), F.col("instrument").isin(C.TARGET))
+
+
+@query(f"SELECT company_id, program_id, calendar, finance, territory, size, round(access, 6) AS access FROM ({FITS_SQL})")
+def k5_fit_scores(t):
+    return fits(t).select("company_id", "program_id", "calendar", "finance", "territory", "size", F.round("access", 6).alias("access"))
 
 
-SCORE_SQL = f"""SELECT company_id, program_id, (k1 + k2 + k3 + k4)::BIGINT AS documented, CASE WHEN k1 + k2 + k3 + k4 > 0 THEN floor(100.0::DOUBLE * (k1 * r1 + k2 * r2 + k3 * r3 + k4 * r4) / (k1 + k2 + k3 + k4) + 0.5) ELSE 0 END::BIGINT AS score FROM
-(SELECT company_id, program_id, (min_cost IS NOT NULL)::INT AS k1, coalesce(CASE WHEN budget < min_cost OR budget > max_cost THEN 0 ELSE 1 END, 0)::DOUBLE AS r1, (closing_date IS NOT NULL OR permanent)::INT AS k2, CASE WHEN permanent OR closing_date > {DAY} THEN 1.0 ELSE 0.0 END::DOUBLE AS r2,
-(category <> 'À préciser')::INT AS k3, CASE WHEN category IN ('PME', 'STARTUP') THEN 1.0 ELSE 0.55 END::DOUBLE AS r3, 1 AS k4, CASE WHEN scope = 'NATIONAL' THEN 1.0 ELSE 0.5 END::DOUBLE AS r4 FROM ({PAIR_SQL}))"""
+SCORE_SQL = f"""SELECT company_id, program_id, (k1 + k2 + k3 + 2)::BIGINT AS documented, floor(100.0::DOUBLE * (k1 * finance + k2 * calendar + k3 * size + territory + access) / (k1 + k2 + k3 + 2) + 0.5)::BIGINT AS score FROM
+(SELECT *, (min_cost IS NOT NULL OR max_cost IS NOT NULL)::INT AS k1, (closing_date IS NOT NULL OR permanent)::INT AS k2, (category <> 'À préciser' AND company_categories IS NOT NULL)::INT AS k3 FROM ({FITS_SQL}))"""
 
 
 def scored(t):
-    outside = (F.col("budget") < F.col("min_cost")) | (F.col("budget") > F.col("max_cost"))
     dims = {
-        "finance": (F.col("min_cost").isNotNull(), F.when(outside, 0.0).otherwise(1.0)),
-        "calendar": (F.col("closing_date").isNotNull() | F.col("permanent"), F.when(F.col("permanent") | (F.col("closing_date") > day()), 1.0).otherwise(0.0)),
-        "beneficiary": (F.col("category") != "À préciser", F.when(F.col("category").isin("PME", "STARTUP"), 1.0).otherwise(0.55)),
-        "territory": (F.lit(True), F.when(F.col("scope") == "NATIONAL", 1.0).otherwise(0.5)),
+        "finance": (F.col("min_cost").isNotNull() | F.col("max_cost").isNotNull(), F.col("finance")),
+        "calendar": (F.col("closing_date").isNotNull() | F.col("permanent"), F.col("calendar")),
+        "beneficiary": ((F.col("category") != "À préciser") & F.col("company_categories").isNotNull(), F.col("size")),
+        "territory": (F.lit(True), F.col("territory")),
+        "access": (F.lit(True), F.col("access")),
     }
-    return S.relevance(pairs(t), ["company_id", "program_id"], dims)
+    return S.relevance(fits(t), ["company_id", "program_id"], dims)
 
 
 @query(SCORE_SQL)
@@ -129,8 +138,8 @@ def k7_relevance(t):
     return scored(t)
 
 
-ELIGIBLE_SQL = f"""WITH e AS (SELECT program_id, list(DISTINCT field) AS f FROM fx_evidence WHERE tier IN ('A', 'B') GROUP BY 1), k AS (SELECT company_id, p.program_id, [CASE WHEN coalesce(instrument NOT IN {listed(C.TARGET)}, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'financialTerms'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(closing_date <= {DAY} AND NOT permanent, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'calendar'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(budget < min_cost, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'financialTerms'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN category = 'GE' THEN CASE WHEN coalesce(list_contains(f, 'beneficiaries'), FALSE) THEN 2 ELSE 1 END ELSE 0 END] AS s FROM ({PAIR_SQL}) p LEFT JOIN e ON e.program_id = p.program_id),
-n AS (SELECT company_id, program_id, list_zip(s, ['instrument', 'calendar', 'budget', 'size']) AS c FROM k),
+ELIGIBLE_SQL = f"""WITH e AS (SELECT program_id, list(DISTINCT field) AS f FROM fx_evidence WHERE tier IN ('A', 'B') GROUP BY 1), k AS (SELECT company_id, p.program_id, [CASE WHEN coalesce(instrument NOT IN {listed(C.TARGET)}, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'financialTerms'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(closing_date <= {DAY} AND NOT permanent, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'calendar'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(budget < min_cost, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'financialTerms'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(category <> 'À préciser' AND NOT list_contains(string_split(company_categories, '|'), category), FALSE) THEN CASE WHEN coalesce(list_contains(f, 'beneficiaries'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN lifecycle <> 'ACTIVE' THEN CASE WHEN coalesce(list_contains(f, 'calendar'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(budget > max_cost, FALSE) THEN CASE WHEN coalesce(list_contains(f, 'eligibleExpenses'), FALSE) THEN 2 ELSE 1 END ELSE 0 END, CASE WHEN coalesce(list_contains(f, 'prerequisites'), FALSE) THEN 0 ELSE 1 END, CASE WHEN coalesce(list_contains(f, 'selectionCriteria'), FALSE) THEN 0 ELSE 1 END] AS s FROM ({PAIR_SQL}) p LEFT JOIN e ON e.program_id = p.program_id),
+n AS (SELECT company_id, program_id, list_zip(s, ['instrument', 'calendar', 'budget', 'size', 'status', 'expenses', 'prerequisites', 'selection']) AS c FROM k),
 r AS (SELECT company_id, program_id, list_transform(list_filter(c, z -> z[1] = 2), z -> z[2]) AS bad, list_transform(list_filter(c, z -> z[1] = 1), z -> z[2]) AS open FROM n)
 SELECT company_id, program_id, CASE WHEN len(bad) > 0 THEN 'NON CONFORME' WHEN len(open) > 0 THEN 'À VÉRIFIER' ELSE 'CONFORME' END AS status, array_to_string(bad, '|') AS blocking, array_to_string(open, '|') AS to_check FROM r"""
 
@@ -140,7 +149,11 @@ def judged(t):
         ("instrument", "financialTerms", ~F.col("instrument").isin(C.TARGET)),
         ("calendar", "calendar", (F.col("closing_date") <= day()) & ~F.col("permanent")),
         ("budget", "financialTerms", F.col("budget") < F.col("min_cost")),
-        ("size", "beneficiaries", F.col("category") == "GE"),
+        ("size", "beneficiaries", (F.col("category") != "À préciser") & ~F.array_contains(F.split("company_categories", r"\|"), F.col("category"))),
+        ("status", "calendar", F.col("lifecycle") != "ACTIVE"),
+        ("expenses", "eligibleExpenses", F.col("budget") > F.col("max_cost")),
+        ("prerequisites", "prerequisites", None),
+        ("selection", "selectionCriteria", None),
     ]
     return S.eligibility(pairs(t), ["company_id", "program_id"], t("fx_evidence"), criteria)
 
