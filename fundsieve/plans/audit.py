@@ -133,7 +133,7 @@ def f7_criteria_audit(t):
 
 
 QA_SQL = """WITH f AS (SELECT program_id, list(DISTINCT field) AS fields, list(DISTINCT field) FILTER (tier IN ('A', 'B')) AS proven, bool_or(tier = 'A') AS document FROM fx_evidence GROUP BY 1),
-k AS (SELECT p.*, proven, document, (title = '')::INT + (official_page IS NULL)::INT + (NOT h('objective'))::INT + (NOT h('beneficiaries'))::INT + (instrument IS NULL)::INT + (closing_date IS NULL AND NOT permanent)::INT + (NOT h('eligibleExpenses'))::INT + (NOT h('prerequisites'))::INT + (NOT h('selectionCriteria'))::INT + coalesce((opening_date > closing_date)::INT, 0) + (NOT h('financialTerms'))::INT + (instrument IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') AND NOT h('financialTerms'))::INT AS n_flags FROM fx_program p LEFT JOIN f USING (program_id))
+k AS (SELECT p.*, proven, document, (title = '')::INT + (official_page IS NULL)::INT + (NOT h('objective'))::INT + (NOT h('beneficiaries'))::INT + (instrument IS NULL)::INT + (closing_date IS NULL AND NOT permanent)::INT + (NOT h('eligibleExpenses'))::INT + (NOT h('prerequisites'))::INT + (NOT h('selectionCriteria'))::INT + coalesce((opening_date > closing_date)::INT, 0) + (NOT h('financialTerms'))::INT + (cdc_link IS NULL)::INT + (company_categories IS NULL)::INT + (disbursement_terms IS NULL)::INT + (instrument IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') AND repayment_terms IS NULL)::INT AS n_flags FROM fx_program p LEFT JOIN f USING (program_id))
 """.replace("h('", "coalesce(list_contains(fields, '").replace("'))::", "'), FALSE))::")
 
 
