@@ -59,3 +59,32 @@ def test_calibration_and_assessment(spark):
     assert {r.source_id: r.calibrated for r in C.calibration(sources).collect()} == {1: True, 2: True, 3: False}
     runs = spark.createDataFrame([(1, 1, True, 226, 36), (2, 1, True, 226, 226), (3, 1, True, 226, 0), (4, 2, True, 0, 0)], "cycle_id int, source_id int, success boolean, discovered int, imported int")
     assert {r.cycle_id: r.ok for r in C.assess(runs, sources).collect()} == {1: False, 2: True, 3: False, 4: True}
+
+
+def test_golden_accents_and_mixed_dates(spark):
+    assert one(spark, "Ça VA : Été Šíř ñandú l’Œuvre x", T.norm) == "ca va : ete sir nandu l'œuvre x"
+    assert one(spark, "Clôture le 1er juillet, puis 2/3/2027, 2027-03-02 et 5 août 2026.", T.dates) == ["2026-08-05", "2027-03-02"]
+    assert one(spark, "aucune date en 1998", T.dates) == [] and one(spark, None, T.dates) == []
+    assert one(spark, "rien", T.amounts) == [] and one(spark, "1.500,50 EUROS", T.amounts) == [1500.5]
+
+
+def test_report_movements_and_aliases(spark):
+    schema = "id int, lifecycle string, title string"
+    before = spark.createDataFrame([(1, "ACTIVE", "a"), (2, "ACTIVE", "b"), (3, "ACTIVE", "c"), (4, "ARCHIVE", "d")], schema)
+    after = spark.createDataFrame([(1, "ACTIVE", "a"), (2, "CLOS", "b"), (4, "ARCHIVE", "d2"), (5, "ACTIVE", "e")], schema)
+    moves = lambda b: {(r.id, r.movement, r.reason) for r in C.report_movements(b, after, "id", ["lifecycle", "title"], Q.CLOSED).collect()}
+    assert moves(before) == {(2, "modified", None), (2, "obsolete", "DEVENU_CLOS_OU_OBSOLETE"), (3, "obsolete", "DISPARU_DE_LA_COLLECTE"), (4, "modified", None), (5, "new", None)}
+    assert moves(before.limit(0)) == set()
+    rows = [(1, 9, "https://A.org/x/?utm_source=q", "Un", None), (2, 8, "https://a.org/x", "Deux", "2027-01-01"), (3, 8, "https://a.org/aides/", "Appel à projet Vert", None), (4, 8, None, "AAP vert", None), (5, 8, "mailto:x", "Autre", None)]
+    df = spark.createDataFrame([(*r, "NATIONAL", "R") for r in rows], "program_id int, source_id int, url string, name string, closing_date string, scope string, region string")
+    got = {r.kept: (r.alias, r.records, r.title, r.closing_date, r.sources) for r in C.alias_dedupe(df, T.dedupe_url(F.col("url")), Q.title_core(F.col("name")), Q.CATALOGUE_PATHS).collect()}
+    assert got[1] == ("url:https://a.org/x", 2, "Un", "2027-01-01", "8|9") and got[3][:3] == ("title:vert|NATIONAL|FRANCE", 2, "Appel à projet Vert") and got[5][0] == "title:autre|NATIONAL|FRANCE"
+
+
+def test_fit_scores(spark):
+    from fundsieve.operators import scoring as S
+
+    rows = [(1, "PME", "R1", 10.0, "NATIONAL", "R2", True, None, 5.0, None, "PME|ETI"), (2, "GE", "R1", 1.0, "REGIONAL", "R1", False, "2020-01-01", 5.0, None, "PME"), (3, "À préciser", "R1", 0.0, "REGIONAL", "R2", False, None, None, None, "PME")]
+    df = spark.createDataFrame(rows, "id int, category string, company_region string, budget double, scope string, region string, permanent boolean, closing_date string, min_cost double, max_cost double, company_categories string")
+    got = {r.id: (r.calendar, r.finance, r.territory, r.size, round(r.access, 3)) for r in S.fit_scores(df, F.lit("2026-01-01"), F.lit(False)).collect()}
+    assert got == {1: (1.0, 1.0, 1.0, 1.0, 1.0), 2: (0.0, 0.0, 1.0, 0.0, 0.58), 3: (0.55, 0.5, 0.0, 0.55, 0.231)}
