@@ -29,6 +29,13 @@ VIEWS = {
  concat('value ', CAST(l_quantity AS INT)) AS evidence_text, CAST(l_shipdate AS DATE) AS checked_on FROM lineitem""",
     "fx_clause": """SELECT l_orderkey AS program_id, l_linenumber AS seq,
  concat('Subvention au taux de ', CAST(CAST(round(l_discount*100) AS INT) AS VARCHAR(5)), ' % pour les PME. Montant de l''aide plafond ', CAST(CAST(l_quantity AS INT) AS VARCHAR(5)), ' k€. Date limite de dépôt : ', substring(CAST(CAST(l_shipdate AS DATE) + INTERVAL 9132 DAY AS VARCHAR(30)),1,10), '.') AS text FROM lineitem""",
+    "fx_terms": """SELECT l_orderkey AS program_id, l_linenumber AS seq, CASE (l_orderkey + l_linenumber) % 5
+ WHEN 0 THEN concat('Subvention au taux de ', r, ' % pour les PME. Montant de l''aide plafond ', q, ' k€. Date limite de dépôt : ', d, '.')
+ WHEN 1 THEN concat('Avance remboursable de ', r, ' %, ', q, ' 000 € au plus, pour les PME et les ETI. Coût total du projet compris entre ', q, '00 000 € et ', q1, '00 000 €. Relève le ', d, '.')
+ WHEN 2 THEN concat('Prêt à taux zéro pour toutes les entreprises. Aide maximum de ', q, ',5 M€. Ouverture le ', d, '.')
+ WHEN 3 THEN 'Dotation pour les grandes entreprises et les start-up. Dépôt au fil de l''eau.'
+ ELSE concat('Accompagnement gratuit, valeur ', q, ' euros. Candidature le ', d, '.') END AS text
+ FROM (SELECT *, CAST(CAST(round(l_discount*100) AS INT) AS VARCHAR(5)) AS r, CAST(CAST(l_quantity AS INT) AS VARCHAR(5)) AS q, CAST(CAST(l_quantity AS INT) + 1 AS VARCHAR(5)) AS q1, substring(CAST(CAST(l_shipdate AS DATE) + INTERVAL 9132 DAY AS VARCHAR(30)),1,10) AS d FROM lineitem)""",
     "fx_source": """SELECT s_suppkey AS source_id, s_name AS name, n_name AS scope, CASE WHEN s_suppkey % 7 = 0 THEN 'control-only' ELSE 'catalog-html' END AS strategy,
  CAST(5 + s_suppkey % 10 AS INT) AS min_expected, CAST(2 + s_suppkey % 5 AS INT) AS min_imported, 0.3 AS min_import_ratio FROM supplier JOIN nation ON s_nationkey=n_nationkey""",
     "fx_run": """SELECT event_id AS cycle_id, user_id AS source_id, ts AS checked_at, (event_type<>'error') AS success, CAST(floor(value) AS INT) AS discovered,

@@ -125,3 +125,34 @@ def size_parts(rows: DataFrame, key: str, span: int, limit: int) -> DataFrame:
     before = Window.partitionBy("range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("part", F.floor(F.coalesce(F.sum("chars").over(before), F.lit(0)) / limit))
     return t.groupBy("range", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+
+
+def financial_terms(clauses: DataFrame, key: str) -> DataFrame:
+    """Per key: bounds of the amounts in sentences on the aid and of the rates in sentences on rates, each of all sentences where none is so worded, and of project costs, whose maximum needs two amounts."""
+    s = clauses.select(key, F.explode(T.sentences(F.col("text"))).alias("s")).withColumn("n", T.norm(F.col("s")))
+    s = s.select(key, "n", T.amounts(F.col("s")).alias("a"), T.rates(F.col("s")).alias("r"))
+    both = lambda c, cond, name: [f(F.when(cond, g(c))).alias(f"{x}_{name}") for x, f, g in (("min", F.min, F.array_min), ("max", F.max, F.array_max))]
+    always, aid, cost, rated = F.lit(True), F.col("n").rlike(T.AID), F.col("n").rlike(T.PROJECT_COST), F.col("n").rlike(T.RATED)
+    g = s.groupBy(key).agg(*both("a", aid, "aid"), *both("a", always, "any"), *both("a", cost, "cost"), F.sum(F.when(cost, F.size("a")).otherwise(0)).alias("costs"), *both("r", rated, "rated"), *both("r", always, "said"))
+    first = lambda a, b, name: F.coalesce(a, b).alias(name)
+    return g.select(key, first("min_aid", "min_any", "min_amount"), first("max_aid", "max_any", "max_amount"), first("min_rated", "min_said", "min_rate"), first("max_rated", "max_said", "max_rate"), "min_cost", F.when(F.col("costs") >= 2, F.col("max_cost")).alias("max_cost"))
+
+
+def terms_by_size(clauses: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each sentence and size of company that it names, with the bounds of its rates and amounts."""
+    s = clauses.select(*keys, F.explode(T.sentences(F.col("text"))).alias("s"))
+    s = s.select(*keys, F.explode(T.labels(T.norm(F.col("s")), T.SIZE_RULES)).alias("category"), T.rates(F.col("s")).alias("r"), T.amounts(F.col("s")).alias("a"))
+    return s.select(*keys, "category", F.array_min("r").alias("rate_min"), F.array_max("r").alias("rate_max"), F.array_min("a").alias("amount_min"), F.array_max("a").alias("amount_max"))
+
+
+def calendar(clauses: DataFrame, key: str) -> DataFrame:
+    """Per key: opening, closing (the last final date, else the last deadline), number of deadlines, and whether open at all times.
+
+    A dated line with a calendar word is an opening, a round, a final date, or, if none of these, a deadline.
+    """
+    lines = clauses.select(key, "text", F.explode_outer(F.split("text", r"\n|(?<=[.!?;])\s+")).alias("line")).withColumn("n", T.norm(F.col("line")))
+    opens, final = F.col("n").rlike(T.OPENING), F.col("n").rlike(T.FINAL)
+    due = final | F.col("n").rlike(T.ROUND) | ~opens
+    dated = lines.select(key, F.when(F.col("n").rlike(T.CALENDAR), T.dates(F.col("line"))).alias("d"), opens.alias("opens"), final.alias("final"), due.alias("due"), F.col("n").rlike(T.PERMANENT).alias("permanent"))
+    g = dated.select(key, "opens", "final", "due", "permanent", F.explode_outer("d").alias("d")).groupBy(key)
+    return g.agg(F.min(F.when(F.col("opens"), F.col("d"))).alias("opening"), F.coalesce(F.max(F.when(F.col("final"), F.col("d"))), F.max(F.when(F.col("due"), F.col("d")))).alias("closing"), F.countDistinct(F.when(F.col("due"), F.col("d"))).alias("deadlines"), F.bool_or("permanent").alias("permanent"))

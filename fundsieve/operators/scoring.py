@@ -16,12 +16,19 @@ def singular(w: Column) -> Column:
 
 
 def all_terms(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """(item_id, doc_id) where the document holds every term of the query, plural or not, by inverted index."""
-    words = lambda t, key: t.select(key, F.explode(F.array_distinct(F.transform(T.terms(F.col("text")), singular))).alias("term"))
-    asked = words(queries, "item_id")
-    size = asked.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    hits = words(docs, "doc_id").join(asked, "term").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("hits"))
-    return hits.join(size, "item_id").where("hits = n").select("item_id", "doc_id")
+    """(item_id, doc_id) where the document holds every term of the query, plural or not.
+
+    Documents with a query's rarest term are its candidates, so that common words make no pairs; each candidate is held
+    against all terms of the query.
+    """
+    held = docs.select("doc_id", F.array_distinct(F.transform(T.terms(F.col("text")), singular)).alias("held"))
+    asked = queries.select("item_id", F.array_distinct(F.transform(T.terms(F.col("text")), singular)).alias("asked")).where(F.size("asked") > 0)
+    terms = asked.select("item_id", F.explode("asked").alias("term"))
+    words = held.select("doc_id", F.explode("held").alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
+    df = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rarest = terms.join(df, "term").groupBy("item_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
+    candidates = words.join(rarest, "term").select("item_id", "doc_id").join(asked, "item_id")
+    return candidates.join(held, "doc_id").where(F.size(F.array_except("asked", "held")) == 0).select("item_id", "doc_id")
 
 
 def bigrams(words: Column) -> Column:

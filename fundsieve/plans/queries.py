@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fundsieve.fixtures import AS_OF, table, with_views
 from fundsieve.functions import text as T
 from fundsieve.operators import catalogue as C
+from fundsieve.operators import extraction as X
 from fundsieve.operators import matching as M
 
 REGISTRY: dict[str, tuple[Callable, str | None]] = {}
@@ -199,35 +200,38 @@ def c5_rates(t):
     return t("fx_clause").select("program_id", "seq", F.when(F.size(r) > 0, F.aggregate(r, F.lit(0.0), lambda a, x: a + x)).alias("total"), F.size(r).cast("long").alias("n"))
 
 
-@query("SELECT program_id, seq, regexp_extract(text, '([0-9]+) k€', 1)::DOUBLE * 1000 AS amount FROM fx_clause")
+# The SQL of the next five takes what each clause of fx_terms says from the columns that it was written from, not from its text.
+TERM_ROWS = "SELECT l_orderkey AS program_id, l_linenumber AS seq, (l_orderkey + l_linenumber) % 5 AS s, round(l_discount * 100)::INT::DOUBLE AS r, l_quantity::INT::DOUBLE AS q, strftime(l_shipdate::DATE + INTERVAL 9132 DAY, '%Y-%m-%d') AS d FROM lineitem"
+
+
+@query(f"SELECT program_id, seq, CASE s WHEN 1 THEN 3 WHEN 3 THEN 0 ELSE 1 END::BIGINT AS n, CASE s WHEN 0 THEN q * 1000 WHEN 1 THEN q * 1000 WHEN 2 THEN (q + 0.5) * 1000000 WHEN 4 THEN q END::DOUBLE AS lowest, CASE s WHEN 0 THEN q * 1000 WHEN 1 THEN (q + 1) * 100000 WHEN 2 THEN (q + 0.5) * 1000000 WHEN 4 THEN q END::DOUBLE AS highest FROM ({TERM_ROWS})")
 def c6_amounts(t):
-    return t("fx_clause").select("program_id", "seq", F.try_element_at(T.amounts(F.col("text")), F.lit(1)).alias("amount"))
+    c = t("fx_terms").select("program_id", "seq", T.amounts(F.col("text")).alias("a"))
+    return c.select("program_id", "seq", F.size("a").cast("long").alias("n"), F.array_min("a").alias("lowest"), F.array_max("a").alias("highest"))
+
+
+AID_SQL = "CASE s WHEN 0 THEN q * 1000 WHEN 1 THEN q * 1000 WHEN 2 THEN (q + 0.5) * 1000000 END::DOUBLE"
 
 
-@query("SELECT program_id, min(a)::DOUBLE AS min_amount, max(a)::DOUBLE AS max_amount, min(r)::DOUBLE AS min_rate, max(r)::DOUBLE AS max_rate FROM (SELECT program_id, regexp_extract(text, '([0-9]+) k€', 1)::DOUBLE * 1000 AS a, regexp_extract(text, '([0-9]+) %', 1)::DOUBLE AS r FROM fx_clause) GROUP BY 1")
+@query(f"SELECT program_id, coalesce(min({AID_SQL}), min(q) FILTER (s = 4)) AS min_amount, coalesce(max({AID_SQL}), max(q) FILTER (s = 4)) AS max_amount, coalesce(min(r) FILTER (s = 0), min(r) FILTER (s = 1)) AS min_rate, coalesce(max(r) FILTER (s = 0), max(r) FILTER (s = 1)) AS max_rate, min(q * 100000::DOUBLE) FILTER (s = 1) AS min_cost, max((q + 1) * 100000::DOUBLE) FILTER (s = 1) AS max_cost FROM ({TERM_ROWS}) GROUP BY 1")
 def c7_financial_terms(t):
-    s = t("fx_clause").select("program_id", F.explode(T.sentences(F.col("text"))).alias("s"))
-    paid = F.when(F.col("s").rlike("(?i)aide|subvention|plafond"), T.amounts(F.col("s")))
-    return s.select("program_id", paid.alias("a"), T.rates(F.col("s")).alias("r")).groupBy("program_id").agg(F.min(F.array_min("a")).alias("min_amount"), F.max(F.array_max("a")).alias("max_amount"), F.min(F.array_min("r")).alias("min_rate"), F.max(F.array_max("r")).alias("max_rate"))
+    return X.financial_terms(t("fx_terms"), "program_id")
 
 
-@query("SELECT program_id, seq, 'PME' AS category, regexp_extract(text, '([0-9]+) %', 1)::DOUBLE AS rate_max FROM fx_clause")
+@query(f"SELECT program_id, seq, unnest(CASE s WHEN 0 THEN ['PME'] WHEN 1 THEN ['PME', 'ETI'] WHEN 3 THEN ['STARTUP', 'GE'] ELSE [] END) AS category, CASE WHEN s < 2 THEN r END AS rate_min, CASE WHEN s < 2 THEN r END AS rate_max, CASE WHEN s = 1 THEN q * 1000 END AS amount_min, CASE WHEN s = 1 THEN q * 1000 END AS amount_max FROM ({TERM_ROWS})")
 def c8_terms_by_size(t):
-    s = t("fx_clause").select("program_id", "seq", F.explode(T.sentences(F.col("text"))).alias("s"))
-    named = s.select("program_id", "seq", F.explode(T.labels(T.norm(F.col("s")), T.CATEGORY_RULES)).alias("category"), T.rates(F.col("s")).alias("r"))
-    return named.select("program_id", "seq", "category", F.array_max("r").alias("rate_max"))
+    return X.terms_by_size(t("fx_terms"), ["program_id", "seq"])
 
 
-@query("SELECT program_id, max(d) AS closing, min(d) AS first_deadline, count(DISTINCT d) AS deadlines FROM (SELECT program_id, regexp_extract(text, '(20[0-9-]+)', 1) AS d FROM fx_clause) GROUP BY 1")
+@query(f"SELECT program_id, min(d) FILTER (s = 2) AS opening, coalesce(max(d) FILTER (s = 0), max(d) FILTER (s IN (1, 4))) AS closing, count(DISTINCT d) FILTER (s IN (0, 1, 4)) AS deadlines, bool_or(s = 3) AS permanent FROM ({TERM_ROWS}) GROUP BY 1")
 def c10_calendar(t):
-    found = t("fx_clause").where(T.norm(F.col("text")).rlike("date limite|cloture|depot|jusqu'au")).select("program_id", F.explode(T.dates(F.col("text"))).alias("d"))
-    return found.groupBy("program_id").agg(F.max("d").alias("closing"), F.min("d").alias("first_deadline"), F.countDistinct("d").alias("deadlines"))
+    return X.calendar(t("fx_terms"), "program_id")
 
 
-@query("SELECT program_id, seq, 'PME' AS categories, 'SUBVENTION' AS instruments FROM fx_clause")
+@query(f"SELECT program_id, seq, CASE s WHEN 0 THEN 'PME' WHEN 1 THEN 'PME|ETI' WHEN 2 THEN 'PME|ETI|GE' WHEN 3 THEN 'STARTUP|GE' ELSE '' END AS categories, CASE s WHEN 0 THEN 'SUBVENTION' WHEN 1 THEN 'AVANCE_REMBOURSABLE' WHEN 2 THEN 'PRET_TAUX_ZERO' WHEN 3 THEN 'SUBVENTION' ELSE '' END AS instruments FROM ({TERM_ROWS})")
 def c11_c12_categories_and_instruments(t):
-    n = T.norm(F.col("text"))
-    return t("fx_clause").select("program_id", "seq", F.array_join(T.labels(n, T.CATEGORY_RULES), "|").alias("categories"), F.array_join(T.labels(n, T.INSTRUMENT_RULES), "|").alias("instruments"))
+    c = t("fx_terms").select("program_id", "seq", T.norm(F.col("text")).alias("n"))
+    return c.select("program_id", "seq", F.array_join(T.labels(F.col("n"), T.CATEGORY_RULES), "|").alias("categories"), F.array_join(T.labels(F.col("n"), T.INSTRUMENT_RULES), "|").alias("instruments"))
 
 
 THEMES = [("english", "the|and|with"), ("french", "les|des|dans"), ("german", "der|und|die"), ("spanish", "los|del|para")]
