@@ -175,11 +175,50 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def quality_report(programs: DataFrame, evidence: DataFrame) -> DataFrame:
-    per = evidence.groupBy("program_id").agg(F.max((F.col("field") == "selectionCriteria").cast("int")).alias("has"))
-    t = programs.join(per, "program_id", "left")
-    share = lambda c: F.round(F.avg(F.when(c, 100.0).otherwise(0.0)), 6)
-    return t.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), share(F.col("closing_date").isNotNull()).alias("deadline_share"), share(F.col("has") == 1).alias("criteria_share"), share(F.col("lifecycle") == "ACTIVE").alias("active_share"))
+REPAYABLE = ["AVANCE_REMBOURSABLE", "PRET_TAUX_ZERO"]
+
+
+def quality_report(programs: DataFrame, verified: DataFrame, selection: DataFrame) -> DataFrame:
+    """One row of counts and whole percentages of the active programmes; verified(program_id, status), selection(program_id) with criteria."""
+    t = programs.join(verified.select("program_id", "status"), "program_id", "left").join(selection.withColumn("criteria", F.lit(True)), "program_id", "left")
+    active = F.col("lifecycle") == "ACTIVE"
+    n = lambda cond: F.count_if(active & cond)
+    share = lambda cond: F.floor(100.0 * n(cond) / F.count_if(active) + 0.5).cast("long")
+    counts = {"active": F.lit(True), "calls": F.col("kind").rlike("AAP|AMI"), "verified": F.col("status") == "VERIFIE", "advances": F.col("instrument") == "AVANCE_REMBOURSABLE", "zero_loans": F.col("instrument") == "PRET_TAUX_ZERO", "with_repayment": F.col("instrument").isin(REPAYABLE) & F.col("repayment_terms").isNotNull()}
+    shares = {"document": F.col("cdc_link").isNotNull(), "deadline": F.col("permanent") | F.col("closing_date").isNotNull(), "selection": F.coalesce("criteria", F.lit(False)), "disbursement": F.col("disbursement_terms").isNotNull()}
+    return t.agg(F.count(F.lit(1)).alias("library"), F.count_if(F.col("lifecycle") == "ARCHIVE").alias("archived"), *[n(c).alias(k) for k, c in counts.items()], *[share(c).alias(f"{k}_coverage") for k, c in shares.items()])
+
+
+def manifest(programs: DataFrame, verified: DataFrame, as_of: str) -> DataFrame:
+    """(facet, value, n) over the active programmes, and how many are not; facets without a programme are absent."""
+    active = F.col("lifecycle") == "ACTIVE"
+    one = lambda facet, cond, value=F.lit(""): F.when(cond, F.struct(F.lit(facet).alias("facet"), value.alias("value")))
+    said = [one("active", active), one("archived", ~active), one("next_day", recent_or_active(as_of)), one("kind", active, F.when(F.col("kind").rlike("AAP|AMI"), "CALL").otherwise("AID")), one("verified", active & (F.col("status") == "VERIFIE")), one("with_document", active & F.col("cdc_link").isNotNull()), one("with_deadline", active & (F.col("permanent") | F.col("closing_date").isNotNull())), one("direct_link", active & F.col("official_page").startswith("https://")), one("target", active & F.col("instrument").isin(TARGET)), one("scope", active, F.col("scope")), one("instrument", active, F.col("instrument"))]
+    categories = F.when(active & F.col("company_categories").isNotNull(), F.transform(F.split("company_categories", r"\|"), lambda c: F.struct(F.lit("category").alias("facet"), c.alias("value"))))
+    t = programs.join(verified.select("program_id", "status"), "program_id", "left")
+    facets = F.concat(F.array_compact(F.array(*said)), F.coalesce(categories, F.array().cast("array<struct<facet:string,value:string>>")))
+    return t.select(F.explode(facets).alias("f")).groupBy("f.facet", "f.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def source_health(probes: DataFrame) -> DataFrame:
+    """Counts of probes(role, state) by role and of ALL; the environment is suspect where of over 20 none is well and over 80 % fail on the network."""
+    n = lambda *states: F.count_if(F.col("state").isin(*states))
+    total, ok, network = F.count(F.lit(1)), n("OK", "PROTECTED"), n("NETWORK_ERROR", "TIMEOUT")
+    g = probes.rollup("role").agg(total.alias("total"), (total - n("UNPROBED")).alias("probed"), n("OK", "PROTECTED", "HTTP_ERROR").alias("conclusive"), ok.alias("ok"), (total - ok - n("UNPROBED")).alias("failed"), n("PROTECTED").alias("protected"), n("TIMEOUT").alias("timeouts"), network.alias("network_errors"), ((total > 20) & (ok == 0) & (network > 0.8 * total)).alias("environment_suspect"))
+    return g.withColumn("role", F.coalesce("role", F.lit("ALL")))
+
+
+def registry_problems(sources: DataFrame, page: Column, strategies: list[str], forbidden: list[str], expected_scopes: list[str]) -> DataFrame:
+    """(subject, problem): of each source by id, and of each expected scope that no source has."""
+    s = sources.withColumn("page", page)
+    ids = duplicates(s, "source_id").select("source_id", F.lit(True).alias("twice"))
+    pages = duplicates(s.where("page IS NOT NULL"), "page").select("page", F.lit(True).alias("same"))
+    host = F.lower(F.regexp_extract("url", "(?i)^https?://([^/?#]*)", 1))
+    found = flags(("MISSING_NAME", F.coalesce("name", F.lit("")) == ""), ("MISSING_URL", F.col("url").isNull()), ("URL_NOT_HTTPS", ~F.col("url").rlike("(?i)^https:")), ("STRATEGY_NOT_ALLOWED", ~F.col("strategy").isin(strategies)), ("DUPLICATE_ID", F.col("twice")), ("DUPLICATE_URL", F.col("same")), ("FORBIDDEN_HOST", host.isin(forbidden)))
+    own = s.join(ids, "source_id", "left").join(pages, "page", "left").select(F.col("source_id").cast("string").alias("subject"), F.explode(found).alias("problem"))
+    expected = sources.sparkSession.createDataFrame([(x,) for x in expected_scopes], "scope string")
+    absent = expected.join(sources.select("scope"), "scope", "left_anti")
+    return own.unionByName(absent.select(F.col("scope").alias("subject"), F.lit("SCOPE_ABSENT").alias("problem")))
 
 
 # Publication
@@ -254,6 +293,32 @@ def date_state(programs: DataFrame, as_of: str) -> DataFrame:
     return programs.select("program_id", state.alias("state"), days.cast("long").alias("days"))
 
 
+def faceted(programs: DataFrame, region: str | None = None, scope: str | None = None, kind: str | None = None, theme: str | None = None, instrument: str | None = None, categories: list[str] | None = None) -> DataFrame:
+    """Programmes that have every facet asked for: nationwide ones count for each region, any one of the categories does."""
+    t = programs
+    if region:
+        t = t.where((F.col("region") == region) | (F.col("scope") == "NATIONAL"))
+    for column, value in (("scope", scope), ("kind", kind), ("themes", theme), ("instrument", instrument)):
+        if value:
+            t = t.where(F.col(column) == value)
+    if categories:
+        t = t.where(F.arrays_overlap(F.split("company_categories", r"\|"), F.array(*[F.lit(c) for c in categories])))
+    return t
+
+
+def by_date_state(programs: DataFrame, as_of: str, states: tuple[str, ...] = ("open", "recent-closed")) -> DataFrame:
+    """Adds state; unless asked for, neither long closed nor undated programmes stay."""
+    days = F.datediff("closing_date", F.lit(as_of).cast("date"))
+    state = F.when(days.isNull(), "unknown").when(days >= 0, "open").when(days >= -60, "recent-closed").otherwise("closed")
+    return programs.withColumn("state", state).where(F.col("state").isin(*states))
+
+
+def by_freshness(programs: DataFrame, as_of: str) -> DataFrame:
+    """A row for each view that shows the programme: all, next_day (open on the next day) and missing (no date)."""
+    shown = flags(("all", F.lit(True)), ("next_day", recent_or_active(as_of)), ("missing", ~F.col("permanent") & F.col("closing_date").isNull()))
+    return programs.withColumn("freshness", F.explode(shown))
+
+
 def paris_days(events: DataFrame, ts: str) -> DataFrame:
     day = F.to_date(F.from_utc_timestamp(ts, "Europe/Paris"))
     return events.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).withColumn("next_day", F.date_add("day", 1))

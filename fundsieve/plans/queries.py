@@ -60,12 +60,18 @@ RANK = "CASE tier WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 WHEN 'D' THEN
 # A: scans
 
 
-@query("SELECT source_id, problem FROM (SELECT source_id, unnest(list_filter([CASE WHEN name IS NULL OR name = '' THEN 'MISSING_NAME' END, CASE WHEN strategy NOT IN ('catalog-html', 'open-data', 'rss') THEN 'STRATEGY_NOT_ALLOWED' END, CASE WHEN count(*) OVER (PARTITION BY source_id) > 1 THEN 'DUPLICATE_ID' END], x -> x IS NOT NULL)) AS problem FROM fx_source)")
+REGISTRY_ROWS = "SELECT source_id, name, scope, strategy, CASE WHEN source_id % 11 = 0 THEN NULL ELSE concat(CASE WHEN source_id % 13 = 0 THEN 'http' ELSE 'https' END, '://S', CAST(source_id % 40 AS VARCHAR(5)), '.example.org/aides/', CASE WHEN source_id % 2 = 0 THEN '?utm_source=x' ELSE '' END) END AS url FROM fx_source"
+STRATEGIES = ["catalog-html", "open-data", "rss"]
+EXPECTED_SCOPES = ["FRANCE", "GERMANY", "Corse", "Mayotte"]
+
+
+@query(f"""WITH r AS ({REGISTRY_ROWS}), k AS (SELECT *, {DEDUPE_URL} AS page, count(*) OVER (PARTITION BY source_id) AS ids FROM r), m AS (SELECT *, CASE WHEN page IS NOT NULL THEN count(*) OVER (PARTITION BY page) END AS pages FROM k)
+SELECT CAST(source_id AS VARCHAR) AS subject, unnest(list_filter([CASE WHEN coalesce(name, '') = '' THEN 'MISSING_NAME' END, CASE WHEN url IS NULL THEN 'MISSING_URL' END, CASE WHEN starts_with(url, 'http:') THEN 'URL_NOT_HTTPS' END, CASE WHEN strategy NOT IN {listed(STRATEGIES)} THEN 'STRATEGY_NOT_ALLOWED' END, CASE WHEN ids > 1 THEN 'DUPLICATE_ID' END, CASE WHEN pages > 1 THEN 'DUPLICATE_URL' END, CASE WHEN source_id % 40 = 3 AND url IS NOT NULL THEN 'FORBIDDEN_HOST' END], x -> x IS NOT NULL)) AS problem FROM m
+UNION ALL SELECT e, 'SCOPE_ABSENT' FROM (SELECT unnest([{", ".join(repr(x) for x in EXPECTED_SCOPES)}]) AS e) WHERE e NOT IN (SELECT scope FROM r)""")
 def a1_source_registry_problems(t):
-    s = t("fx_source")
-    twice = C.duplicates(s, "source_id").select("source_id", F.lit(True).alias("twice"))
-    found = C.flags(("MISSING_NAME", F.coalesce("name", F.lit("")) == ""), ("STRATEGY_NOT_ALLOWED", ~F.col("strategy").isin("catalog-html", "open-data", "rss")), ("DUPLICATE_ID", F.coalesce("twice", F.lit(False))))
-    return s.join(twice, "source_id", "left").select("source_id", F.explode(found).alias("problem"))
+    n = F.col("source_id")
+    url = F.concat(F.when(n % 13 == 0, "http").otherwise("https"), F.lit("://S"), (n % 40).cast("string"), F.lit(".example.org/aides/"), F.when(n % 2 == 0, "?utm_source=x").otherwise(""))
+    return C.registry_problems(t("fx_source").withColumn("url", F.when(n % 11 != 0, url)), T.dedupe_url(F.col("url")), STRATEGIES, ["s3.example.org"], EXPECTED_SCOPES)
 
 
 @query("SELECT page_id, url, length(html)::BIGINT AS html_chars FROM pages")
@@ -407,9 +413,18 @@ def f5_verification(t):
     return C.verification(t("fx_program"), t("fx_evidence"))
 
 
-@query("SELECT kind, count(*) AS n, round(avg(CASE WHEN closing_date IS NOT NULL THEN 100.0 ELSE 0.0 END), 6)::DOUBLE AS deadline_share, round(avg(CASE WHEN program_id IN (SELECT program_id FROM fx_evidence WHERE field = 'selectionCriteria') THEN 100.0 ELSE 0.0 END), 6)::DOUBLE AS criteria_share, round(avg(CASE WHEN lifecycle = 'ACTIVE' THEN 100.0 ELSE 0.0 END), 6)::DOUBLE AS active_share FROM fx_program GROUP BY 1")
+VERIFIED_SQL = f"""SELECT p.program_id, covered = 8 AND (permanent OR closing_date IS NOT NULL) AND company_categories IS NOT NULL AND (instrument NOT IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO') OR repayment_terms IS NOT NULL) AS verified FROM fx_program p JOIN (SELECT program_id, count(DISTINCT field) AS covered FROM fx_evidence WHERE tier IN ('A', 'B') AND field IN {listed(C.CRITICAL)} GROUP BY 1) e USING (program_id)"""
+SELECTION_SQL = "SELECT DISTINCT program_id FROM fx_evidence WHERE field = 'selectionCriteria'"
+REPAID = "instrument IN ('AVANCE_REMBOURSABLE', 'PRET_TAUX_ZERO')"
+
+
+@query(f"""WITH a AS (SELECT p.*, program_id IN ({SELECTION_SQL}) AS crit, program_id IN (SELECT program_id FROM ({VERIFIED_SQL}) WHERE verified) AS ok FROM fx_program p)
+SELECT count(*) AS library, count(*) FILTER (lifecycle = 'ACTIVE') AS active, count(*) FILTER (lifecycle = 'ARCHIVE') AS archived, count(*) FILTER (lifecycle = 'ACTIVE' AND contains(kind, 'AAP')) AS calls, count(*) FILTER (lifecycle = 'ACTIVE' AND ok) AS verified, count(*) FILTER (lifecycle = 'ACTIVE' AND instrument = 'AVANCE_REMBOURSABLE') AS advances, count(*) FILTER (lifecycle = 'ACTIVE' AND instrument = 'PRET_TAUX_ZERO') AS zero_loans,
+count(*) FILTER (lifecycle = 'ACTIVE' AND {REPAID} AND repayment_terms IS NOT NULL) AS with_repayment, floor(100.0 * count(*) FILTER (lifecycle = 'ACTIVE' AND cdc_link IS NOT NULL) / count(*) FILTER (lifecycle = 'ACTIVE') + 0.5)::BIGINT AS document_coverage, floor(100.0 * count(*) FILTER (lifecycle = 'ACTIVE' AND (permanent OR closing_date IS NOT NULL)) / count(*) FILTER (lifecycle = 'ACTIVE') + 0.5)::BIGINT AS deadline_coverage,
+floor(100.0 * count(*) FILTER (lifecycle = 'ACTIVE' AND crit) / count(*) FILTER (lifecycle = 'ACTIVE') + 0.5)::BIGINT AS selection_coverage, floor(100.0 * count(*) FILTER (lifecycle = 'ACTIVE' AND disbursement_terms IS NOT NULL) / count(*) FILTER (lifecycle = 'ACTIVE') + 0.5)::BIGINT AS disbursement_coverage FROM a""")
 def f8_quality_report(t):
-    return C.quality_report(t("fx_program"), t("fx_evidence"))
+    selection = t("fx_evidence").where("field = 'selectionCriteria'").select("program_id").distinct()
+    return C.quality_report(t("fx_program"), C.verification(t("fx_program"), t("fx_evidence")), selection)
 
 
 @query(f"SELECT url_key, count(*) AS n FROM (SELECT {DEDUPE_URL} AS url_key FROM pages) GROUP BY 1 HAVING count(*) > 1")
@@ -423,14 +438,24 @@ def f14_ingestion_audit(t):
     return t("fx_source").join(seen, "source_id", "left").groupBy("strategy").agg(F.count(F.lit(1)).alias("sources"), F.count_if(F.col("seen").isNull()).alias("uncovered"))
 
 
-@query("SELECT scope, instrument, count(*) AS n, count(*) FILTER (lifecycle = 'ACTIVE') AS active, count(*) FILTER (permanent) AS permanent FROM fx_program GROUP BY ROLLUP (scope, instrument)")
+@query(f"""WITH a AS (SELECT * FROM fx_program WHERE lifecycle = 'ACTIVE'), v AS (SELECT program_id FROM ({VERIFIED_SQL}) WHERE verified), u AS (
+SELECT 'active' AS facet, '' AS value, count(*) AS n FROM a UNION ALL SELECT 'archived', '', count(*) FROM fx_program WHERE lifecycle <> 'ACTIVE' UNION ALL SELECT 'next_day', '', count(*) FROM a WHERE permanent OR closing_date IS NULL OR closing_date > {DAY}
+UNION ALL SELECT 'kind', CASE WHEN contains(kind, 'AAP') THEN 'CALL' ELSE 'AID' END, count(*) FROM a GROUP BY 2 UNION ALL SELECT 'verified', '', count(*) FROM a WHERE program_id IN (SELECT program_id FROM v) UNION ALL SELECT 'with_document', '', count(cdc_link) FROM a
+UNION ALL SELECT 'with_deadline', '', count(*) FROM a WHERE permanent OR closing_date IS NOT NULL UNION ALL SELECT 'direct_link', '', count(*) FROM a WHERE starts_with(official_page, 'https://') UNION ALL SELECT 'target', '', count(*) FROM a WHERE instrument IN {listed(C.TARGET)}
+UNION ALL SELECT 'scope', scope, count(*) FROM a GROUP BY 2 UNION ALL SELECT 'instrument', instrument, count(*) FROM a GROUP BY 2 UNION ALL SELECT 'category', c, count(*) FROM (SELECT unnest(string_split(company_categories, '|')) AS c FROM a) GROUP BY 2) SELECT * FROM u WHERE n > 0""")
 def f15_manifest(t):
-    return t("fx_program").rollup("scope", "instrument").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lifecycle") == "ACTIVE").alias("active"), F.count_if("permanent").alias("permanent"))
+    return C.manifest(t("fx_program"), C.verification(t("fx_program"), t("fx_evidence")), AS_OF)
+
+
+PROBE_SQL = "SELECT CASE WHEN user_id % 3 = 0 THEN 'CONTROL' ELSE 'INGESTION' END AS role, CASE WHEN event_type = 'error' THEN 'NETWORK_ERROR' WHEN value < 5 THEN 'TIMEOUT' WHEN value < 10 THEN 'HTTP_ERROR' WHEN value < 15 THEN 'PROTECTED' WHEN value < 17 THEN 'UNPROBED' ELSE 'OK' END AS state FROM events"
 
 
-@query("SELECT event_type AS role, count(*) AS probed, count(*) FILTER (value > 0) AS conclusive, count(*) FILTER (value > 50) AS ok FROM events GROUP BY 1")
+@query(f"""SELECT coalesce(role, 'ALL') AS role, count(*) AS total, count(*) FILTER (state <> 'UNPROBED') AS probed, count(*) FILTER (state IN ('OK', 'PROTECTED', 'HTTP_ERROR')) AS conclusive, count(*) FILTER (state IN ('OK', 'PROTECTED')) AS ok, count(*) FILTER (state NOT IN ('OK', 'PROTECTED', 'UNPROBED')) AS failed, count(*) FILTER (state = 'PROTECTED') AS protected, count(*) FILTER (state = 'TIMEOUT') AS timeouts, count(*) FILTER (state IN ('NETWORK_ERROR', 'TIMEOUT')) AS network_errors,
+count(*) > 20 AND count(*) FILTER (state IN ('OK', 'PROTECTED')) = 0 AND count(*) FILTER (state IN ('NETWORK_ERROR', 'TIMEOUT')) > 0.8 * count(*) AS environment_suspect FROM ({PROBE_SQL}) GROUP BY ROLLUP (role)""")
 def f18_source_health(t):
-    return t("events").groupBy(F.col("event_type").alias("role")).agg(F.count(F.lit(1)).alias("probed"), F.count_if(F.col("value") > 0).alias("conclusive"), F.count_if(F.col("value") > 50).alias("ok"))
+    v = F.col("value")
+    state = F.when(F.col("event_type") == "error", "NETWORK_ERROR").when(v < 5, "TIMEOUT").when(v < 10, "HTTP_ERROR").when(v < 15, "PROTECTED").when(v < 17, "UNPROBED").otherwise("OK")
+    return C.source_health(t("events").select(F.when(F.col("user_id") % 3 == 0, "CONTROL").otherwise("INGESTION").alias("role"), state.alias("state")))
 
 
 # G: publication
@@ -537,9 +562,10 @@ def i4_date_state(t):
 # J, K, L: search, matching, dashboards
 
 
-@query("SELECT program_id FROM fx_program WHERE (region = 'EUROPE' OR scope = 'NATIONAL') AND kind = 'AIDE' AND instrument IN ('SUBVENTION', 'PRET') AND lifecycle <> 'ARCHIVE'")
+@query(f"SELECT program_id, CASE WHEN closing_date >= {DAY} THEN 'open' ELSE 'recent-closed' END AS state FROM fx_program WHERE (region = 'EUROPE' OR scope = 'NATIONAL') AND kind = 'AIDE' AND themes = '2-HIGH' AND instrument = 'SUBVENTION' AND regexp_matches(official_page, '//s1?[0-9][.]') AND closing_date >= {DAY} - 60 AND (contains(company_categories, 'PME') OR contains(company_categories, 'ETI'))")
 def j3_faceted_filter(t):
-    return t("fx_program").where(((F.col("region") == "EUROPE") | (F.col("scope") == "NATIONAL")) & (F.col("kind") == "AIDE") & F.col("instrument").isin("SUBVENTION", "PRET") & (F.col("lifecycle") != "ARCHIVE")).select("program_id")
+    rows = C.faceted(t("fx_program"), region="EUROPE", kind="AIDE", theme="2-HIGH", instrument="SUBVENTION", categories=["PME", "ETI"]).where(F.col("official_page").rlike("//s1?[0-9][.]"))
+    return C.by_date_state(rows, AS_OF).select("program_id", "state")
 
 
 @query("SELECT facet, value, count(*) AS n FROM (SELECT unnest(['region', 'kind', 'instrument', 'lifecycle']) AS facet, unnest([region, kind, instrument, lifecycle]) AS value FROM fx_program) GROUP BY 1, 2")

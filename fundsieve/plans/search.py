@@ -44,10 +44,12 @@ def j4_library_ranking(t):
     return p.orderBy(F.desc("hits"), "state", F.asc_nulls_last("closing_date"), "program_id").offset(50).limit(50)
 
 
-@query(f"SELECT program_id FROM fx_program WHERE (closing_date IS NULL OR closing_date > {DAY}) AND contains(lower(concat_ws(' ', title, kind, instrument, scope, region, official_page)), 'europe')")
+@query(f"""WITH a AS (SELECT * FROM fx_program WHERE lifecycle <> 'ARCHIVE' AND scope = 'NATIONAL' AND instrument = 'PRET' AND kind = 'AIDE' AND contains(company_categories, 'GE') AND contains(lower(concat_ws(' ', title, kind, instrument, scope, region, official_page)), 'europe'))
+SELECT 'all' AS freshness, program_id FROM a UNION ALL SELECT 'next_day', program_id FROM a WHERE lifecycle = 'ACTIVE' AND (permanent OR closing_date IS NULL OR closing_date > {DAY}) UNION ALL SELECT 'missing', program_id FROM a WHERE NOT permanent AND closing_date IS NULL""")
 def j6_public_page(t):
-    fresh = F.col("closing_date").isNull() | (F.col("closing_date") > day())
-    return t("fx_program").where(fresh & F.lower(F.to_json(F.struct("title", "kind", "instrument", "scope", "region", "official_page"))).contains("europe")).select("program_id")
+    shown = C.faceted(t("fx_program"), scope="NATIONAL", instrument="PRET", kind="AIDE", categories=["GE"])
+    found = shown.where((F.col("lifecycle") != "ARCHIVE") & F.lower(F.to_json(F.struct("title", "kind", "instrument", "scope", "region", "official_page"))).contains("europe"))
+    return C.by_freshness(found, AS_OF).select("freshness", "program_id")
 
 
 COUNTERS = [("BPIFRANCE", r"//s[0-4]\."), ("ADEME", r"//s[5-9]\."), ("REGION", r"//s1[0-9]\.")]
