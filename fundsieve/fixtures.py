@@ -42,9 +42,10 @@ VIEWS = {
  CAST(floor(value * CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.5 ELSE 0.8 END) AS INT) AS imported FROM events""",
     "fx_company": """SELECT c_custkey AS company_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'PME' WHEN 'MACHINERY' THEN 'ETI' WHEN 'AUTOMOBILE' THEN 'GE' WHEN 'HOUSEHOLD' THEN 'STARTUP' ELSE 'À préciser' END AS category,
  r_name AS region, abs(c_acctbal) * 50 AS budget FROM customer JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey""",
-    "fx_before": "SELECT program_id, title, lifecycle, closing_date, min_cost FROM fx_program WHERE program_id % 10 <> 0",
+    "fx_before": "SELECT program_id, title, lifecycle, closing_date, min_cost, opening_date, permanent, kind, scope, region, themes, instrument, max_cost, official_page, company_categories, cdc_link, disbursement_terms, repayment_terms FROM fx_program WHERE program_id % 10 <> 0",
     "fx_after": """SELECT program_id, title, CASE WHEN program_id % 13 = 0 THEN 'ARCHIVE' ELSE lifecycle END AS lifecycle,
- CASE WHEN program_id % 7 = 0 THEN CAST(closing_date + INTERVAL 30 DAY AS DATE) ELSE closing_date END AS closing_date, min_cost FROM fx_program WHERE program_id % 10 <> 1""",
+ CASE WHEN program_id % 7 = 0 THEN CAST(closing_date + INTERVAL 30 DAY AS DATE) ELSE closing_date END AS closing_date, min_cost, opening_date, permanent, kind, scope, region, themes, instrument, CASE WHEN program_id % 17 = 0 THEN max_cost + 1 ELSE max_cost END AS max_cost, official_page, CASE WHEN program_id % 29 = 0 THEN 'PME' ELSE company_categories END AS company_categories,
+ CASE WHEN program_id % 19 = 0 THEN NULL ELSE cdc_link END AS cdc_link, disbursement_terms, CASE WHEN program_id % 23 = 0 THEN 'remboursement sur 7 ans' ELSE repayment_terms END AS repayment_terms FROM fx_program WHERE program_id % 10 <> 1""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -14,6 +14,30 @@ BLOCK = r"(?is)<(h[1-5]|p|li|td|th|dt|dd)(?:\s[^>]*)?>(.*?)</(?:h[1-5]|p|li|td|t
 ANCHOR = '<a href="([^"]*)">([^<]*)</a>'
 
 
+# The words by which links to programmes and to further pages of a listing are told, and the wording of result counters.
+PROGRAMME_WORDS = r"appel a projets?|appel a manifestation|appel a candidatures?|\baap\b|\bami\b|aide|subvention|financement|avance remboursable|pret|concours|france 2030|feder|feader|fse|ftj"
+PAGER_LABEL = r"^(suivant|next|precedent|previous|page\s*[0-9]+|[0-9]+)$"
+PAGER_PARAMETER = r"[?&](page|p)=[0-9]+(&|$)|[?&][^=&]*(currentpage|pageindex|pagenumber)[^=&]*=[0-9]+"
+COUNTERS = [r"(?i)([0-9]+)\s+dispositifs?\s+d['’]aide\s+correspondent", r"(?i)([0-9]+)\s+r[eé]sultat\(s\)", r"(?i)([0-9]+)\s+aide\(s\)\s*&\s*service\(s\)"]
+
+
+def relevant_link(label: Column, url: Column, include: str | None = None, pattern: str | None = None) -> Column:
+    """A link that holds the source's substring, matches its pattern, or names a programme in label or url."""
+    found = [url.contains(include)] if include else []
+    found += [url.rlike(f"(?i){pattern}")] if pattern else []
+    return reduce(lambda a, b: a | b, [*found, T.norm(F.concat_ws(" ", label, url)).rlike(PROGRAMME_WORDS)])
+
+
+def pagination_link(label: Column, url: Column) -> Column:
+    """A link to another page of a listing, by its label or by a parameter of its decoded url."""
+    return T.norm(label).rlike(PAGER_LABEL) | F.lower(F.coalesce(F.try_url_decode(url), url)).rlike(PAGER_PARAMETER)
+
+
+def result_counter(text: Column) -> Column:
+    """The number of results that a listing page states, by the first wording found."""
+    return F.coalesce(*[F.try_element_at(F.regexp_extract_all(text, F.lit(p), F.lit(1)), F.lit(1)).try_cast("long") for p in COUNTERS])
+
+
 def blocks(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, pos, tag, text): headings, paragraphs and cells in page order, without menus and forms."""
     kept = F.regexp_replace(html, NO_TEXT, " ")

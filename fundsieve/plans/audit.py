@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from fundsieve.fixtures import AS_OF
 from fundsieve.operators import audit as A
 from fundsieve.operators import catalogue as C
-from fundsieve.plans.queries import DAY, DEDUPE_URL, FIELDS, REASON_SQL, listed, query, reasons
+from fundsieve.operators import extraction as X
+from fundsieve.plans.queries import CONFIDENCE_SQL, DAY, DEDUPE_URL, FIELDS, FINANCE_SQL, REASON_SQL, VERIFIED_SQL, listed, query, reasons
 from fundsieve.functions import text as T
+from fundsieve.sources import files
 
 FORBIDDEN = ["s3.example.org", "s7.example.org"]
 HOST = "lower(regexp_extract({c}, '(?i)^https?://([^/?#]*)', 1))"
@@ -298,3 +300,33 @@ def h4_watch_feed(t):
 @query(f"SELECT source_id, count(*) AS n, round(100.0 * count(*) FILTER (starts_with(official_page, 'https://')) / count(*), 6)::DOUBLE AS direct_share, round(100.0 * count(cdc_link) / count(*), 6)::DOUBLE AS document_share, round(100.0 * count(*) FILTER (permanent OR closing_date IS NOT NULL) / count(*), 6)::DOUBLE AS dated_share, round(100.0 * count(*) FILTER (completeness >= 80) / count(*), 6)::DOUBLE AS complete_share FROM fx_program LEFT JOIN ({COMPLETE_SQL}) USING (program_id) GROUP BY 1 ORDER BY n DESC, source_id LIMIT 8")
 def l2_reporting(t):
     return C.reporting(t("fx_program"), A.completeness(t("fx_program"), t("fx_evidence"), COMPLETE_FIELDS))
+
+
+# A14, E9: the published file, and the order of checks
+
+
+# The columns of the published file.
+PUBLISHED = "id titre type portee regions financeurs instruments beneficiaires assiette_min assiette_max aide_min aide_max taux_min taux_max cloture permanent page_officielle cdc statut_verification completude confiance".split()
+CELLS = ["CAST(p.program_id AS VARCHAR)", "title", "kind", "p.scope", "region", "s.name", "instrument", "replace(company_categories, '|', ' | ')"] + [f"CAST(floor({c})::BIGINT AS VARCHAR)" for c in ("p.min_cost", "p.max_cost", "f.min_amount", "f.max_amount", "f.min_rate", "f.max_rate")] + ["CAST(closing_date AS VARCHAR)", "CASE WHEN permanent THEN 'oui' ELSE 'non' END", "official_page", "cdc_link", "CASE WHEN coalesce(v.verified, FALSE) THEN 'VERIFIE' ELSE 'A_REVERIFIER' END", "CAST(k.completeness AS VARCHAR)", "CAST(c.confidence AS VARCHAR)"]
+CSV_FROM = f"fx_program p LEFT JOIN fx_source s ON s.source_id = p.source_id LEFT JOIN ({FINANCE_SQL}) f ON f.program_id = p.program_id LEFT JOIN ({VERIFIED_SQL}) v ON v.program_id = p.program_id LEFT JOIN ({COMPLETE_SQL}) k ON k.program_id = p.program_id LEFT JOIN ({CONFIDENCE_SQL}) c ON c.program_id = p.program_id"
+
+
+@query("SELECT p.program_id, " + " || ',' || ".join(f"""'"' || coalesce({c}, '') || '"'""" for c in CELLS) + f" AS line FROM {CSV_FROM}")
+def a14_csv_lines(t):
+    whole = lambda *cs: [F.floor(c).cast("long") for c in cs]
+    rows = t("fx_program").join(t("fx_source").select("source_id", "name"), "source_id", "left")
+    finance = X.financial_terms(t("fx_terms"), "program_id").drop("min_cost", "max_cost")
+    for side in (finance, C.verification(t("fx_program"), t("fx_evidence")).select("program_id", "status"), A.completeness(t("fx_program"), t("fx_evidence"), COMPLETE_FIELDS), C.confidence(C.evidence_coverage(t("fx_evidence")))):
+        rows = rows.join(side, "program_id", "left")
+    cells = ["program_id", "title", "kind", "scope", "region", "name", "instrument", F.split("company_categories", r"\|"), *whole("min_cost", "max_cost", "min_amount", "max_amount", "min_rate", "max_rate"), "closing_date", F.when(F.col("permanent"), "oui").otherwise("non"), "official_page", "cdc_link", "status", "completeness", "confidence"]
+    named = rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(cells, PUBLISHED, strict=True)])
+    return files.csv_lines(named, "id").withColumnRenamed("id", "program_id")
+
+
+@query(f"SELECT p.program_id, k.completeness, e.checked_on FROM fx_program p LEFT JOIN ({VERIFIED_SQL}) v ON v.program_id = p.program_id LEFT JOIN ({COMPLETE_SQL}) k ON k.program_id = p.program_id LEFT JOIN (SELECT program_id, max(checked_on) AS checked_on FROM fx_evidence GROUP BY 1) e ON e.program_id = p.program_id ORDER BY coalesce(v.verified, FALSE), e.checked_on NULLS FIRST, k.completeness DESC, p.program_id LIMIT 80")
+def e9_enrichment_priority(t):
+    checked = t("fx_evidence").groupBy("program_id").agg(F.max("checked_on").alias("checked_on"))
+    rows = C.verification(t("fx_program"), t("fx_evidence")).join(A.completeness(t("fx_program"), t("fx_evidence"), COMPLETE_FIELDS), "program_id", "left").join(checked, "program_id", "left")
+    order = [F.when(F.col("status") == "VERIFIE", 1).otherwise(0), F.asc_nulls_first("checked_on"), F.desc("completeness"), "program_id"]
+    return rows.orderBy(*order).limit(80).select("program_id", "completeness", "checked_on")
+

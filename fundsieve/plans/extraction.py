@@ -77,6 +77,14 @@ def a11_result_counter(t):
     return t("pages").select(host.alias("host"), "page_id", n.alias("n")).groupBy("host").agg(F.min_by("n", F.when(F.col("n").isNotNull(), F.col("page_id"))).alias("counter"))
 
 
+@query("SELECT lower(regexp_extract(url, '(?i)^https?://([^/?#]*)', 1)) AS host, arg_min(page_id, page_id) FILTER (page_id % 4 < 3) AS results, count(*) AS pages FROM pages GROUP BY 1")
+def a11_result_counters(t):
+    n, m = F.col("page_id").cast("string"), F.col("page_id") % 4
+    said = F.when(m == 0, F.concat(n, F.lit(" dispositifs d’aide correspondent"))).when(m == 1, F.concat(F.lit("<b>"), n, F.lit(" Résultat(s)</b>"))).when(m == 2, F.concat(n, F.lit(" aide(s) & service(s)"))).otherwise("aucun")
+    p = t("pages").select("page_id", F.lower(F.regexp_extract("url", "(?i)^https?://([^/?#]*)", 1)).alias("host"), X.result_counter(F.concat(said, F.lit(" "), "html")).alias("n"))
+    return p.groupBy("host").agg(F.min_by("n", F.when(F.col("n").isNotNull(), F.col("page_id"))).alias("results"), F.count(F.lit(1)).alias("pages"))
+
+
 HEAD_OR_LINK = r'<(title|h[1-5])(?:\s[^>]*)?>([^<]*)</|<a href="([^"]*)"'
 
 
@@ -102,12 +110,6 @@ def a13_csv_rows(t):
     return published(t).select(read.alias("r")).select("r.program_id", "r.title", "r.labels", F.coalesce("r.closing_date", F.lit("")).alias("closing_date"))
 
 
-@query(CSV_SQL)
-def a14_csv_lines(t):
-    line = F.to_csv(F.struct("program_id", "title", "labels", "closing_date"), {"quoteAll": "true", "escape": '"'})
-    return published(t).select(F.col("program_id").cast("long").alias("program_id"), line.alias("line"))
-
-
 @query("""WITH j AS (SELECT program_id, program_id // 1000 AS range, length('{"program_id":' || program_id || ',"title":"' || title || '","kind":"' || kind || '"}') AS chars FROM fx_program),
 p AS (SELECT *, coalesce(sum(chars) OVER (PARTITION BY range ORDER BY program_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 4000 AS part FROM j)
 SELECT range, part, count(*) AS n, sum(chars)::BIGINT AS chars, min(program_id) AS first_key, max(program_id) AS last_key FROM p GROUP BY 1, 2""")

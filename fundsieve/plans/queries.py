@@ -102,6 +102,19 @@ def a9_pagination_links(t):
     return t("pages").select("page_id", u.rlike("[?&](page|p)=[0-9]+|[?&][a-z_]*(currentpage|pageindex|pagenumber)[a-z_]*=").alias("paginated"), u.rlike("utm_").alias("tracked"))
 
 
+LISTING_LINKS = """SELECT page_id, pos, label, CASE pos % 4 WHEN 0 THEN href WHEN 1 THEN concat(href, '?cur%72entPage=', CAST(pos AS VARCHAR)) WHEN 2 THEN concat(href, '?p=', CAST(page_id AS VARCHAR), '&x=1') ELSE concat(href, '/Aides-%C3%A0-tous?q=p=1') END AS url
+ FROM (SELECT page_id, unnest(generate_series(0, len(a) - 1)) AS pos, unnest(a) AS href, unnest(b) AS label FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS a, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS b FROM pages))"""
+
+
+@query(f"SELECT page_id, pos, contains(url, '/en/') OR regexp_matches(url, '(?i)PAGE[0-9]') OR regexp_matches({NORM.format(c="label || ' ' || url")}, '{X.PROGRAMME_WORDS}') AS relevant, regexp_matches({NORM.format(c='label')}, '{X.PAGER_LABEL}') OR regexp_matches(lower(url_decode(url)), '{X.PAGER_PARAMETER}') AS paginated FROM ({LISTING_LINKS})")
+def a9_link_filter(t):
+    rows = X.anchors(t("pages"), ["page_id"], "html")
+    page, pos = F.col("page_id").cast("string"), F.col("pos").cast("string")
+    url = F.when(F.col("pos") % 4 == 0, F.col("href")).when(F.col("pos") % 4 == 1, F.concat("href", F.lit("?cur%72entPage="), pos)).when(F.col("pos") % 4 == 2, F.concat("href", F.lit("?p="), page, F.lit("&x=1"))).otherwise(F.concat("href", F.lit("/Aides-%C3%A0-tous?q=p=1")))
+    rows = rows.withColumn("url", url)
+    return rows.select("page_id", "pos", X.relevant_link(F.col("label"), F.col("url"), "/en/", "PAGE[0-9]").alias("relevant"), X.pagination_link(F.col("label"), F.col("url")).alias("paginated"))
+
+
 @query(f"SELECT doc_id, array_to_string(list_distinct_in_order[1:160], ' ') AS tokens FROM (SELECT doc_id, list_transform(list_filter(list_zip(w, generate_series(1, len(w))), z -> list_position(w, z[1]) = z[2]), z -> z[1]) AS list_distinct_in_order FROM (SELECT doc_id, {TERMS.format(c='text')} AS w FROM documents))")
 def a16_search_index(t):
     return t("documents").select("doc_id", F.array_join(F.slice(F.array_distinct(T.terms(F.col("text"))), 1, 160), " ").alias("tokens"))
@@ -219,7 +232,10 @@ def c6_amounts(t):
 AID_SQL = "CASE s WHEN 0 THEN q * 1000 WHEN 1 THEN q * 1000 WHEN 2 THEN (q + 0.5) * 1000000 END::DOUBLE"
 
 
-@query(f"SELECT program_id, coalesce(min({AID_SQL}), min(q) FILTER (s = 4)) AS min_amount, coalesce(max({AID_SQL}), max(q) FILTER (s = 4)) AS max_amount, coalesce(min(r) FILTER (s = 0), min(r) FILTER (s = 1)) AS min_rate, coalesce(max(r) FILTER (s = 0), max(r) FILTER (s = 1)) AS max_rate, min(q * 100000::DOUBLE) FILTER (s = 1) AS min_cost, max((q + 1) * 100000::DOUBLE) FILTER (s = 1) AS max_cost FROM ({TERM_ROWS}) GROUP BY 1")
+FINANCE_SQL = f"SELECT program_id, coalesce(min({AID_SQL}), min(q) FILTER (s = 4)) AS min_amount, coalesce(max({AID_SQL}), max(q) FILTER (s = 4)) AS max_amount, coalesce(min(r) FILTER (s = 0), min(r) FILTER (s = 1)) AS min_rate, coalesce(max(r) FILTER (s = 0), max(r) FILTER (s = 1)) AS max_rate, min(q * 100000::DOUBLE) FILTER (s = 1) AS min_cost, max((q + 1) * 100000::DOUBLE) FILTER (s = 1) AS max_cost FROM ({TERM_ROWS}) GROUP BY 1"
+
+
+@query(FINANCE_SQL)
 def c7_financial_terms(t):
     return X.financial_terms(t("fx_terms"), "program_id")
 
@@ -332,11 +348,6 @@ def e7_survivorship(t):
     return C.survivorship(e, ["program_id"], ["seq", "source_url", "checked_on", "evidence_text"], C.tier_rank(F.col("tier")), ["value"], ["terms"]).withColumn("tier_rank", F.col("tier_rank").cast("long"))
 
 
-@query("SELECT program_id, title, opening_date FROM fx_program ORDER BY CASE WHEN lifecycle = 'ACTIVE' THEN 0 ELSE 1 END, opening_date, program_id LIMIT 80")
-def e9_enrichment_priority(t):
-    return t("fx_program").orderBy(F.when(F.col("lifecycle") == "ACTIVE", 0).otherwise(1), "opening_date", "program_id").limit(80).select("program_id", "title", "opening_date")
-
-
 @query("""WITH j AS (SELECT r.*, s.strategy, s.min_expected, s.min_imported, s.min_import_ratio, s.strategy = 'control-only' AS control, CASE WHEN discovered > 0 THEN imported::DOUBLE / discovered WHEN imported > 0 THEN 1.0 ELSE 0.0 END AS ratio FROM fx_run r JOIN fx_source s USING (source_id)),
 k AS (SELECT *, list_filter([CASE WHEN NOT control AND min_expected > 0 AND discovered < min_expected THEN 'SUSPICIOUS_VOLUME' END, CASE WHEN NOT control AND imported < min_imported THEN 'LOW_IMPORTED_COUNT' END, CASE WHEN NOT control AND discovered > 0 AND ratio < min_import_ratio THEN 'LOW_IMPORT_RATIO' END, CASE WHEN NOT control AND imported = 0 THEN 'EMPTY_INGESTION' END], x -> x IS NOT NULL) AS reasons FROM j)
 SELECT cycle_id, source_id, round(ratio, 6)::DOUBLE AS import_ratio, array_to_string(reasons, '|') AS reasons, CASE WHEN control THEN success ELSE len(reasons) = 0 END AS ok, (CASE WHEN control THEN success ELSE len(reasons) = 0 END AND NOT control AND imported > 0) AS lifecycle_safe FROM k""")
@@ -402,7 +413,10 @@ def f3_evidence_coverage(t):
     return C.evidence_coverage(t("fx_evidence"))
 
 
-@query(f"SELECT program_id, round(100.0 * ({' + '.join(f'''CASE \"{f}\" WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 1 ELSE 0 END''' for f in C.CRITICAL)}) / 32)::BIGINT AS confidence FROM ({COVER_SQL})")
+CONFIDENCE_SQL = f"SELECT program_id, round(100.0 * ({' + '.join(f'''CASE \"{f}\" WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 1 ELSE 0 END''' for f in C.CRITICAL)}) / 32)::BIGINT AS confidence FROM ({COVER_SQL})"
+
+
+@query(CONFIDENCE_SQL)
 def f4_confidence(t):
     return C.confidence(C.evidence_coverage(t("fx_evidence")))
 
@@ -514,7 +528,7 @@ def g16_publish(t):
 # H: changes
 
 
-FIELDS = ["title", "lifecycle", "closing_date", "min_cost"]
+FIELDS = "title lifecycle closing_date min_cost opening_date permanent kind scope region themes instrument max_cost official_page company_categories cdc_link disbursement_terms repayment_terms".split()
 
 
 @query("SELECT * FROM (SELECT coalesce(a.program_id, b.program_id) AS program_id, CASE WHEN b.program_id IS NULL THEN 'CREATION' WHEN a.program_id IS NULL THEN 'SORTIE_PERIMETRE' WHEN " + " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in FIELDS) + " THEN 'MODIFICATION' END AS type, CASE WHEN a.program_id IS NULL OR b.program_id IS NULL THEN '' ELSE concat_ws('|', " + ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in FIELDS) + ") END AS fields FROM fx_before b FULL JOIN fx_after a ON a.program_id = b.program_id) WHERE type IS NOT NULL")

@@ -36,3 +36,27 @@ def write_csv(rows: DataFrame, path: str, sep: str = ",") -> None:
 
 def write_json_parts(rows: DataFrame, path: str, rows_a_file: int) -> None:
     rows.write.option("maxRecordsPerFile", rows_a_file).json(path)
+
+
+def csv_lines(rows: DataFrame, key: str) -> DataFrame:
+    """(key, line): each row as a CSV line, every cell quoted, arrays joined, absent values empty."""
+    texts = flat(rows)
+    cells = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in texts.columns])
+    return texts.select(F.col(key).cast(rows.schema[key].dataType).alias(key), F.to_csv(cells, {"quoteAll": "true", "escape": '"'}).alias("line"))
+
+
+def write_parts(rows: DataFrame, path: str, part: list[str]) -> None:
+    """JSON parts in folders by the part columns, and beside them a manifest of the rows of each."""
+    rows.repartition(*part).write.partitionBy(*part).json(f"{path}/parts")
+    rows.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).write.json(f"{path}/manifest")
+
+
+def read_parts(spark: SparkSession, path: str, schema: str, part: list[str]) -> DataFrame:
+    """The rows of all parts; fails if a part has other rows than the manifest says or is not in it."""
+    rows = spark.read.schema(schema).json(f"{path}/parts")
+    said = spark.read.schema(", ".join(f"{p} long" for p in [*part, "n"])).json(f"{path}/manifest")
+    found = rows.groupBy(*[F.col(p).cast("long").alias(p) for p in part]).agg(F.count(F.lit(1)).alias("found"))
+    wrong = said.join(found, part, "full_outer").where(~F.col("n").eqNullSafe(F.col("found"))).count()
+    if wrong:
+        raise ValueError(f"{wrong} parts differ from the manifest of {path}")
+    return rows

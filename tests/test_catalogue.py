@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from fundsieve.functions import text as T
 from fundsieve.operators import catalogue as C
+from fundsieve.operators import extraction as X
+from fundsieve.operators import scoring as S
 from fundsieve.plans import queries as Q
+from fundsieve.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +91,57 @@ def test_fit_scores(spark):
     df = spark.createDataFrame(rows, "id int, category string, company_region string, budget double, scope string, region string, permanent boolean, closing_date string, min_cost double, max_cost double, company_categories string")
     got = {r.id: (r.calendar, r.finance, r.territory, r.size, round(r.access, 3)) for r in S.fit_scores(df, F.lit("2026-01-01"), F.lit(False)).collect()}
     assert got == {1: (1.0, 1.0, 1.0, 1.0, 1.0), 2: (0.0, 0.0, 1.0, 0.0, 0.58), 3: (0.55, 0.5, 0.0, 0.55, 0.231)}
+
+
+def test_finance_and_calendar_sentences(spark):
+    texts = [
+        (1, "Montant de l'aide : au plus 20 k€. Dépenses éligibles minimum de 50 000 €. Intensité jusqu'à 30 %."),
+        (2, "Coût total supérieur à 10 000 €, valeur 45 %."),
+        (3, "Date limite de dépôt : 2026-03-01. Relève le 15 janvier 2027. Ouverture le 2025-12-01. Session du 2026-01-05."),
+        (4, "Dépôt au fil de l'eau. Rapport du 2026-02-02."),
+    ]
+    df = spark.createDataFrame(texts, "k int, text string")
+    got = {r.k: tuple(r)[1:] for r in X.financial_terms(df, "k").collect()}
+    # no sentence of 1 joins the amount to its heading, so the aid falls back on all amounts; one cost makes no maximum
+    assert got[1] == (20000.0, 50000.0, 30.0, 30.0, 50000.0, None)
+    assert got[2] == (10000.0, 10000.0, 45.0, 45.0, 10000.0, None)
+    dates = {r.k: tuple(r)[1:] for r in X.calendar(df, "k").collect()}
+    assert dates[3] == ("2025-12-01", "2026-03-01", 3, False)
+    assert dates[4] == (None, None, 0, True)
+    sizes = spark.createDataFrame([(1, "PME : 45 % et 10 k€, ETI : 35 %."), (2, "Pour toutes.")], "k int, text string")
+    # a colon ends a sentence, so what stands before "ETI :" is said of ETI
+    assert {(r.category, r.rate_min, r.amount_max) for r in X.terms_by_size(sizes, ["k"]).collect()} == {("PME", None, None), ("ETI", 45.0, 10000.0)}
+
+
+def test_listing_links_and_counters(spark):
+    rows = [("Suivant", "/a", True), ("Page 3", "/a", True), ("12", "/a", True), ("Les 12", "/a", False), ("x", "/a?x=1&P=2", True), ("x", "/a?my%43urrentPage=4", True), ("x", "/a?p=z", False), ("x", "/a?p=%zz", False)]
+    df = spark.createDataFrame(rows, "label string, url string, want boolean")
+    assert df.where(X.pagination_link(F.col("label"), F.col("url")) != F.col("want")).count() == 0
+    told = [("Avance remboursable", "/x", True), ("Contact", "/subventions/1", True), ("Contact", "/x", False), ("lami", "/x", False)]
+    assert spark.createDataFrame(told, "label string, url string, want boolean").where(X.relevant_link(F.col("label"), F.col("url")) != F.col("want")).count() == 0
+    assert one(spark, "<b>175</b> puis 175 Résultat(s)", X.result_counter) == 175
+    assert one(spark, "326 aide(s) & service(s)", X.result_counter) == 326
+    assert one(spark, "aucun", X.result_counter) is None
+
+
+def test_environment_is_suspect_when_nothing_answers(spark):
+    probes = spark.createDataFrame([("INGESTION", "TIMEOUT")] * 21 + [("CONTROL", "HTTP_ERROR")] * 3, "role string, state string")
+    got = {r.role: r for r in C.source_health(probes).collect()}
+    assert got["ALL"].environment_suspect and got["INGESTION"].environment_suspect and not got["CONTROL"].environment_suspect
+    assert (got["ALL"].total, got["ALL"].conclusive, got["ALL"].failed) == (24, 3, 24)
+
+
+def test_parts_are_held_against_their_manifest(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "id % 7 AS part")
+    files.write_parts(rows, str(tmp_path / "a"), ["part"])
+    assert files.read_parts(spark, str(tmp_path / "a"), "id long, part long", ["part"]).count() == 100
+    rows.where("id = 3").write.mode("append").partitionBy("part").json(str(tmp_path / "a" / "parts"))
+    with pytest.raises(ValueError):
+        files.read_parts(spark, str(tmp_path / "a"), "id long, part long", ["part"])
+
+
+def test_all_terms_search_with_common_and_absent_words(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gammas"), (2, "alpha beta"), (3, None), (4, "alpha alpha gamma beta")], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "beta gamma alpha"), (2, "alpha omega"), (3, ""), (4, "alphas")], "item_id long, text string")
+    got = {(r.item_id, r.doc_id) for r in S.all_terms(docs, queries).collect()}
+    assert got == {(1, 1), (1, 4), (4, 1), (4, 2), (4, 4)}
