@@ -153,8 +153,8 @@ def size_parts(rows: DataFrame, key: str, span: int, limit: int) -> DataFrame:
 
 def financial_terms(clauses: DataFrame, key: str) -> DataFrame:
     """Per key: bounds of the amounts in sentences on the aid and of the rates in sentences on rates, each of all sentences where none is so worded, and of project costs, whose maximum needs two amounts."""
-    s = clauses.select(key, F.explode(T.sentences(F.col("text"))).alias("s")).withColumn("n", T.norm(F.col("s")))
-    s = s.select(key, "n", T.amounts(F.col("s")).alias("a"), T.rates(F.col("s")).alias("r"))
+    s = clauses.select(key, F.explode(T.sentences(F.col("text"))).alias("s")).select(key, "s", T.amounts(F.col("s")).alias("a"), T.rates(F.col("s")).alias("r"))
+    s = s.select(key, "a", "r", F.when((F.size("a") > 0) | (F.size("r") > 0), T.norm(F.col("s"))).alias("n"))  # the wording of a sentence without figures says nothing
     both = lambda c, cond, name: [f(F.when(cond, g(c))).alias(f"{x}_{name}") for x, f, g in (("min", F.min, F.array_min), ("max", F.max, F.array_max))]
     always, aid, cost, rated = F.lit(True), F.col("n").rlike(T.AID), F.col("n").rlike(T.PROJECT_COST), F.col("n").rlike(T.RATED)
     g = s.groupBy(key).agg(*both("a", aid, "aid"), *both("a", always, "any"), *both("a", cost, "cost"), F.sum(F.when(cost, F.size("a")).otherwise(0)).alias("costs"), *both("r", rated, "rated"), *both("r", always, "said"))
