@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsieve.llm import bpe, decontam, hostrank, imatch, langid, licenses, neardup, pagediff, toxicity, warc
+from fundsieve.llm import bpe, collocations, decontam, hostrank, imatch, langid, licenses, neardup, pagediff, toxicity, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -59,7 +59,11 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_page_differencing, op3_byte_bpe, op4_url_filter, op5_decontaminate, op6_license_scan, op7_toxicity, op8_warc, op9_language_id, op10_minhash_neardup)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_page_differencing, op3_byte_bpe, op4_url_filter, op5_decontaminate, op6_license_scan, op7_toxicity, op8_warc, op9_language_id, op10_minhash_neardup, op11_collocations)}
 ORACLES = {
     "op8_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -80,4 +84,20 @@ reach(doc_id, other) AS (SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM
 low AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
 SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(low.other, s.doc_id)) AS component_id, least(s.doc_id, coalesce(low.other, s.doc_id)) = s.doc_id AS kept
 FROM s LEFT JOIN low USING (doc_id)""",
+    "op11_collocations": r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p FROM (SELECT *, unnest([1, 2, 3]) AS k FROM w)),
+f AS (SELECT lang, k, p, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE f >= 10),
+cand AS (SELECT lang, p, f AS a, k, unnest(CASE k WHEN 2 THEN [1] ELSE [1, 2] END) AS cut FROM often WHERE k > 1),
+cuts AS (SELECT *, p[1:cut] AS p1, p[cut + 1:] AS p2 FROM cand),
+c AS (SELECT cuts.lang, cuts.p, a, cut, l.f AS l, r.f AS r, 1000000 * a * a // (l.f * r.f) AS score
+  FROM cuts JOIN often l ON l.lang = cuts.lang AND l.p = cuts.p1 JOIN often r ON r.lang = cuts.lang AND r.p = cuts.p2),
+low AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+gone AS (SELECT lang, p, max(a) AS most FROM (SELECT lang, p[1:2] AS p, a FROM low WHERE len(p) = 3 UNION ALL SELECT lang, p[2:3], a FROM low WHERE len(p) = 3) GROUP BY lang, p),
+kept AS (SELECT low.* FROM low LEFT JOIN gone ON gone.lang = low.lang AND gone.p = low.p WHERE coalesce(100 * gone.most < 50 * low.a, true)),
+top AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank FROM kept)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM top JOIN n USING (lang) WHERE rank <= 2000""",
 }
