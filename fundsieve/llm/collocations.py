@@ -23,32 +23,20 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundsieve.llm.automata import Grams, compose, locate, over_one_alphabet, own_alphabet, read, summed, union, write
 from fundsieve.llm.tables import cut, small_batches
-from fundsieve.llm.words import slices, utf8
+from fundsieve.llm.words import LOWER, distinct_words, slices, utf8
 
 STOPS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 STOP = np.isin(np.arange(256), list(STOPS))
 GAP = STOP | np.isin(np.arange(256), list(BLANKS))
-LOWER = np.array([b + 32 * (65 <= b <= 90) for b in range(256)], np.uint8)
 SLICE = 4 << 20  # bytes of text that become one sorted run
 STRIDE = 1 << 16  # bytes of text for each sampled word run
 
 
-def distinct_words(raw: np.ndarray, word: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The distinct words in the order of their bytes, and the number of each occurrence; `word` marks the bytes of words."""
-    upto = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
-    coded = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(upto), pa.py_buffer(LOWER[raw[word]])]).dictionary_encode()
-    order = pc.array_sort_indices(coded.dictionary)
-    rank = np.empty(len(order), np.int32)
-    rank[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
-    return coded.dictionary.take(order), rank[coded.indices.to_numpy(zero_copy_only=False)]
-
-
 def count_grams(text: bytes) -> Grams:
     """All runs of one to three words inside the pieces of a text, with their counts."""
     raw = np.frombuffer(text, np.uint8)
