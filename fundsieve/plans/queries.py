@@ -598,14 +598,17 @@ s AS (SELECT item_id, doc_id, sum(w * idf) AS bm25 FROM per JOIN idf USING (term
 """
 
 
+def titled(t):
+    return t("documents").select("doc_id", first_line().alias("title"), F.col("text").alias("objective"))
+
+
 def bm25(t):
-    docs = t("documents").select("doc_id", first_line().alias("title"), F.col("text").alias("objective"))
-    return M.bm25f(docs, t("benchmark"), BOOSTS)
+    return M.bm25f(titled(t), t("benchmark"), BOOSTS)
 
 
 @query(BM25_SQL + "SELECT item_id, doc_id, round(bm25, 4)::DOUBLE AS bm25, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(bm25, 6) DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
 def k10_bm25f_ranking(t):
-    ranked = M.top(bm25(t).withColumn("score", F.round("bm25", 6)), "item_id", "score", "doc_id", 5)
+    ranked = M.top_bm25f(titled(t), t("benchmark"), BOOSTS, 5)
     return ranked.select("item_id", "doc_id", F.round("bm25", 4).alias("bm25"), "rank")
 
 
@@ -633,6 +636,19 @@ def k11_rank_fusion(t):
     return M.reciprocal_rank_fusion(s, "item_id", [[F.desc("ratio"), "doc_id"], [F.desc("score"), F.desc("ratio"), "doc_id"]]).select("item_id", "doc_id", F.round("rrf", 8).alias("rrf"))
 
 
+@query("WITH " + OVERLAP_SQL + " SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ratio DESC, doc_id) AS rank FROM ov) WHERE rank <= 10")
+def k4_top_overlap(t):
+    return M.top_overlap(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), CONCEPT_RULES, 10)
+
+
+@query(BM25_SQL + ", " + OVERLAP_SQL + """, r AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY ratio DESC, doc_id) AS rank FROM ov UNION ALL SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(bm25, 6) DESC, doc_id) FROM s)
+SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 8)::DOUBLE AS rrf FROM r WHERE rank <= 20 GROUP BY 1, 2""")
+def k11_fused_top(t):
+    structured = M.top_overlap(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), CONCEPT_RULES, 20)
+    lexical = M.top_bm25f(titled(t), t("benchmark"), BOOSTS, 20)
+    return M.fuse([structured, lexical]).withColumn("rrf", F.round("rrf", 8))
+
+
 @query(f"""WITH p AS (SELECT * FROM fx_program), i AS (SELECT instrument AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 6), r AS (SELECT region AS k, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, k LIMIT 8), c AS (SELECT CAST(program_id AS VARCHAR) AS k, date_diff('day', {DAY}, closing_date) AS n FROM p WHERE closing_date >= {DAY} ORDER BY closing_date, program_id LIMIT 6)
 SELECT 'share:' || scope AS metric, '' AS name, round(100.0 * count(*) / (SELECT count(*) FROM p), 6)::DOUBLE AS value FROM p GROUP BY scope UNION ALL SELECT 'instrument', k, n::DOUBLE FROM i UNION ALL SELECT 'region', k, n::DOUBLE FROM r UNION ALL SELECT 'closing', k, n::DOUBLE FROM c
 UNION ALL SELECT 'source_success', '', round(100.0 * count(*) FILTER (success) / count(*), 6)::DOUBLE FROM fx_run UNION ALL SELECT 'created_today', '', count(*)::DOUBLE FROM p WHERE opening_date = {DAY} UNION ALL SELECT 'active', '', count(*)::DOUBLE FROM p WHERE lifecycle = 'ACTIVE'
