@@ -8,7 +8,8 @@ from fundsieve.fixtures import AS_OF
 from fundsieve.operators import audit as A
 from fundsieve.operators import catalogue as C
 from fundsieve.operators import extraction as X
-from fundsieve.plans.queries import CONFIDENCE_SQL, DAY, DEDUPE_URL, FIELDS, FINANCE_SQL, REASON_SQL, VERIFIED_SQL, listed, query, reasons
+from fundsieve.operators import merging as G
+from fundsieve.plans.queries import CATALOGUE_PATHS, CONFIDENCE_SQL, DAY, DEDUPE_URL, FIELDS, FINANCE_SQL, NORM, RANK, REASON_SQL, VERIFIED_SQL, listed, query, reasons
 from fundsieve.functions import text as T
 from fundsieve.sources import files
 
@@ -73,6 +74,68 @@ def e4_direct_library(t):
     return A.first_of(rows, "official_page", ["program_id"], ["program_id", "title"])
 
 
+PASSED = "SELECT source_id FROM (SELECT source_id, arg_max(imported, (checked_at, cycle_id)) AS imported, arg_max(success, (checked_at, cycle_id)) AS success FROM fx_run GROUP BY 1) r JOIN fx_source s USING (source_id) WHERE success AND imported >= min_imported"
+REPEATED_SQL = "SELECT program_id, program_id // 64 AS grp, CASE WHEN program_id % 11 = 0 THEN '' ELSE concat('a', program_id // 64, '-', program_id * 7 % 13) END AS ident, CASE WHEN program_id % 13 = 0 THEN NULL ELSE concat('https://s', program_id // 64, '.example.org/', program_id * 5 % 11) END AS page FROM fx_program"
+
+
+@query(f"""SELECT unnest(list_reduce(list_prepend({{'ids': ['']::VARCHAR[], 'pages': ['']::VARCHAR[], 'kept': []::BIGINT[]}}, rows), (x, z) -> CASE WHEN (len(z.ids[1]) > 0 AND list_contains(x.ids, z.ids[1])) OR (len(z.pages[1]) > 0 AND list_contains(x.pages, z.pages[1])) THEN x ELSE {{'ids': list_concat(x.ids, z.ids), 'pages': list_concat(x.pages, z.pages), 'kept': list_concat(x.kept, z.kept)}} END).kept) AS program_id
+FROM (SELECT grp, list({{'ids': [coalesce(ident, '')], 'pages': [coalesce(page, '')], 'kept': [program_id::BIGINT]}} ORDER BY program_id) AS rows FROM ({REPEATED_SQL}) GROUP BY grp)""".replace("(x, z) ->", "lambda x, z:"))
+def e4_first_of_either(t):
+    n = F.col("program_id")
+    group = F.floor(n / 64).cast("string")
+    ident = F.when(n % 11 == 0, "").otherwise(F.concat(F.lit("a"), group, F.lit("-"), (n * 7 % 13).cast("string")))
+    page = F.when(n % 13 != 0, F.concat(F.lit("https://s"), group, F.lit(".example.org/"), (n * 5 % 11).cast("string")))
+    return G.first_of_either(t("fx_program").select("program_id", ident.alias("ident"), page.alias("page")), ["ident", "page"], ["program_id"]).select("program_id")
+
+
+SCALARS = ["objective", "beneficiaries", "eligible_expenses", "excluded_expenses", "prerequisites", "selection_criteria", "disbursement_terms", "repayment_terms", "state_aid_rules", "application_process", "contact", "closing_date", "final_closing_date", "opening_date", "programme", "operator", "minimum_project_cost", "maximum_project_cost"]
+FROM_EQUAL = ["aid_rate", "aid_amount", "aid_split", "permanent"]
+UNIONS = ["company_categories", "themes", "regions", "aid_types", "projects_expected", "deadlines", "attention_points", "cdc_links", "source_links", "regulation_links", "form_links", "funder", "source_aliases"]
+RECORD_COLUMNS = [
+    *[f"CASE (seq * 7 + {i} * 5 + q) % 6 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('{c} ', CAST(q AS VARCHAR(9))) END AS {c}" for i, c in enumerate(SCALARS)],
+    *[f"CASE WHEN (seq + {i} + q) % 3 > 0 THEN concat('{c} ', CAST(q AS VARCHAR(9))) END AS {c}" for i, c in enumerate(FROM_EQUAL)],
+    *[f"CASE WHEN (seq + {i} + q) % 4 > 0 THEN concat('x', CAST(q % 3 AS VARCHAR(9)), '|', CASE WHEN q % 5 = 0 THEN '' ELSE '{c}' END, '|x', CAST((q + {i}) % 3 AS VARCHAR(9))) END AS {c}" for i, c in enumerate(UNIONS)],
+    "CASE (seq + q) % 5 WHEN 0 THEN 'Page introuvable' WHEN 1 THEN NULL WHEN 2 THEN 'abc' ELSE concat('Dispositif ', CAST(q AS VARCHAR(9))) END AS title",
+    "CASE (seq * 5 + q) % 7 WHEN 0 THEN NULL WHEN 1 THEN concat(source_url, '.pdf') WHEN 2 THEN 'https://x.example.org/aides/' WHEN 3 THEN 'ftp://x.example.org/' WHEN 4 THEN concat(source_url, '.PDF?v=1') ELSE source_url END AS official_page",
+    "CASE q % 5 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'STALE' WHEN 2 THEN 'ARCHIVE' WHEN 3 THEN 'DRAFT' END AS lifecycle",
+    "CASE WHEN q % 3 > 0 THEN CAST(checked_on AS VARCHAR(10)) END AS last_seen",
+]
+RECORDS_SQL = f"SELECT program_id, seq, source_url, checked_on, evidence_text, tier, {', '.join(RECORD_COLUMNS)} FROM (SELECT *, CAST(substring(evidence_text, 7) AS INT) AS q FROM fx_evidence)"
+NOTHING = f"(length({NORM.format(c='title')}) < 4 OR regexp_matches({NORM.format(c='title')}, '{G.NO_TITLE}'))"
+IS_DOC = "coalesce(regexp_matches(official_page, '(?i)[.](pdf|docx?|xlsx?)($|[?])'), false)"
+WORTH = f"CASE WHEN {IS_DOC} THEN 0 ELSE 10 END + CASE WHEN NOT regexp_matches(official_page, '(?i)^https?:') THEN 0 WHEN regexp_replace(regexp_extract(official_page, '^https?://[^/?#]*([^?#]*)', 1), '/+$', '') IN ('', '/aides') THEN 1 WHEN {IS_DOC} THEN 2 ELSE 3 END"
+
+
+@query(f"""WITH r AS (SELECT *, {RANK} AS rk, row_number() OVER (PARTITION BY program_id ORDER BY seq, source_url, checked_on, evidence_text, tier) AS rn FROM ({RECORDS_SQL})),
+o AS (SELECT *, max(rk) OVER w AS most, max((NOT {NOTHING})::INT) OVER w AS named, {', '.join(f"count(nullif({c}, '')) OVER w AS had_{c}" for c in SCALARS)} FROM r WINDOW w AS (PARTITION BY program_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+u AS (SELECT program_id, field, value, min(rn * 100 + pos) AS place FROM (SELECT program_id, rn, e.f AS field, unnest(string_split(e.v, '|')) AS value, generate_subscripts(string_split(e.v, '|'), 1) AS pos FROM (SELECT program_id, rn, unnest([{', '.join(f"{{'f': '{c}', 'v': {c}}}" for c in UNIONS)}]) AS e FROM r)) WHERE value <> '' GROUP BY ALL),
+v AS (SELECT program_id, {', '.join(f"string_agg(value, '|' ORDER BY place) FILTER (field = '{c}') AS {c}" for c in UNIONS)} FROM u GROUP BY 1)
+SELECT o.program_id, {', '.join(f"coalesce(arg_max({c}, rn) FILTER ({c} <> '' AND (had_{c} = 0 OR rk > most)), first({c} ORDER BY rn)) AS {c}" for c in SCALARS)},
+ {', '.join(f"arg_max({c}, rn) FILTER (most IS NULL OR ({c} IS NOT NULL AND rk >= most)) AS {c}" for c in FROM_EQUAL)},
+ {', '.join(f"CASE WHEN count(*) = 1 THEN first(o.{c}) ELSE coalesce(first(v.{c}), '') END AS {c}" for c in UNIONS)},
+ coalesce(arg_max(title, rn) FILTER (NOT {NOTHING} AND (coalesce(named, 0) = 0 OR (NOT {IS_DOC} AND rk > most))), first(title ORDER BY rn)) AS title,
+ arg_max(official_page, ({WORTH}) * 1000 - rn) AS official_page,
+ CASE WHEN bool_or(lifecycle = 'ACTIVE') THEN 'ACTIVE' WHEN bool_or(lifecycle = 'STALE') THEN 'STALE' WHEN bool_or(lifecycle = 'ARCHIVE') THEN 'ARCHIVE' ELSE first(lifecycle ORDER BY rn) END AS lifecycle,
+ arg_max(last_seen, rn) AS last_seen, arg_max(tier, rk * 1000 - rn) AS tier, max(rk)::INTEGER AS tier_rank, count(*) AS records FROM o LEFT JOIN v USING (program_id) GROUP BY 1""")
+def e7_whole_fold(t):
+    rows = t("fx_evidence").withColumn("q", F.expr("CAST(substring(evidence_text, 7) AS INT)"))
+    rows = rows.selectExpr("*", *RECORD_COLUMNS)
+    for c in UNIONS:
+        rows = rows.withColumn(c, F.split(c, r"\|"))
+    merged = G.fold_records(rows, ["program_id"], ["seq", "source_url", "checked_on", "evidence_text", "tier"], C.tier_rank(F.col("tier")), CATALOGUE_PATHS, SCALARS, FROM_EQUAL, UNIONS)
+    return merged.select(*[F.array_join(c, "|").alias(c) if c in UNIONS else c for c in merged.columns])
+
+
+OWNED_SQL = "SELECT program_id, title, program_id % 50 AS source_id, CASE WHEN program_id % 3 = 0 THEN [(program_id + 7) % 50, (program_id + 11) % 50] END AS aliases FROM fx_before"
+
+
+@query(f"WITH safe AS ({PASSED} AND strategy <> 'control-only') SELECT program_id, title FROM ({OWNED_SQL}) WHERE (source_id IN (SELECT source_id FROM safe) OR list_has_any(coalesce(aliases, []), (SELECT list(source_id) FROM safe))) AND program_id NOT IN (SELECT program_id FROM fx_after)")
+def e12_owned_stale(t):
+    n = F.col("program_id")
+    before = t("fx_before").select(n, "title", (n % 50).alias("source_id"), F.when(n % 3 == 0, F.array((n + 7) % 50, (n + 11) % 50)).alias("aliases"))
+    return G.stale_by_owner(before, t("fx_after"), passed(t), "program_id", "source_id", "aliases").select("program_id", "title")
+
+
 @query("SELECT program_id, coalesce(arg_min(evidence_text, (seq, source_url, evidence_text)) FILTER (tier = 'A'), arg_min(evidence_text, (seq, source_url, evidence_text)) FILTER (tier = 'B'), any_value(title)) AS value, count(*) FILTER (tier IN ('A', 'B')) + 1 AS records FROM fx_program LEFT JOIN fx_evidence USING (program_id) GROUP BY 1")
 def e8_enrichment(t):
     base = t("fx_program").select("program_id", F.lit(0).alias("step"), F.lit(0).alias("seq"), F.lit("").alias("source_url"), F.lit("C").alias("tier"), F.col("title").alias("value"))
@@ -83,7 +146,6 @@ def e8_enrichment(t):
 
 
 SIDES = "SELECT program_id, CAST(program_id % 50 AS INT) AS source_id, lifecycle, closing_date FROM {n}"
-PASSED = "SELECT source_id FROM (SELECT source_id, arg_max(imported, (checked_at, cycle_id)) AS imported, arg_max(success, (checked_at, cycle_id)) AS success FROM fx_run GROUP BY 1) r JOIN fx_source s USING (source_id) WHERE success AND imported >= min_imported"
 
 
 def passed(t):

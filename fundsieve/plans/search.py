@@ -9,6 +9,7 @@ from fundsieve.functions import text as T
 from fundsieve.operators import catalogue as C
 from fundsieve.operators import extraction as X
 from fundsieve.operators import scoring as S
+from fundsieve.operators import search as L
 from fundsieve.plans.queries import CONCEPTS, DAY, MATCHING, NORM, TERMS, listed, query
 
 
@@ -27,6 +28,25 @@ def j1_all_terms_search(t):
     return S.all_terms(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"))
 
 
+NINE = ["title", "kind", "instrument", "scope", "region", "company_categories", "themes", "lifecycle", "funder"]
+NINE_SQL = "SELECT *, CASE source_id % 3 WHEN 0 THEN 'Bpifrance' WHEN 1 THEN 'BPI  France' ELSE 'Région' END AS funder FROM fx_program"
+ASKED_SQL = "SELECT company_id AS item_id, concat(region, ' les ', CASE WHEN company_id % 200 = 0 THEN 'bpi france ' ELSE '' END, lower(category), CASE WHEN company_id % 300 = 0 THEN ' programmes ' ELSE ' ' END, CAST(company_id % 97 AS VARCHAR(5))) AS text FROM fx_company WHERE company_id % 100 = 0"
+RENAMED = "regexp_replace({c}, '\\bbpi france\\b', 'bpifrance', 'g')"
+
+
+@query(f"""WITH d AS (SELECT program_id, {NORM.format(c="concat_ws(' ', " + ", ".join(NINE) + ")")} AS plain FROM ({NINE_SQL})), h AS (SELECT program_id, {RENAMED.format(c="plain")} || CASE WHEN contains(plain, 'bpifrance') THEN ' bpi' ELSE '' END AS held FROM d),
+q AS (SELECT item_id, list_filter(string_split({RENAMED.format(c=NORM.format(c="text"))}, ' '), x -> length(x) > 1 AND x NOT IN ('de', 'du', 'des', 'aux', 'les', 'le', 'la', 'en', 'et')) AS terms FROM ({ASKED_SQL}))
+SELECT item_id, program_id FROM q, h WHERE len(terms) > 0 AND len(list_filter(terms, x -> contains(held, x) OR (length(x) > 4 AND ends_with(x, 's') AND contains(held, left(x, length(x)::INT - 1))))) = len(terms)""")
+def j1_substring_search(t):
+    funder = F.when(F.col("source_id") % 3 == 0, "Bpifrance").when(F.col("source_id") % 3 == 1, "BPI  France").otherwise("Région")
+    docs = t("fx_program").withColumn("funder", funder).withColumn("doc_id", F.col("program_id"))
+    c = F.col("company_id")
+    text = F.concat("region", F.lit(" les "), F.when(c % 200 == 0, "bpi france ").otherwise(""), F.lower("category"), F.when(c % 300 == 0, " programmes ").otherwise(" "), (c % 97).cast("string"))
+    asked = t("fx_company").where(c % 100 == 0).select(c.alias("item_id"), text.alias("text"))
+    found = L.contains_all(docs, asked, NINE, {"bpi france": "bpifrance"}, {"bpifrance": "bpi"})
+    return found.select("item_id", F.col("doc_id").alias("program_id"))
+
+
 OPEN_SQL = f"instrument IN {listed(C.TARGET)} AND (permanent OR closing_date IS NULL OR closing_date >= {DAY} - 60) AND length(title) >= 4"
 
 
