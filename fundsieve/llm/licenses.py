@@ -6,11 +6,13 @@ stretch counts that gains most, a word between them that the template lacks cost
 Coverage is the share of matched words among the template's and those extra ones. Of templates that overlap in a
 document the one that covers best wins, then the one with more matched words.
 
-A template is the whole text of a license or a notice: a phrase that releases something and the license's name. A
-notice's name must stand in full and without words between, so that versions and variants are told apart, and so must
-more than half of its phrase, so that a license that is only named is none. A part of a
-document is tried where enough runs of words agree with the template on about the same diagonal (for a text: a fifth of
-its runs of three words; for a notice: one run of two words of the name). Tasks hold the templates, whose number is fixed.
+A template is the whole text of a license or a notice: a phrase that releases something and the license's name. Of a
+notice the name is found first, in full and without words between, so that versions and variants are told apart; then the
+phrases are aligned with the words before it, once for all places with the same words, and more than half of one must
+stand there, so that a license that is only named is none. A name that is an everyday word or an identifier needs the
+whole phrase right before it. Names joined to a notice's by words like "and" or "or" belong to it as well, and a name
+that fills a line is a heading. A part of a document is tried for a whole text where a fifth of its runs of three words
+agree with it on about the same diagonal. Tasks hold the templates, whose number is fixed.
 
 Cases: null and empty texts hold no license; every place of a license in a text is a row; repeated rows repeat; other
 columns are ignored; an empty table gives none.
@@ -24,6 +26,7 @@ from importlib import resources
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,17 +53,21 @@ NAMES = {
 }
 CC_VARIANTS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 CC_VERSIONS = ("2.0", "3.0", "4.0")
-PHRASES = ["Licensed under", "Licensed under the", "Released under the", "Distributed under the terms of the", "This work is licensed under", "This work is licensed under the", "Available under the"]
+PHRASES = ["Licensed under", "Licensed under the", "Released under the", "Distributed under the terms of the", "This work is licensed under", "This work is licensed under the", "Available under the", "SPDX-License-Identifier:"]
+JOINING = "and or the a an either both license licenses licence under at your option terms of with later any version".split()
+BEFORE, BETWEEN = 12, 5  # words before a name that a phrase is looked for in, and between joined names
 
 
-def notices() -> list[tuple[str, str, str]]:
-    """(license, phrase, name) of every notice."""
-    names = {k: list(v) for k, v in NAMES.items()}
+def names() -> list[tuple[str, str, bool]]:
+    """(license, name, whether the name needs a whole phrase right before it)."""
+    own = {k: list(v) for k, v in NAMES.items()}
     for short, full in CC_VARIANTS.items():
         for version in CC_VERSIONS:
             tail = " International License" if version == "4.0" else " License"
-            names[f"CC-{short}-{version}"] = [f"CC {short} {version}", f"Creative Commons {full} {version}{tail}"]
-    return [(k, phrase, name) for k, own in sorted(names.items()) for name in own for phrase in PHRASES]
+            own[f"CC-{short}-{version}"] = [f"CC {short} {version}", f"Creative Commons {full} {version}{tail}"]
+    out = [(k, n, " " not in n and "-" not in n) for k, v in sorted(own.items()) for n in v]
+    known = {(k, n.lower()) for k, n, _ in out}
+    return out + [(k, k, True) for k in sorted(own) if (k, k.lower()) not in known]
 
 
 def texts() -> list[tuple[str, str]]:
@@ -120,51 +127,104 @@ def best_stretch(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
 
 
 class Templates:
-    def __init__(self, whole: list[tuple[str, str]], short: list[tuple[str, str, str]]):
-        rows = [(k, "text", "", t) for k, t in whole] + [(k, "notice", phrase, name) for k, phrase, name in short]
-        self.names, self.kinds = [r[0] for r in rows], [r[1] for r in rows]
-        heads, head_at = lowered_words(pa.array([r[2] for r in rows], pa.string()))
-        tails, tail_at = lowered_words(pa.array([r[3] for r in rows], pa.string()))
-        self.words = [heads[a:b].tolist() + tails[c:d].tolist() for a, b, c, d in zip(head_at[:-1], head_at[1:], tail_at[:-1], tail_at[1:], strict=True)]
-        self.name_at = np.diff(head_at).tolist()  # where a notice's name begins
-        self.least = [max(1, (len(w) - 2) // 5) if kind == "text" else 1 for w, kind in zip(self.words, self.kinds, strict=True)]
-        grams: dict[int, list[tuple[int, int, int]]] = {}
-        for k, (w, kind, at) in enumerate(zip(self.words, self.kinds, self.name_at, strict=True)):
-            q = 3 if kind == "text" else min(2, len(w) - at)
-            grams.setdefault(q, []).extend((h, k, at + o) for o, h in enumerate(gram_hashes(np.array(w[at:], np.uint64), q).tolist()))
-        self.grams = {}
-        for q, own in grams.items():
-            own.sort()
-            self.grams[q] = (np.array([g[0] for g in own], np.uint64), np.array([g[1] for g in own]), np.array([g[2] for g in own]))
+    """Whole texts by runs of three words, and notices by their names' words."""
+
+    def __init__(self, whole: list[tuple[str, str]], named: list[tuple[str, str, bool]]):
+        split = lambda texts: [w.tolist() for w in np.split(*self.words_at(texts))]
+        self.ids, self.words = [k for k, _ in whole], split([t for _, t in whole])
+        self.phrases, self.joining = split(PHRASES), {w for own in split(JOINING) for w in own}
+        self.named = [(k, w, strict) for (k, _, strict), w in zip(named, split([n for _, n, _ in named]), strict=True)]
+        grams = sorted((h, k, o) for k, w in enumerate(self.words) for o, h in enumerate(gram_hashes(np.array(w, np.uint64), 3).tolist()))
+        self.grams = (np.array([g[0] for g in grams], np.uint64), np.array([g[1] for g in grams], np.int64), np.array([g[2] for g in grams], np.int64))
+        sizes: dict[int, dict[int, int]] = {}
+        for k, (_, w, _) in enumerate(self.named):
+            sizes.setdefault(len(w), {}).setdefault(gram_hashes(np.array(w, np.uint64), len(w)).tolist()[0], k)
+        self.by_size = {n: (np.array(sorted(own), np.uint64), own) for n, own in sizes.items()}
+        self.seen: dict[tuple, tuple[float, int]] = {}
+
+    @staticmethod
+    def words_at(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words, at = lowered_words(pa.array(texts, pa.string()))
+        return words, at[1:-1]
 
     def hits(self, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document, template, first and last diagonal) of each part to try."""
+        """(document, text, first and last diagonal) of each part to try."""
+        h, template, offset = self.grams
+        g = gram_hashes(words, 3)
+        pos = np.flatnonzero(np.isin(g, h))
+        doc = np.searchsorted(at, pos, "right") - 1
+        inside = pos + 3 <= at[doc + 1]
+        pos, doc = pos[inside], doc[inside]
+        lo, hi = np.searchsorted(h, g[pos], "left"), np.searchsorted(h, g[pos], "right")
+        many = hi - lo
+        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(pos) else np.zeros(0, np.int64)
+        k, diagonal, doc = template[entry], np.repeat(pos, many) - offset[entry], np.repeat(doc, many)
+        order = np.lexsort((diagonal, k, doc))
+        k, diagonal, doc = k[order], diagonal[order], doc[order]
+        size = np.array([len(w) for w in self.words])[k] if len(k) else k
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (diagonal[1:] - diagonal[:-1] > np.maximum(2, size[1:] // 4))
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(k))[: len(first)] - 1
+        enough = last - first + 1 >= np.array([max(1, (len(w) - 2) // 5) for w in self.words])[k[first]] if len(first) else np.zeros(0, bool)
+        return [(int(doc[a]), int(k[a]), int(diagonal[a]), int(diagonal[b])) for a, b in zip(first[enough], last[enough], strict=True)]
+
+    def places(self, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document, first word, words, name) of each name, in order."""
         out = []
-        for q, (h, template, offset) in self.grams.items():
-            g = gram_hashes(words, q)
-            pos = np.flatnonzero(np.isin(g, h))
+        for n, (known, which) in self.by_size.items():
+            g = gram_hashes(words, n)
+            pos = np.flatnonzero(np.isin(g, known))
             doc = np.searchsorted(at, pos, "right") - 1
-            inside = pos + q <= at[doc + 1]
-            pos, doc = pos[inside], doc[inside]
-            lo, hi = np.searchsorted(h, g[pos], "left"), np.searchsorted(h, g[pos], "right")
-            many = hi - lo
-            entry = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(pos) else np.zeros(0, np.int64)
-            k, diagonal, doc = template[entry], np.repeat(pos, many) - offset[entry], np.repeat(doc, many)
-            order = np.lexsort((diagonal, k, doc))
-            k, diagonal, doc = k[order], diagonal[order], doc[order]
-            size = np.array([len(w) for w in self.words])[k] if len(k) else k
-            new = np.ones(len(k), bool)
-            new[1:] = (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (diagonal[1:] - diagonal[:-1] > np.maximum(2, size[1:] // 4))
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(k))[: len(first)] - 1
-            enough = last - first + 1 >= np.array(self.least)[k[first]] if len(first) else np.zeros(0, bool)
-            out += [(int(doc[a]), int(k[a]), int(diagonal[a]), int(diagonal[b])) for a, b in zip(first[enough], last[enough], strict=True)]
+            inside = pos + n <= at[doc + 1]
+            out += [(d, p, n, which[h]) for d, p, h in zip(doc[inside].tolist(), pos[inside].tolist(), g[pos[inside]].tolist(), strict=True)]
+        return sorted(out)
+
+    def phrase(self, before: list[int], n: int) -> tuple[float, int]:
+        """(coverage, words from the phrase's first to the name) of the phrase that covers best, for a name of n words behind these."""
+        key = (n, *before)
+        if key not in self.seen:
+            best = (0.0, 0)
+            for phrase in self.phrases:
+                window = before[max(0, len(before) - len(phrase) - max(2, (len(phrase) + n) // 4)) :]
+                pairs = patience(phrase, window)
+                pairs += [(len(phrase) + i, len(window) + i) for i in range(n)]
+                a, b, extra = best_stretch(pairs)
+                head = len(pairs) - n - a
+                if b == len(pairs) - 1 and 2 * head > len(phrase):
+                    best = max(best, ((b - a + 1) / (len(phrase) + n + extra), len(window) - pairs[a][1]))
+            if len(self.seen) >= 1 << 16:
+                self.seen.clear()
+            self.seen[key] = best
+        return self.seen[key]
+
+    def notices(self, words: np.ndarray, at: np.ndarray, lines: np.ndarray, least: float) -> list[tuple]:
+        """(document, coverage, words, license, first word, last word, kind) of notices, names joined to them, and headings."""
+        out = []
+        joined_to, cover_before, end = -1, 0.0, 0  # the document, coverage and end of the notice before
+        starts = set(lines.tolist())
+        for d, p, n, k in self.places(words, at):
+            name, _, strict = self.named[k]
+            before = words[max(int(at[d]), p - BEFORE) : p].tolist()
+            cover, back = self.phrase(before, n)
+            ways = [(cover, p - back, "notice")] if cover >= (1.0 if strict else least) else []
+            if joined_to == d and p <= end + BETWEEN and all(w in self.joining for w in words[end:p].tolist()):
+                ways.append((cover_before, p, "notice"))
+            if not strict and p in starts and p + n in starts:
+                ways.append((1.0, p, "heading"))
+            out += [(d, c, p + n - first, name, first, p + n - 1, kind) for c, first, kind in ways]  # the best of them is taken
+            notices = [c for c, _, kind in ways if kind == "notice"]
+            if notices:
+                end = max(end, p + n) if joined_to == d else p + n
+                joined_to, cover_before = d, max(notices)
         return out
 
     def find(self, column, least: float) -> list[tuple]:
         """(row, license, kind, coverage, first word, last word) of each license of each text."""
-        words, at = lowered_words(column)
-        found = []
+        parted = pc.split_pattern(column.cast(pa.large_string()).fill_null(""), "\n")
+        words, line_at = lowered_words(parted.flatten())
+        at = line_at[np.asarray(parted.offsets) - int(parted.offsets[0].as_py())]
+        found = [(d, -cover, -n, name, a, b, kind) for d, cover, n, name, a, b, kind in self.notices(words, at, line_at, least)]
         for d, k, first, last in self.hits(words, at):
             n = len(self.words[k])
             slack = max(2, n // 4)
@@ -174,27 +234,23 @@ class Templates:
                 continue
             a, b, extra = best_stretch(pairs)
             cover = (b - a + 1) / (n + extra)
-            if cover < least:
-                continue
-            if self.kinds[k] == "notice":
-                name = [p for p in pairs[a : b + 1] if p[0] >= self.name_at[k]]
-                phrase = b - a + 1 - len(name)
-                if len(name) < n - self.name_at[k] or name[-1][1] - name[0][1] != len(name) - 1 or 2 * phrase <= self.name_at[k]:
-                    continue
-            found.append((d, -cover, -(b - a + 1), self.names[k], lo + pairs[a][1] - int(at[d]), lo + pairs[b][1] - int(at[d]), self.kinds[k]))
+            if cover >= least:
+                found.append((d, -cover, -(b - a + 1), self.ids[k], lo + pairs[a][1], lo + pairs[b][1], "text"))
         out: list[tuple] = []
-        taken: dict[int, list[tuple[int, int]]] = {}
+        taken: dict[int, tuple[list[int], list[int]]] = {}  # first and last words of what a text's finds have taken, in order
         for d, cover, _, name, a, b, kind in sorted(found):
-            own = taken.setdefault(d, [])
-            if all(b < x or a > y for x, y in own):
-                own.append((a, b))
-                out.append((d, name, kind, -cover, a, b))
+            firsts, lasts = taken.setdefault(d, ([], []))
+            i = bisect_left(firsts, a)
+            if (i == 0 or lasts[i - 1] < a) and (i == len(firsts) or firsts[i] > b):
+                firsts.insert(i, a)
+                lasts.insert(i, b)
+                out.append((d, name, kind, -cover, a - int(at[d]), b - int(at[d])))
         return sorted(out, key=lambda r: (r[0], r[4]))
 
 
 def scan(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, license, kind, coverage, first_word, last_word) of each license found in a text; kind: text or notice."""
-    shared = docs.sparkSession.sparkContext.broadcast(Templates(texts(), notices()))
+    """(doc_id, license, kind, coverage, first_word, last_word) of each license found in a text; kind: text, notice or heading."""
+    shared = docs.sparkSession.sparkContext.broadcast(Templates(texts(), names()))
 
     def run(batches):
         for b in slices(batches):
