@@ -7,7 +7,10 @@ paired.
 
 A value that more than `hot` classes retain would make a list of too many pairs. Such lists are served exactly another
 way: each list links its members to its most central one, and classes that are still apart meet by prefix filtering
-over their full sets, rarest shingle first and by size range, which loses no pair over the threshold.
+over their full sets, rarest shingle first and by size range, which loses no pair over the threshold. Shingles that
+stand in the same classes are one weighted element there. A list of that filter with more than `hot` members outside its
+main component is split by the next element that a pair must share as well, where that makes less than half of the
+pairs; so texts of one template, which share most of their shingles, make candidates in proportion to their number.
 
 Cases: null and empty texts have no shingles and link with nothing; texts of fewer words than a shingle are one
 shingle of all their words; equal rows fall in one class; rows of one id with different texts are one document, which
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundsieve.llm.tables import components, cut
-from fundsieve.llm.words import gram_hashes, slices, word_hashes
+from fundsieve.llm.words import gram_hashes, mix, slices, word_hashes
 
 
 CLASS = ["n_shingles", "digest", "digest2"]
@@ -131,38 +134,119 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: in
     return t.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int, step: float = 1.1) -> DataFrame:
-    """Pairs in different components that may reach the threshold, by prefix filtering over full sets.
+LIST = ["key", "r1", "r2"]
+ENTRY = "key long, r1 int, r2 int, is_low boolean, is_high boolean, node long, comp long, n long, slack long, pos int, missed long, got long, rest long"
+ENTRY_NAMES = [c.split()[0] for c in ENTRY.split(", ")]
 
-    A pair of sizes x and y at the threshold shares at least percent (x + y) / (100 + percent) shingles. With the
-    rarest first, each side has a common one among its first size - that + 1, and after the first common one enough are
-    left on both sides. Sizes fall into ranges of ratio `step`; a document lists its prefix once for each range of
-    partners, cut for the smallest of them. Lists of one component, or without both ranges, hold no such pair.
-    """
+
+def elements(sets: DataFrame) -> DataFrame:
+    """(node, els, dfs, ws) of each set: its elements, the rarest first, with their classes and weights. Shingles of the same classes are one element."""
     flat = sets.select("node", F.explode("shingles").alias("sh"))
-    count = flat.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
-    ranked = flat.join(count.where("df > 1"), "sh", "left").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "sh"))).alias("s"))
-    rng = lambda x: F.floor(F.log(x) / math.log(step)).cast("int")
-    ranked = ranked.join(comps, "node").withColumn("n", F.size("s").cast("long")).withColumn("r", rng(F.col("n")))
-    least, most = F.expr(f"(n * {percent} + 99) div 100"), F.expr(f"(n * 100) div {percent}")
-    both = ranked.select("node", "comp", "n", "r", "s", F.explode(F.sequence(rng(least), rng(most))).alias("q"), least.alias("least"))
-    both = both.withColumn("smallest", F.greatest("least", F.floor(F.pow(F.lit(step), F.col("q")) - 1e-9)))
-    need = F.expr(f"({percent} * (n + smallest) + 99 + {percent}) div {100 + percent}")
-    prefix = F.slice("s", F.lit(1), F.greatest(F.lit(0), F.col("n") - need + 1).cast("int"))
-    shared = F.filter(F.transform(prefix, lambda e, i: F.struct(e["df"].alias("df"), e["sh"].alias("sh"), (i + 1).alias("pos"))), lambda e: e["df"] > 1)
-    keys = both.select("node", "comp", "n", F.least("r", "q").alias("r1"), F.greatest("r", "q").alias("r2"), (F.col("r") <= F.col("q")).alias("is_low"), (F.col("r") >= F.col("q")).alias("is_high"), F.explode(shared).alias("e"))
-    keys = cut(keys.select("node", "comp", "n", "r1", "r2", "is_low", "is_high", F.col("e.sh").alias("sh"), F.col("e.pos").alias("pos")))
-    on = ["sh", "r1", "r2"]
-    mixed = keys.groupBy(*on).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.bool_or("is_low").alias("low"), F.bool_or("is_high").alias("high")).where("c1 <> c2 AND low AND high")
-    keys = cut(keys.join(cut(mixed.select(*on)), on, "left_semi"))
-    main = cut(keys.groupBy(*on, "comp").agg(F.count(F.lit(1)).alias("w")).groupBy(*on).agg(F.max_by("comp", F.struct("w", "comp")).alias("main")))
-    own = ["comp", "n", "is_low", "is_high", "pos"]
-    a = keys.join(main, on).where("comp <> main").select(*on, F.col("node").alias("x"), *[F.col(c).alias(c + "_x") for c in own])
-    b = keys.select(*on, F.col("node").alias("y"), *[F.col(c).alias(c + "_y") for c in own])
-    roles = (F.col("is_low_x") & F.col("is_high_y")) | (F.col("is_high_x") & F.col("is_low_y"))
-    left = 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    fits = (F.col("comp_x") != F.col("comp_y")) & roles & ((100 + percent) * left >= percent * (F.col("n_x") + F.col("n_y")))
-    return a.join(b, on).where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    lists = flat.groupBy("sh").agg(F.count(F.lit(1)).alias("df"), F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"))
+    own = flat.join(lists, "sh").groupBy("node", "df", F.xxhash64("df", "h1", "h2").alias("el")).agg(F.count(F.lit(1)).alias("w"))
+    ranked = own.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "el", "w"))).alias("s"))
+    return ranked.select("node", F.col("s.el").alias("els"), F.col("s.df").alias("dfs"), F.col("s.w").alias("ws"))
+
+
+def first_entries(ranked: DataFrame, percent: int, step: float) -> DataFrame:
+    """A list entry for each element that may be the first that a pair shares, once for each range of partner sizes.
+
+    A pair of sizes x and y at the threshold shares at least percent (x + y) / (100 + percent); a side may miss what it
+    has beyond that (slack) before its first common element, for the smallest partner of the range.
+    """
+
+    def run(batches):
+        log = lambda x: math.floor(math.log(x) / math.log(step))
+        for b in batches:
+            out = []
+            for node, comp, els, dfs, ws in zip(*(c.to_numpy(zero_copy_only=False) for c in b.columns), strict=True):
+                before = np.cumsum(ws) - ws
+                n = int(ws.sum())
+                low, high = -(-n * percent // 100), n * 100 // percent
+                for q in range(log(low), log(high) + 1):
+                    smallest = max(low, math.floor(step**q - 1e-9))
+                    slack = n - -(-percent * (n + smallest) // (100 + percent))
+                    at = np.flatnonzero((before <= slack) & (dfs > 1))
+                    r = log(n)
+                    one = np.ones(len(at), np.int64)
+                    out.append([els[at], one * min(r, q), one * max(r, q), one * (r <= q), one * (r >= q), one * node, one * comp, one * n, one * slack, at, before[at], ws[at], n - before[at] - ws[at]])
+            yield entries(out)
+
+    return ranked.select("node", "comp", "els", "dfs", "ws").mapInArrow(run, ENTRY)
+
+
+def entries(parts: list[list[np.ndarray]], more: list[str] = ()) -> pa.RecordBatch:
+    kinds = {"r1": np.int32, "r2": np.int32, "pos": np.int32, "is_low": bool, "is_high": bool}
+    names = [*ENTRY_NAMES, *more]
+    cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(kinds.get(n, np.int64))) for n, c in zip(names, cols, strict=True)], names)
+
+
+def longer_entries(some: DataFrame, ranked: DataFrame) -> DataFrame:
+    """For each entry one for each element that may be the next that a pair shares, with the list that it came from (parent)."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for key, r1, r2, is_low, is_high, node, comp, n, slack, pos, missed, got, _, els, dfs, ws in zip(*(c.to_numpy(zero_copy_only=False) for c in b.columns), strict=True):
+                ws, dfs, tail = ws[pos + 1 :], dfs[pos + 1 :], np.ascontiguousarray(els[pos + 1 :], np.int64)
+                upto = np.cumsum(ws) - ws + missed
+                at = np.flatnonzero((upto <= slack) & (dfs > 1))
+                one = np.ones(len(at), np.int64)
+                with np.errstate(over="ignore"):
+                    child = mix(mix(np.array([key], np.int64).view(np.uint64)) + tail[at].view(np.uint64)).view(np.int64)
+                shared = got + ws[at]
+                out.append([child, one * r1, one * r2, one * is_low, one * is_high, one * node, one * comp, one * n, one * slack, pos + 1 + at, upto[at], shared, n - upto[at] - shared, one * key])
+            yield entries(out, ["parent"])
+
+    return some.join(ranked.select("node", "els", "dfs", "ws"), "node").select(*ENTRY_NAMES, "els", "dfs", "ws").mapInArrow(run, ENTRY + ", parent long")
+
+
+def mixed_lists(keys: DataFrame, parent: list[str] = ()) -> DataFrame:
+    """Lists that hold several components and both size ranges: their main component and how many members stand outside it."""
+    each = keys.groupBy(*LIST, "comp").agg(F.count(F.lit(1)).alias("w"), F.bool_or("is_low").alias("low"), F.bool_or("is_high").alias("high"), *[F.min(c).alias(c) for c in parent])
+    t = each.groupBy(*LIST).agg(F.max(F.struct("w", "comp")).alias("m"), F.sum("w").alias("size"), F.count(F.lit(1)).alias("comps"), F.bool_or("low").alias("low"), F.bool_or("high").alias("high"), *[F.min(c).alias(c) for c in parent])
+    return t.where("comps > 1 AND low AND high").select(*LIST, F.col("m.comp").alias("main"), (F.col("size") - F.col("m.w")).alias("outside"), "size", *parent)
+
+
+def prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int, hot: int = 48, step: float = 1.1, depth: int = 12) -> DataFrame:
+    """Pairs in different components that may reach the threshold, by prefix filtering over full sets, rarest elements first.
+
+    A list's pairs are those of members outside its main component with all others. Where more than `hot` are outside,
+    its entries go on to the lists of their next elements, if those hold less than half of its pairs together; if not,
+    or after `depth` elements, its pairs are made as they are.
+    """
+    ranked = cut(elements(sets).join(comps, "node"))
+    keys = cut(first_entries(ranked, percent, step))
+    lists = cut(mixed_lists(keys))
+    final = []
+    for _ in range(depth):
+        many = lists.where(F.col("outside") > hot)
+        if many.isEmpty():
+            break
+        longer = cut(longer_entries(keys.join(many.select(*LIST), LIST, "left_semi"), ranked))
+        next_lists = cut(mixed_lists(longer, ["parent"]))
+        made = next_lists.groupBy(F.col("parent").alias("key"), "r1", "r2").agg(F.sum(F.col("outside").cast("double") * F.col("size")).alias("made"))
+        better = cut(many.join(made, LIST, "left").where(2 * F.coalesce("made", F.lit(0.0)) <= F.col("outside").cast("double") * F.col("size")).select(*LIST))
+        final.append((keys, lists.join(better, LIST, "left_anti")))
+        lists = cut(next_lists.join(better.withColumnRenamed("key", "parent"), ["parent", "r1", "r2"], "left_semi").select(*LIST, "main", "outside", "size"))
+        keys = longer.drop("parent")
+    final.append((keys, lists))
+
+    def pairs(keys: DataFrame, lists: DataFrame) -> DataFrame:
+        keys = cut(keys.join(lists.select(*LIST, "main"), LIST))
+        own = ["comp", "n", "is_low", "is_high", "rest"]
+        a = keys.where("comp <> main").select(*LIST, "got", F.col("node").alias("x"), *[F.col(c).alias(c + "_x") for c in own])
+        b = keys.select(*LIST, F.col("node").alias("y"), *[F.col(c).alias(c + "_y") for c in own])
+        roles = (F.col("is_low_x") & F.col("is_high_y")) | (F.col("is_high_x") & F.col("is_low_y"))
+        most = F.col("got") + F.least("rest_x", "rest_y")
+        fits = (F.col("comp_x") != F.col("comp_y")) & roles & ((100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y")))
+        return a.join(b, LIST).where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+    out = pairs(*final[0])
+    for part in final[1:]:
+        out = out.union(pairs(*part))
+    return out.distinct()
 
 
 def classes_of(sk: DataFrame) -> DataFrame:
@@ -208,7 +292,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96,
     if not common.isEmpty():
         first = components(links)
         near = cut(common.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
-        apart = cut(prefix_pairs(sets.join(near, "node", "left_semi"), near, percent))
+        apart = cut(prefix_pairs(sets.join(near, "node", "left_semi"), near, percent, hot))
         links = links.union(confirm(apart, sets, percent))
     comps = cut(components(links.union(same_id(sk, reps)))).withColumnRenamed("component", "comp")
     known = cut(reps.join(comps, "node", "left").select("doc_id", *CLASS, F.coalesce("comp", "node").alias("comp")))
