@@ -42,6 +42,10 @@ VIEWS = {
  CAST(5 + s_suppkey % 10 AS INT) AS min_expected, CAST(2 + s_suppkey % 5 AS INT) AS min_imported, 0.3 AS min_import_ratio FROM supplier JOIN nation ON s_nationkey=n_nationkey""",
     "fx_run": """SELECT event_id AS cycle_id, user_id AS source_id, ts AS checked_at, (event_type<>'error') AS success, CAST(floor(value) AS INT) AS discovered,
  CAST(floor(value * CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.5 ELSE 0.8 END) AS INT) AS imported FROM events""",
+    "fx_sitemap": """SELECT concat('https://s', CAST(page_id % 7 AS VARCHAR(5)), '.example.org/map', CAST(k AS VARCHAR(20)), '.xml') AS url,
+ CASE WHEN k % 3 < 2 THEN concat('<?xml version="1.0"?><SitemapIndex><sitemap><loc>', m, CAST(2 * k + 1 AS VARCHAR(20)), '.xml</loc></sitemap><sitemap><loc> ', m, CAST(2 * k + 2 AS VARCHAR(20)), '.xml </loc></sitemap><loc>', m, CAST(k - k % 2 AS VARCHAR(20)), '.xml</loc></SitemapIndex>')
+ ELSE concat('<urlset><url><loc>', url, '?a=1&amp;b=', CAST(page_id % 5 AS VARCHAR(5)), '</loc></url><url><LOC>', url, '</LOC></url><loc> </loc></urlset>') END AS xml
+ FROM (SELECT page_id, url, CAST((page_id - page_id % 7) / 7 AS BIGINT) AS k, concat('https://s', CAST(page_id % 7 AS VARCHAR(5)), '.example.org/map') AS m FROM pages)""",
     "fx_company": """SELECT c_custkey AS company_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'PME' WHEN 'MACHINERY' THEN 'ETI' WHEN 'AUTOMOBILE' THEN 'GE' WHEN 'HOUSEHOLD' THEN 'STARTUP' ELSE 'À préciser' END AS category,
  r_name AS region, abs(c_acctbal) * 50 AS budget FROM customer JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey""",
     "fx_before": "SELECT program_id, title, lifecycle, closing_date, min_cost, opening_date, permanent, kind, scope, region, themes, instrument, max_cost, official_page, company_categories, cdc_link, disbursement_terms, repayment_terms FROM fx_program WHERE program_id % 10 <> 0",
@@ -75,5 +79,8 @@ def with_views(sql: str) -> str:
             out.append(f"{name} AS ({view})")
     if not out:
         return sql
+    recursive = "WITH RECURSIVE "
+    if sql.lstrip().startswith(recursive):
+        return recursive + ", ".join(out) + ", " + sql.lstrip()[len(recursive) :]
     head = "WITH " + ", ".join(out)
     return head + ", " + sql.lstrip()[4:] if sql.lstrip()[:5].upper() == "WITH " else f"{head} {sql}"

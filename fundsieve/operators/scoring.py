@@ -107,3 +107,17 @@ def excluded_sectors(docs: DataFrame, queries: DataFrame, cue: str) -> DataFrame
     words = s.select("doc_id", F.explode(F.array_distinct(T.terms(F.col("s")))).alias("term")).distinct()
     asked = queries.select("item_id", F.explode(F.array_distinct(T.terms(F.col("text")))).alias("term"))
     return words.join(asked, "term").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("words"))
+
+
+def domains(text: Column, lexicon: dict[str, list[str]], least: int) -> Column:
+    """The domains of which at least `least` different words stand in a text, as parts of words too."""
+    plain = F.array(T.norm(text))  # computed once for all words
+    counted = lambda t: [F.when(sum((t.contains(w).cast("int") for w in words), F.lit(0)) >= least, F.lit(d)) for d, words in lexicon.items()]
+    return F.transform(plain, lambda t: F.array_compact(F.array(*counted(t))))[0]
+
+
+def specialised_mismatch(pairs: DataFrame, docs: DataFrame, queries: DataFrame, lexicon: dict[str, list[str]], least: int = 3) -> DataFrame:
+    """(item_id, doc_id, domain) of pairs(item_id, doc_id) whose programme is about a domain, by `least` of its words, while the project has none of them."""
+    about = docs.select("doc_id", F.explode(domains(F.col("text"), lexicon, least)).alias("domain"))
+    has = queries.select("item_id", F.explode(domains(F.col("text"), lexicon, 1)).alias("domain"))
+    return pairs.select("item_id", "doc_id").distinct().join(about, "doc_id").join(has, ["item_id", "domain"], "left_anti").select("item_id", "doc_id", "domain")

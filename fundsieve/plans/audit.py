@@ -9,6 +9,7 @@ from fundsieve.operators import audit as A
 from fundsieve.operators import catalogue as C
 from fundsieve.operators import extraction as X
 from fundsieve.operators import merging as G
+from fundsieve.operators import ordering as N
 from fundsieve.plans.queries import CATALOGUE_PATHS, CONFIDENCE_SQL, DAY, DEDUPE_URL, FIELDS, FINANCE_SQL, NORM, RANK, REASON_SQL, VERIFIED_SQL, listed, query, reasons
 from fundsieve.functions import text as T
 from fundsieve.sources import files
@@ -126,6 +127,15 @@ def e7_whole_fold(t):
     return merged.select(*[F.array_join(c, "|").alias(c) if c in UNIONS else c for c in merged.columns])
 
 
+@query("""WITH b AS (SELECT cycle_id AS build_id, cycle_id + 3 AS cycle, checked_at AS generated_at FROM fx_run WHERE cycle_id % 40 = 0),
+n AS (SELECT build_id, source_id, success, imported, row_number() OVER (PARTITION BY build_id, source_id ORDER BY CASE WHEN r.cycle_id = b.cycle THEN 0 ELSE 1 END, CASE WHEN r.cycle_id = b.cycle THEN 0 ELSE abs(epoch_us(r.checked_at) - epoch_us(b.generated_at)) END, r.cycle_id) AS rn
+  FROM b JOIN fx_run r ON r.cycle_id = b.cycle OR abs(epoch_us(r.checked_at) - epoch_us(b.generated_at)) <= 6 * 3600 * 1000000::BIGINT)
+SELECT build_id, count(*) AS fresh, count(*) FILTER (success) AS successful, sum(imported)::BIGINT AS imported FROM n WHERE rn = 1 GROUP BY 1""")
+def f14_fresh_coverage(t):
+    builds = t("fx_run").where("cycle_id % 40 = 0").select(F.col("cycle_id").alias("build_id"), (F.col("cycle_id") + 3).alias("cycle"), F.col("checked_at").alias("generated_at"))
+    return N.fresh_coverage(builds, t("fx_run"), 6 * 3600)
+
+
 OWNED_SQL = "SELECT program_id, title, program_id % 50 AS source_id, CASE WHEN program_id % 3 = 0 THEN [(program_id + 7) % 50, (program_id + 11) % 50] END AS aliases FROM fx_before"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fundsieve.fixtures import AS_OF
 from fundsieve.functions import text as T
 from fundsieve.operators import extraction as X
+from fundsieve.operators import ordering as N
 from fundsieve.plans.queries import DAY, GENERIC, NORM, SENTENCES, query
 from fundsieve.sources import files
 
@@ -117,6 +118,24 @@ def a15_json_parts(t):
     return X.size_parts(t("fx_program").select("program_id", "title", "kind"), "program_id", 1000, 4000)
 
 
+@query("""WITH j AS (SELECT program_id, length('{"program_id":' || program_id || ',"title":"' || title || '","kind":"' || kind || '"}') AS chars FROM fx_program),
+p AS (SELECT *, coalesce(sum(chars) OVER (ORDER BY program_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 4000 AS part FROM j)
+SELECT part, count(*) AS n, sum(chars)::BIGINT AS chars, min(program_id) AS first_key, max(program_id) AS last_key FROM p GROUP BY 1""")
+def a15_packed_parts(t):
+    rows = t("fx_program").select("program_id", "title", "kind")
+    return N.packed(rows, "program_id", F.to_json(F.struct("program_id", "title", "kind")), 4000)
+
+
+@query("""WITH RECURSIVE m AS (SELECT url, regexp_matches(xml, '(?i)<sitemapindex') AS is_index, list_filter(list_transform(regexp_extract_all(xml, '(?i)<loc>([^<]+)</loc>', 1), x -> trim(replace(x, '&amp;', '&'))), x -> x <> '') AS locs FROM fx_sitemap),
+reach(source_id, url) AS (SELECT s, 'https://s' || s || '.example.org/map' || k || '.xml' FROM (SELECT unnest(range(0, 7)) AS s), (SELECT unnest([0, 4]) AS k) UNION SELECT r.source_id, unnest(m.locs) FROM reach r JOIN m ON m.url = r.url WHERE m.is_index)
+SELECT DISTINCT source_id, unnest(m.locs) AS url FROM reach JOIN m ON m.url = reach.url WHERE NOT m.is_index""")
+def a7_sitemap_closure(t):
+    maps = t("fx_sitemap")
+    first = maps.select(F.regexp_extract("url", "^https://s([0-9]+)", 1).cast("long").alias("source_id")).distinct()
+    starts = first.select("source_id", F.explode(F.array(*[F.concat(F.lit("https://s"), F.col("source_id").cast("string"), F.lit(f".example.org/map{k}.xml")) for k in (0, 4)])).alias("url"))
+    return N.sitemap_pages(maps, starts)
+
+
 @query("SELECT doc_id, coalesce(list_filter(list_transform(string_split(text, chr(10))[1:3], x -> regexp_replace(trim(x), '(?i)^(the|der|die|la|les)\\s+', '')), x -> length(x) BETWEEN 12 AND 190)[1], trim(substring(text, 1, 120))) AS title FROM documents")
 def b11_title_repair(t):
     tried = F.transform(F.slice(F.split("text", "\n"), 1, 3), lambda x: F.regexp_replace(F.trim(x), r"(?i)^(the|der|die|la|les)\s+", ""))

@@ -8,9 +8,10 @@ from fundsieve.fixtures import AS_OF
 from fundsieve.functions import text as T
 from fundsieve.operators import catalogue as C
 from fundsieve.operators import extraction as X
+from fundsieve.operators import matching as M
 from fundsieve.operators import scoring as S
 from fundsieve.operators import search as L
-from fundsieve.plans.queries import CONCEPTS, DAY, MATCHING, NORM, TERMS, listed, query
+from fundsieve.plans.queries import CONCEPT_RULES, CONCEPTS, DAY, MATCHING, NORM, OVERLAP_SQL, TERMS, listed, query
 
 
 def day():
@@ -194,6 +195,19 @@ def k9_excluded_sectors(t):
     return S.excluded_sectors(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), CUES)
 
 
+DOMAINS = {"culture": ["tion", "ment", "ung", "que"], "agri": ["zz", "der", "und", "eau"], "health": ["with", "was", "which", "that"], "aero": ["ère", "por", "los", "del"]}
+DOMAIN_SQL = "list_filter([" + ", ".join("CASE WHEN " + " + ".join(f"contains({{c}}, '{w.replace('è', 'e')}')::INT" for w in words) + f" >= {{least}} THEN '{d}' END" for d, words in DOMAINS.items()) + "], x -> x IS NOT NULL)"
+
+
+@query("WITH " + OVERLAP_SQL + f""", top AS (SELECT item_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ratio DESC, doc_id) AS rank FROM ov) WHERE rank <= 10),
+d AS (SELECT doc_id, unnest({DOMAIN_SQL.format(c='plain', least=3)}) AS domain FROM (SELECT doc_id, {NORM.format(c='text')} AS plain FROM documents)), q AS (SELECT item_id, unnest({DOMAIN_SQL.format(c='plain', least=1)}) AS domain FROM (SELECT item_id, {NORM.format(c='text')} AS plain FROM benchmark))
+SELECT DISTINCT item_id, doc_id, domain FROM top JOIN d USING (doc_id) WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.item_id = top.item_id AND q.domain = d.domain)""")
+def k9_specialised_mismatch(t):
+    docs, items = t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text")
+    best = M.top_overlap(docs, items, CONCEPT_RULES, 10)
+    return S.specialised_mismatch(best, docs, items, {d: [w.replace("è", "e") for w in words] for d, words in DOMAINS.items()})
+
+
 @query(f"""WITH s AS ({SCORE_SQL}), a AS (SELECT *, CASE WHEN score >= 90 AND documented >= 4 THEN row_number() OVER (PARTITION BY company_id, score >= 90 AND documented >= 4 ORDER BY score DESC, program_id) END AS r FROM s),
 b AS (SELECT *, CASE WHEN r <= 2 THEN 'PRIORITY' END AS t1, (r IS NULL OR r > 2) AND score >= 70 AND documented >= 3 AS q FROM a), c AS (SELECT *, CASE WHEN q THEN row_number() OVER (PARTITION BY company_id, q ORDER BY score DESC, program_id) END AS r2 FROM b),
 d AS (SELECT *, CASE WHEN t1 IS NOT NULL THEN t1 WHEN r2 <= 3 THEN 'LEAD' END AS t2 FROM c), e AS (SELECT *, CASE WHEN t2 IS NULL THEN row_number() OVER (PARTITION BY company_id, t2 IS NULL ORDER BY score DESC, program_id) END AS r3 FROM d)
