@@ -46,6 +46,8 @@ VIEWS = {
  CASE WHEN k % 3 < 2 THEN concat('<?xml version="1.0"?><SitemapIndex><sitemap><loc>', m, CAST(2 * k + 1 AS VARCHAR(20)), '.xml</loc></sitemap><sitemap><loc> ', m, CAST(2 * k + 2 AS VARCHAR(20)), '.xml </loc></sitemap><loc>', m, CAST(k - k % 2 AS VARCHAR(20)), '.xml</loc></SitemapIndex>')
  ELSE concat('<urlset><url><loc>', url, '?a=1&amp;b=', CAST(page_id % 5 AS VARCHAR(5)), '</loc></url><url><LOC>', url, '</LOC></url><loc> </loc></urlset>') END AS xml
  FROM (SELECT page_id, url, CAST((page_id - page_id % 7) / 7 AS BIGINT) AS k, concat('https://s', CAST(page_id % 7 AS VARCHAR(5)), '.example.org/map') AS m FROM pages)""",
+    "fx_listing": """SELECT page_id, replace(html, '<li>', concat('<li>', d, '/', CAST(1 + page_id % 12 AS VARCHAR(5)), '/2026 ', CASE WHEN page_id % 2 = 1 THEN concat('au ', d, '/0', CAST(1 + page_id % 9 AS VARCHAR(5)), '/2027 ') ELSE '' END)) AS html
+ FROM (SELECT page_id, html, CAST(1 + page_id % 28 AS VARCHAR(5)) AS d FROM pages)""",
     "fx_company": """SELECT c_custkey AS company_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'PME' WHEN 'MACHINERY' THEN 'ETI' WHEN 'AUTOMOBILE' THEN 'GE' WHEN 'HOUSEHOLD' THEN 'STARTUP' ELSE 'À préciser' END AS category,
  r_name AS region, abs(c_acctbal) * 50 AS budget FROM customer JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey""",
     "fx_before": "SELECT program_id, title, lifecycle, closing_date, min_cost, opening_date, permanent, kind, scope, region, themes, instrument, max_cost, official_page, company_categories, cdc_link, disbursement_terms, repayment_terms FROM fx_program WHERE program_id % 10 <> 0",
@@ -53,7 +55,7 @@ VIEWS = {
  CASE WHEN program_id % 7 = 0 THEN CAST(closing_date + INTERVAL 30 DAY AS DATE) ELSE closing_date END AS closing_date, min_cost, opening_date, permanent, kind, scope, region, themes, instrument, CASE WHEN program_id % 17 = 0 THEN max_cost + 1 ELSE max_cost END AS max_cost, official_page, CASE WHEN program_id % 29 = 0 THEN 'PME' ELSE company_categories END AS company_categories,
  CASE WHEN program_id % 19 = 0 THEN NULL ELSE cdc_link END AS cdc_link, disbursement_terms, CASE WHEN program_id % 23 = 0 THEN 'remboursement sur 7 ans' ELSE repayment_terms END AS repayment_terms FROM fx_program WHERE program_id % 10 <> 1""",
 }
-TEXTS = ("documents", "pages", "fx_clause", "fx_terms")  # rows that take long to work on: over all cores, also from one small file
+TEXTS = ("documents", "pages", "fx_clause", "fx_listing", "fx_terms")  # rows that take long to work on: over all cores, also from one small file
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 

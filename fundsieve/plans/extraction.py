@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fundsieve.fixtures import AS_OF
 from fundsieve.functions import text as T
+from fundsieve.operators import cards as W
 from fundsieve.operators import extraction as X
 from fundsieve.operators import ordering as N
 from fundsieve.plans.queries import DAY, GENERIC, NORM, SENTENCES, query
@@ -71,6 +72,21 @@ def a10_listing_cards(t):
     return card.where(F.size("d") >= 2).select("program_id", F.col("d")[0].alias("opening"), F.element_at("d", -1).alias("closing"), F.md5(F.substring("text", 1, 1200)).alias("evidence"))
 
 
+@query(r"""WITH c AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', '', 'g'), '<[^<>]*>|[^<>]+') AS tokens FROM fx_listing),
+t AS (SELECT page_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM c),
+k AS (SELECT *, lower(regexp_extract(token, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1)) AS name, starts_with(token, '</') AS closing FROM t),
+g AS (SELECT *, sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos) + CASE WHEN closing THEN 1 ELSE 0 END AS level FROM k WHERE name <> '' AND starts_with(token, '<') AND NOT (NOT closing AND (ends_with(token, '/>') OR name IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr')))),
+e AS (SELECT page_id, pos AS node, last, name, regexp_extract(token, '(?i)^<a\s[^>]*?href\s*=\s*["'']([^"'']*)', 1) AS href FROM (SELECT *, lead(pos) OVER w AS last, lead(closing) OVER w AS next FROM g WINDOW w AS (PARTITION BY page_id, name, level ORDER BY pos)) WHERE NOT closing AND next),
+x AS (SELECT page_id, pos, trim(regexp_replace(token, '[\s\x{00A0}]+', ' ', 'g')) AS text FROM k WHERE NOT starts_with(token, '<')),
+s AS (SELECT e.page_id, e.node, string_agg(text, ' ' ORDER BY pos) AS raw FROM e JOIN x ON x.page_id = e.page_id AND x.pos > e.node AND x.pos < e.last WHERE text <> '' GROUP BY ALL),
+r AS (SELECT l.page_id, l.node, l.href, a.node AS at, row_number() OVER (PARTITION BY l.page_id, l.node ORDER BY a.node DESC) AS up FROM e l LEFT JOIN e a ON a.page_id = l.page_id AND a.node < l.node AND a.last > l.last WHERE l.name = 'a' AND l.href <> ''),
+f AS (SELECT r.*, raw, regexp_extract_all(raw, '\b((?:0?[1-9]|[12][0-9]|3[01])/(?:0?[1-9]|1[0-2])/20[0-9]{2})\b', 1) AS days FROM r LEFT JOIN s ON s.page_id = r.page_id AND s.node = r.at),
+b AS (SELECT page_id, node, arg_min(struct_pack(a := days[1], z := days[len(days)], raw := raw), up) FILTER (up <= 8 AND len(days) >= 2 AND length(raw) <= 2500) AS v, any_value(href) AS href FROM f GROUP BY ALL)
+SELECT page_id, (node - 1)::INTEGER AS node, href, strftime(strptime(v.a, '%d/%m/%Y'), '%Y-%m-%d') AS opening, strftime(strptime(v.z, '%d/%m/%Y'), '%Y-%m-%d') AS closing, md5(left(v.raw, 1200)) AS evidence FROM b""")
+def a10_nearest_cards(t):
+    return W.listing_cards(t("fx_listing")).withColumn("evidence", F.md5("evidence"))
+
+
 @query("SELECT split_part(split_part(url, '://', 2), '/', 1) AS host, arg_min(n, page_id) FILTER (n IS NOT NULL) AS counter FROM (SELECT url, page_id, try_cast(regexp_extract(html, 'track\\(([0-9]+)\\)', 1) AS BIGINT) AS n FROM pages) GROUP BY 1")
 def a11_result_counter(t):
     n = F.nullif(F.regexp_extract("html", r"track\(([0-9]+)\)", 1), F.lit("")).try_cast("long")
