@@ -235,7 +235,8 @@ def recent_or_active(as_of: str) -> Column:
     return (F.col("lifecycle") == "ACTIVE") & (F.coalesce("permanent", F.lit(False)) | F.col("closing_date").isNull() | (F.col("closing_date") >= next_day))
 
 
-GENERIC_TITLE = r"(?i)^(accueil|home|aides?|dispositif|document|page|sans titre|nos aides|toutes nos aides|contact et aide)$"
+# Titles of pages that name no programme.
+GENERIC_TITLE = r"(?i)^(accueil|home|aides?|dispositif|document|conditions particuli[eè]res( bpifrance)?|page|sans titre|nos aides|toutes nos aides|contact et aide)$"
 
 
 def publication_reason(programs: DataFrame, proofs: DataFrame, sources: DataFrame, as_of: str, forbidden: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundsieve.functions import text as T
+from fundsieve.sources.scratch import written
 
 
 def singular(w: Column) -> Column:
@@ -78,14 +79,17 @@ def eligibility(pairs: DataFrame, keys: list[str], evidence: DataFrame, criteria
     return t.select(*keys, overall.alias("status"), F.array_join(of("NON CONFORME"), "|").alias("blocking"), F.array_join(of("À VÉRIFIER"), "|").alias("to_check"))
 
 
-def shortlist(scored: DataFrame, by: str, order: list, tiers: list[tuple[str, Column, int]]) -> DataFrame:
-    """Successive tiers (name, condition, limit): what a tier's limit leaves over may enter a later one. All windows share one shuffle."""
-    t = scored.withColumn("tier", F.lit(None).cast("string"))
+def shortlist(scored: DataFrame, by: str, key: str, order: list, tiers: list[tuple[str, Column, int]]) -> DataFrame:
+    """Successive tiers (name, condition, limit) of the rows of each `by`, told apart by key: what a tier's limit leaves over may enter a later one. Each tier ranks only rows that meet its condition, so its limit applies before they are shuffled."""
+    t = written(scored)
+    taken = []
     for name, cond, k in tiers:
-        free = F.col("tier").isNull() & F.coalesce(cond, F.lit(False))
-        t = t.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(F.when(free, 0).otherwise(1), *order)))
-        t = t.withColumn("tier", F.coalesce("tier", F.when(free & (F.col("_r") <= k), F.lit(name))))
-    return t.where("tier IS NOT NULL").drop("_r")
+        pool = t.where(cond)
+        for rows in taken:
+            pool = pool.join(rows.select(by, key), [by, key], "left_anti")
+        first = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+        taken.append(written(pool.withColumn("_r", first).where(F.col("_r") <= k).drop("_r").withColumn("tier", F.lit(name))))
+    return reduce(lambda a, b: a.unionByName(b), taken)
 
 
 def registry_id(c: Column) -> Column:

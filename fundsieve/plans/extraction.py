@@ -182,6 +182,7 @@ def c3_document_links(t):
     return X.anchors(t("pages"), ["page_id"], "html").select("page_id", "pos", "href", X.first_case([(k, n.rlike(p)) for k, p in LINK_TYPES], "DOCUMENT").alias("type"))
 
 
+# How a rate is written.
 RATE_BEFORE = r"([0-9]{1,3}(?:[.,][0-9]+)?)\s*%[^.;]{0,45}"
 
 

@@ -158,6 +158,7 @@ def b7_page_ids(t):
     return t("pages").select("page_id", F.concat(F.lit("web_"), F.sha2(T.page_url(F.col("url")), 256)).alias("id"), F.substring(F.sha2("html", 256), 1, 24).alias("content"))
 
 
+# Words that a title's core leaves out.
 GENERIC_WORDS = "(^|[^a-z0-9])(france 2030|appel a projets?|appel a manifestation d interet|aap|ami|dispositif|aide)($|[^a-z0-9])"
 TITLE_CORE = "trim(regexp_replace(regexp_replace(" + NORM.format(c="split_part(text, chr(10), 1)") + f", '{GENERIC_WORDS}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -184,6 +185,7 @@ def b9_sentences(t):
     return t("documents").select("doc_id", F.size(s).cast("long").alias("n"), F.md5(F.array_join(s, "|")).alias("digest"))
 
 
+# Wording of titles that name no programme, without accents.
 GENERIC = "(document officiel|conditions particulieres|page introuvable|page non trouvee|erreur 404|404 not found|access denied|forbidden|service indisponible|site en maintenance)"
 
 
@@ -193,10 +195,24 @@ def b10_generic_titles(t):
     return t("documents").select("doc_id", ((F.length(title) < 4) | title.rlike(GENERIC)).alias("generic"))
 
 
-MARKERS = ["all rights reserved", "licensed under", "subscribe", "cookies"]
-
-
-@query("SELECT doc_id, CASE WHEN cut IS NULL THEN length(text) ELSE cut - 1 END::BIGINT AS kept FROM (SELECT doc_id, text, list_min(list_filter([" + ", ".join(f"strpos(lower(text), '{m}')" for m in MARKERS) + "], x -> x > 0)) AS cut FROM documents)")
+# Wording with which a site's own matter begins.
+BOILERPLATE = [
+    "Cette page vise à vous guider dans l’utilisation du site",
+    "Cette page vise à vous guider dans l'utilisation du site",
+    "Pour connaître le niveau d’accessibilité de ce site",
+    "Pour connaître le niveau d'accessibilité de ce site",
+    "L’initiative internationale pour l’accessibilité du Web",
+    "L'initiative internationale pour l'accessibilité du Web",
+    "Gestion des cookies",
+    "Gérer mes cookies",
+    "Politique de confidentialité",
+    "Inscrivez-vous à notre newsletter",
+    "Suivez-nous sur les réseaux sociaux",
+]
+MARKERS = [m.lower() for m in BOILERPLATE] + ["all rights reserved", "licensed under", "subscribe"]
+
+
+@query("SELECT doc_id, CASE WHEN cut IS NULL THEN length(text) ELSE cut - 1 END::BIGINT AS kept FROM (SELECT doc_id, text, list_min(list_filter([" + ", ".join("strpos(lower(text), '" + m.replace("'", "''") + "')" for m in MARKERS) + "], x -> x > 0)) AS cut FROM documents)")
 def b12_boilerplate_cut(t):
     cut = F.array_min(F.filter(F.array(*[F.instr(F.lower("text"), m) for m in MARKERS]), lambda x: x > 0))
     return t("documents").select("doc_id", F.coalesce(cut - 1, F.length("text")).cast("long").alias("kept"))

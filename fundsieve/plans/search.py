@@ -214,7 +214,7 @@ d AS (SELECT *, CASE WHEN t1 IS NOT NULL THEN t1 WHEN r2 <= 3 THEN 'LEAD' END AS
 SELECT company_id, program_id, score, coalesce(t2, 'POTENTIAL') AS tier FROM e WHERE t2 IS NOT NULL OR r3 <= 2""")
 def k12_shortlist(t):
     tiers = [("PRIORITY", (F.col("score") >= 90) & (F.col("documented") >= 4), 2), ("LEAD", (F.col("score") >= 70) & (F.col("documented") >= 3), 3), ("POTENTIAL", F.lit(True), 2)]
-    return S.shortlist(scored(t), "company_id", [F.desc("score"), "program_id"], tiers).select("company_id", "program_id", "score", "tier")
+    return S.shortlist(scored(t), "company_id", "program_id", [F.desc("score"), "program_id"], tiers).select("company_id", "program_id", "score", "tier")
 
 
 @query("WITH r AS (SELECT lpad(CAST(s_suppkey * 7 AS VARCHAR), 9, '0') AS id, s_name FROM supplier) SELECT c_custkey AS company_id, CASE WHEN c_custkey % 5 <> 0 THEN lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS registry_id, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE s_name END AS name FROM customer LEFT JOIN r ON c_custkey % 5 <> 0 AND r.id = lpad(CAST(c_custkey AS VARCHAR), 9, '0')")

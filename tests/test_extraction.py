@@ -28,5 +28,5 @@ def test_samples_and_shortlist(spark):
     row = A.counted_samples(hits, "rule", "id", 5).first()
     assert (row.n, row.samples) == (1000, [0, 1, 2, 3, 4])
     scored = spark.createDataFrame([(1, i, 100 - i) for i in range(10)], "c int, p int, score int")
-    got = S.shortlist(scored, "c", [F.desc("score"), "p"], [("A", F.col("score") > 95, 2), ("B", F.col("score") > 90, 3)]).collect()
+    got = S.shortlist(scored, "c", "p", [F.desc("score"), "p"], [("A", F.col("score") > 95, 2), ("B", F.col("score") > 90, 3)]).collect()
     assert {(r.p, r.tier) for r in got} == {(0, "A"), (1, "A"), (2, "B"), (3, "B"), (4, "B")}
