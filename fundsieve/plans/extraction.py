@@ -8,6 +8,7 @@ from fundsieve.fixtures import AS_OF
 from fundsieve.functions import text as T
 from fundsieve.operators import cards as W
 from fundsieve.operators import extraction as X
+from fundsieve.operators import locate as O
 from fundsieve.operators import ordering as N
 from fundsieve.plans.queries import DAY, GENERIC, NORM, SENTENCES, query
 from fundsieve.sources import files
@@ -228,6 +229,17 @@ def c18_document_title(t):
     return t("documents").select("doc_id", X.inferred_title(F.col("text"), GENERIC).alias("title"))
 
 
+@query(f"""WITH p AS (SELECT doc_id, k::INTEGER AS page, substring(text, k * 1000 + 1, 1000) AS text FROM (SELECT doc_id, text, unnest(range(0, 1 + (length(text) - 1) // 1000)) AS k FROM documents)),
+s AS (SELECT doc_id, unnest(s) AS piece, (generate_subscripts(s, 1) - 1)::INTEGER AS piece_id FROM (SELECT doc_id, {SENTENCES.format(c='text')} AS s FROM documents))
+SELECT s.doc_id, piece_id, min(page) AS page FROM s LEFT JOIN p ON p.doc_id = s.doc_id AND contains(p.text, left(piece, 70)) GROUP BY 1, 2""")
+def c18_page_locator(t):
+    docs = t("documents").select("doc_id", "text")
+    last = F.floor((F.length("text") - 1) / 1000).cast("int")
+    pages = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("page")).select("doc_id", "page", F.substring("text", F.col("page") * 1000 + 1, F.lit(1000)).alias("text"))
+    pieces = docs.select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("piece_id", "piece"))
+    return O.first_pages(pages, pieces)
+
+
 COMPANY, CUE = "(?i)the|der|les", "(?i)and|und|pour"
 
 

@@ -75,3 +75,24 @@ def test_specialised_mismatch(spark):
     pairs = spark.createDataFrame([(i, d) for i in (1, 2, 3) for d in (1, 2, 3, 4)], "item_id long, doc_id long")
     got = {(x.item_id, x.doc_id, x.domain) for x in S.specialised_mismatch(pairs, docs, items, lexicon).collect()}
     assert got == {(1, 3, "farm"), (2, 1, "sea"), (2, 3, "sea"), (2, 3, "farm"), (3, 1, "sea"), (3, 3, "sea"), (3, 3, "farm")}
+
+
+def test_first_pages_equal_contains(spark):
+    from fundsieve.operators import locate
+
+    r = random.Random(9)
+    pages, pieces = [], []
+    for d in range(12):
+        texts = ["".join(r.choice("abé ") for _ in range(r.randrange(0, 260))) for _ in range(4)]
+        texts += texts[:1] + [None]
+        pages += [(d, n, t) for n, t in enumerate(texts)]
+        for i in range(30):
+            t = r.choice([x for x in texts if x is not None])
+            at = r.randrange(0, max(1, len(t)))
+            piece = t[at : at + r.choice([5, 69, 70, 71, 120])]
+            pieces.append((d, i, r.choice([piece, piece, piece, piece + "zz", piece[:40] + "q" * 40, None, ""])))
+    docs = {d: [(n, t or "") for e, n, t in pages if e == d] for d in range(12)}
+    want = {(d, i): min((n for n, t in docs[d] if p and p[:70] in t), default=None) for d, i, p in pieces}
+    got = locate.first_pages(spark.createDataFrame(pages, "doc_id long, page int, text string"), spark.createDataFrame(pieces, "doc_id long, piece_id int, piece string"))
+    assert {(x.doc_id, x.piece_id): x.page for x in got.collect()} == want
+    assert sum(v is not None for v in want.values()) > 100
