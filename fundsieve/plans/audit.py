@@ -127,6 +127,26 @@ def e7_whole_fold(t):
     return merged.select(*[F.array_join(c, "|").alias(c) if c in UNIONS else c for c in merged.columns])
 
 
+UPSERT_SQL = "SELECT program_id, title, official_page, lifecycle, closing_date, min_cost, max_cost, repayment_terms, company_categories FROM {n}"
+NEWER = "CASE WHEN a.program_id IS NULL OR a.{c} IS NULL THEN b.{c} WHEN b.{c} IS NULL OR a.program_id % 3 = 0 THEN a.{c} ELSE b.{c} END AS {c}"
+
+
+@query(f"""WITH ok AS ({PASSED} AND strategy <> 'control-only'), a AS (SELECT * FROM ({UPSERT_SQL.format(n='fx_after')}) WHERE program_id % 50 IN (SELECT source_id FROM ok)), b AS ({UPSERT_SQL.format(n='fx_before')})
+SELECT coalesce(a.program_id, b.program_id) AS program_id, coalesce(b.title, a.title) AS title, coalesce(b.official_page, a.official_page) AS official_page, CASE WHEN a.program_id IS NOT NULL THEN 'ACTIVE' ELSE b.lifecycle END AS lifecycle,
+ {', '.join(NEWER.format(c=c) for c in ('closing_date', 'min_cost', 'max_cost', 'repayment_terms'))},
+ array_to_string(list_concat(coalesce(string_split(b.company_categories, '|'), []), list_filter(coalesce(string_split(a.company_categories, '|'), []), x -> NOT list_contains(coalesce(string_split(b.company_categories, '|'), []), x))), '|') AS company_categories, a.program_id IS NOT NULL AS seen
+FROM b FULL JOIN a ON a.program_id = b.program_id""")
+def e11_upsert_fold(t):
+    n = F.col("program_id")
+    side = lambda name, seq, tier: t(name).select(n, "title", "official_page", "lifecycle", "closing_date", "min_cost", "max_cost", "repayment_terms", F.split("company_categories", r"\|").alias("company_categories"), F.lit(seq).alias("seq"), tier.alias("tier"), F.lit(None).cast("string").alias("last_seen"))
+    new = side("fx_after", 1, F.when(n % 3 == 0, "B").otherwise("C")).join(passed(t), n % 50 == F.col("source_id"), "left_semi")
+    rows = side("fx_before", 0, F.lit("C")).unionByName(new)
+    merged = G.fold_records(rows, ["program_id"], ["seq"], C.tier_rank(F.col("tier")), CATALOGUE_PATHS, ["closing_date", "min_cost", "max_cost", "repayment_terms"], [], ["company_categories"])
+    merged = merged.join(new.select("program_id", F.lit(True).alias("seen")), "program_id", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+    categories = F.coalesce(F.array_join("company_categories", "|"), F.lit(""))
+    return merged.select("program_id", "title", "official_page", F.when(F.col("seen"), "ACTIVE").otherwise(F.col("lifecycle")).alias("lifecycle"), "closing_date", "min_cost", "max_cost", "repayment_terms", categories.alias("company_categories"), "seen")
+
+
 @query("""WITH b AS (SELECT cycle_id AS build_id, cycle_id + 3 AS cycle, checked_at AS generated_at FROM fx_run WHERE cycle_id % 40 = 0),
 n AS (SELECT build_id, source_id, success, imported, row_number() OVER (PARTITION BY build_id, source_id ORDER BY CASE WHEN r.cycle_id = b.cycle THEN 0 ELSE 1 END, CASE WHEN r.cycle_id = b.cycle THEN 0 ELSE abs(epoch_us(r.checked_at) - epoch_us(b.generated_at)) END, r.cycle_id) AS rn
   FROM b JOIN fx_run r ON r.cycle_id = b.cycle OR abs(epoch_us(r.checked_at) - epoch_us(b.generated_at)) <= 6 * 3600 * 1000000::BIGINT)

@@ -382,6 +382,14 @@ def e13_coverage_state(t):
     return C.coverage_state(t("fx_run"))
 
 
+@query("""WITH l AS (SELECT source_id, max(checked_at) FILTER (success) AS last_at, arg_max(cycle_id, (checked_at, cycle_id)) FILTER (success) AS last_cycle FROM fx_run GROUP BY 1)
+SELECT s.source_id, any_value(l.last_at) AS last_successful_at, count(r.cycle_id) FILTER (l.last_at IS NULL OR (r.checked_at, r.cycle_id) > (l.last_at, l.last_cycle)) AS consecutive_failures, count(r.cycle_id) AS runs FROM fx_source s LEFT JOIN fx_run r USING (source_id) LEFT JOIN l USING (source_id) GROUP BY 1""")
+def e13_all_sources(t):
+    runs = t("fx_run").groupBy("source_id").agg(F.count(F.lit(1)).alias("runs"))
+    rows = t("fx_source").select("source_id").join(C.coverage_state(t("fx_run")), "source_id", "left").join(runs, "source_id", "left")
+    return rows.na.fill(0, ["consecutive_failures", "runs"])
+
+
 @query("SELECT program_id, CASE WHEN instrument IN ('SUBVENTION','AVANCE_REMBOURSABLE','PRET_TAUX_ZERO','APPEL_A_PROJET') THEN instrument ELSE 'AUTRE' END AS instrument FROM fx_program WHERE scope IN ('NATIONAL', 'REGIONAL') AND length(title) >= 4")
 def e14_scope_and_instruments(t):
     return t("fx_program").where(F.col("scope").isin("NATIONAL", "REGIONAL") & (F.length("title") >= 4)).select("program_id", F.when(F.col("instrument").isin(C.TARGET), F.col("instrument")).otherwise("AUTRE").alias("instrument"))
@@ -605,8 +613,12 @@ def j5_facets(t):
     return e.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-BM25_SQL = f"""WITH f AS (SELECT doc_id, 'title' AS field, 3.2 AS boost, {TERMS.format(c='split_part(text, chr(10), 1)')} AS w FROM documents UNION ALL SELECT doc_id, 'objective', 2.4, {TERMS.format(c='text')} FROM documents),
-avgs AS (SELECT field, greatest(1, avg(len(w))) AS al FROM f GROUP BY 1), q AS (SELECT DISTINCT item_id, unnest({TERMS.format(c='text')}) AS term FROM benchmark),
+# The fields of a programme and what their terms weigh.
+EIGHT = {"title": 3.2, "themes": 2.8, "objective": 2.4, "projects_expected": 2.2, "selection_criteria": 2.0, "eligible_expenses": 1.8, "prerequisites": 1.6, "beneficiaries": 1.2}
+LINES = {"title": 1, "projects_expected": 2, "selection_criteria": 3, "eligible_expenses": 4, "prerequisites": 5}
+FIELD_SQL = {f: f"split_part(text, chr(10), {n})" for f, n in LINES.items()} | {"objective": "text", "themes": "source", "beneficiaries": "lang"}
+BM25_TAIL = """,
+avgs AS (SELECT field, greatest(1, avg(len(w))) AS al FROM f GROUP BY 1), q AS (SELECT DISTINCT item_id, unnest({asked}) AS term FROM benchmark),
 tf AS (SELECT doc_id, field, boost, len(w) AS l, unnest(w) AS term FROM f), post AS (SELECT doc_id, field, boost, l, term, count(*) AS tf FROM tf WHERE term IN (SELECT term FROM q) GROUP BY ALL),
 per AS (SELECT doc_id, term, sum(boost * tf * 2.2 / (tf + 1.2 * (1 - 0.72 + 0.72 * l / al))) AS w FROM post JOIN avgs USING (field) GROUP BY 1, 2),
 idf AS (SELECT term, ln(1 + ((SELECT count(*) FROM documents) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM per GROUP BY 1),
@@ -614,6 +626,14 @@ s AS (SELECT item_id, doc_id, sum(w * idf) AS bm25 FROM per JOIN idf USING (term
 """
 
 
+def bm25_sql(boosts: dict[str, float]) -> str:
+    return "WITH f AS (" + " UNION ALL ".join(f"SELECT doc_id, '{f}' AS field, {w} AS boost, {TERMS.format(c=FIELD_SQL[f])} AS w FROM documents" for f, w in boosts.items()) + ")" + BM25_TAIL.replace("{asked}", TERMS.format(c="text"))
+
+
+BM25_SQL = bm25_sql(BOOSTS)
+
+
+
 def titled(t):
     return t("documents").select("doc_id", first_line().alias("title"), F.col("text").alias("objective"))
 
@@ -628,6 +648,13 @@ def k10_bm25f_ranking(t):
     return ranked.select("item_id", "doc_id", F.round("bm25", 4).alias("bm25"), "rank")
 
 
+@query(bm25_sql(EIGHT) + "SELECT item_id, doc_id, round(bm25, 4)::DOUBLE AS bm25, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(bm25, 6) DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
+def k10_eight_fields(t):
+    line = {f: F.get(F.split("text", "\n"), n - 1).alias(f) for f, n in LINES.items()}
+    docs = t("documents").select("doc_id", *line.values(), F.col("text").alias("objective"), F.col("source").alias("themes"), F.col("lang").alias("beneficiaries"))
+    return M.top_bm25f(docs, t("benchmark"), EIGHT, 5).select("item_id", "doc_id", F.round("bm25", 4).alias("bm25"), "rank")
+
+
 CONCEPTS = [("ia", "ia|data|the"), ("energie", "energie|und"), ("export", "export|les")]
 CONCEPT_RULES = [(n, f"(^|[^a-z0-9])({p})($|[^a-z0-9])") for n, p in CONCEPTS]
 CONCEPT_SQL = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({MATCHING.format(c='text')}, '{p}') THEN '{n}' END" for n, p in CONCEPT_RULES) + "], x -> x IS NOT NULL)"
