@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundsieve.functions import text as T
+
 from fundsieve.operators import catalogue as C
 
 PROVEN = ["A", "B"]
@@ -140,3 +142,13 @@ def watch_feed(changes: DataFrame, business: list[str], limits: dict[str, int])
     wanted = changes.where((F.col("type") != "MODIFICATION") | touches)
     parts = [wanted.where(F.col("type") == kind).orderBy(F.desc("changed_on"), "program_id").limit(k) for kind, k in limits.items()]
     return reduce(DataFrame.union, parts)
+
+
+def joined_feed(feed: DataFrame, programs: DataFrame, key: str, title: str) -> DataFrame:
+    """feed with the programme (programme_id, by) that each change is about: the one of its id, else the first of its normalised title; null where there is none."""
+    named = T.norm(F.col(title))
+    by_id = programs.select(F.col(key), F.lit(True).alias("_known")).distinct()
+    by_title = programs.select(key, named.alias("_title")).where("_title <> ''").groupBy("_title").agg(F.min(key).alias("_other"))
+    t = feed.join(by_id, key, "left").withColumn("_title", F.when(F.col("_known").isNull(), named)).join(by_title, "_title", "left")
+    by = F.when(F.col("_known"), "id").when(F.col("_other").isNotNull(), "title")
+    return t.withColumn("programme_id", F.when(F.col("_known"), F.col(key)).otherwise(F.col("_other"))).withColumn("by", by).drop("_known", "_title", "_other")

@@ -90,6 +90,13 @@ def assess(runs: DataFrame, sources: DataFrame) -> DataFrame:
     return t.select("cycle_id", "source_id", "import_ratio", F.array_join("reasons", "|").alias("reasons"), "ok", (F.col("ok") & ~control & (F.col("imported") > 0)).alias("lifecycle_safe"))
 
 
+def reason_counts(assessed: DataFrame, runs: DataFrame) -> DataFrame:
+    """(source_id, reason, runs, excluded): runs and rows not imported of each source by reason, and of all its runs (ALL)."""
+    named = F.filter(F.split("reasons", r"\|"), lambda r: r != "")
+    each = assessed.join(runs.select("cycle_id", "discovered", "imported"), "cycle_id").select("source_id", "discovered", "imported", F.explode(F.concat(F.array(F.lit("ALL")), named)).alias("reason"))
+    return each.groupBy("source_id", "reason").agg(F.count(F.lit(1)).alias("runs"), F.sum(F.col("discovered") - F.col("imported")).cast("long").alias("excluded"))
+
+
 def coverage_state(runs: DataFrame) -> DataFrame:
     """Per source: last success, and failures since then."""
     last = runs.groupBy("source_id").agg(F.max(F.when(F.col("success"), F.struct("checked_at", "cycle_id"))).alias("s"))

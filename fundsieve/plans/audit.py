@@ -386,6 +386,20 @@ def h4_watch_feed(t):
     return A.watch_feed(dated_changes(t), ["closing_date"], {"CREATION": 40, "MODIFICATION": 30, "SORTIE_PERIMETRE": 20}).select("program_id", "type", "fields", "changed_on")
 
 
+BUSINESS = ["title", "closing_date", "min_cost", "max_cost", "opening_date", "permanent", "scope", "region", "instrument", "company_categories", "cdc_link", "disbursement_terms", "repayment_terms"]
+FEED_TITLE = "CASE WHEN program_id % 4 = 0 THEN concat('  PROGRAMME ', CAST(program_id - program_id % 10 + 2 AS VARCHAR(20))) ELSE concat('Programme ', CAST(program_id AS VARCHAR(20))) END"
+
+
+@query(f"""WITH f AS (SELECT program_id, type, fields, changed_on, {FEED_TITLE} AS title FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY changed_on DESC, program_id) AS r FROM ({CHANGE_SQL}) WHERE type <> 'MODIFICATION' OR list_has_any(string_split(fields, '|'), {BUSINESS})) WHERE r <= CASE type WHEN 'CREATION' THEN 40 WHEN 'MODIFICATION' THEN 30 ELSE 20 END),
+p AS (SELECT {NORM.format(c='title')} AS name, min(program_id) AS other FROM fx_after GROUP BY 1)
+SELECT f.program_id, type, fields, changed_on, coalesce(a.program_id, other) AS programme_id, CASE WHEN a.program_id IS NOT NULL THEN 'id' WHEN other IS NOT NULL THEN 'title' END AS by FROM f LEFT JOIN fx_after a ON a.program_id = f.program_id LEFT JOIN p ON a.program_id IS NULL AND p.name = {NORM.format(c='f.title')}""")
+def h4_joined_feed(t):
+    feed = A.watch_feed(dated_changes(t), BUSINESS, {"CREATION": 40, "MODIFICATION": 30, "SORTIE_PERIMETRE": 20})
+    n = F.col("program_id")
+    named = F.when(n % 4 == 0, F.concat(F.lit("  PROGRAMME "), (n - n % 10 + 2).cast("string"))).otherwise(F.concat(F.lit("Programme "), n.cast("string")))
+    return A.joined_feed(feed.withColumn("title", named), t("fx_after"), "program_id", "title").select("program_id", "type", "fields", "changed_on", "programme_id", "by")
+
+
 # L: reporting
 
 

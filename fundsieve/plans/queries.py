@@ -317,6 +317,13 @@ def d6_accounting(t):
     return C.accounting(t("fx_run"))
 
 
+@query("""WITH j AS (SELECT r.*, s.strategy = 'control-only' AS control, min_expected, min_imported, min_import_ratio, CASE WHEN discovered > 0 THEN imported::DOUBLE / discovered WHEN imported > 0 THEN 1.0 ELSE 0.0 END AS ratio FROM fx_run r JOIN fx_source s USING (source_id)),
+k AS (SELECT source_id, discovered, imported, unnest(['ALL'] || list_filter([CASE WHEN NOT control AND min_expected > 0 AND discovered < min_expected THEN 'SUSPICIOUS_VOLUME' END, CASE WHEN NOT control AND imported < min_imported THEN 'LOW_IMPORTED_COUNT' END, CASE WHEN NOT control AND discovered > 0 AND ratio < min_import_ratio THEN 'LOW_IMPORT_RATIO' END, CASE WHEN NOT control AND imported = 0 THEN 'EMPTY_INGESTION' END], x -> x IS NOT NULL)) AS reason FROM j)
+SELECT source_id, reason, count(*) AS runs, sum(discovered - imported)::BIGINT AS excluded FROM k GROUP BY 1, 2""")
+def d6_reasons(t):
+    return C.reason_counts(C.assess(t("fx_run"), t("fx_source")), t("fx_run"))
+
+
 @query(f"SELECT count(*) AS occurrences, count(DISTINCT href) AS unique_urls, count(*) - count(DISTINCT href) AS duplicate_occurrences FROM ({LINK_SQL})")
 def d7_occurrences(t):
     return C.occurrence_counts(links(t), "href")

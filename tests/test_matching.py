@@ -138,3 +138,12 @@ def test_stale_only_by_a_safe_owner_and_unseen(spark):
     before = spark.createDataFrame([(1, 1, None), (2, 2, [1, 3]), (3, 2, None), (4, 1, []), (5, 9, [None, 1]), (6, None, None)], "k int, s int, al array<int>")
     seen, safe = spark.createDataFrame([(4,), (8,)], "k int"), spark.createDataFrame([(1,), (1,)], "s int")
     assert sorted(x.k for x in G.stale_by_owner(before, seen, safe, "k", "s", "al").collect()) == [1, 2, 5]
+
+
+def test_feed_joins_by_id_else_title(spark):
+    from fundsieve.operators import audit as A
+
+    programs = spark.createDataFrame([(1, "Aide au vélo"), (2, "Prêt vert"), (3, "prêt  vert"), (4, None)], "k long, title string")
+    feed = spark.createDataFrame([(1, "other"), (9, "PRET VERT"), (8, "unknown"), (7, None)], "k long, title string")
+    got = {x.k: (x.programme_id, x.by) for x in A.joined_feed(feed, programs, "k", "title").collect()}
+    assert got == {1: (1, "id"), 9: (2, "title"), 8: (None, None), 7: (None, None)}
