@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundsieve.llm.tables import components, cut
-from fundsieve.llm.words import gram_hashes, mix, slices, word_hashes
+from fundsieve.llm.tables import components, cut, small_batches
+from fundsieve.llm.words import gram_hashes, mix, slices, tidied, word_hashes
 
 
 CLASS = ["n_shingles", "digest", "digest2"]
+ENTRIES = 1 << 16
 
 
 def shingle_sets(column: pa.Array, n: int, kind: str) -> list[np.ndarray]:
@@ -86,7 +87,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
     def run(batches):
-        for t in batches:
+        for t in tidied(batches):
             keep = []
             a, b = ([np.asarray(x) for x in c.to_numpy(zero_copy_only=False)] for c in (t.column(2), t.column(3)))
             for x, y in zip(a, b, strict=True):
@@ -117,7 +118,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: in
     t = pairs.join(s.toDF("a", "sa", "na"), "a").join(s.toDF("b", "sb", "nb"), "b")
 
     def run(batches):
-        for x in batches:
+        for x in tidied(batches):
             sa, sb = (c.to_numpy(zero_copy_only=False) for c in (x.column(2), x.column(3)))
             keep = []
             for p, q in zip(sa, sb, strict=True):
@@ -155,10 +156,10 @@ def first_entries(ranked: DataFrame, percent: int, step: float) -> DataFrame:
     has beyond that (slack) before its first common element, for the smallest partner of the range.
     """
 
-    def run(batches):
-        log = lambda x: math.floor(math.log(x) / math.log(step))
-        for b in batches:
-            out = []
+    log = lambda x: math.floor(math.log(x) / math.log(step))
+
+    def parts(batches):
+        for b in tidied(batches):
             for node, comp, els, dfs, ws in zip(*(c.to_numpy(zero_copy_only=False) for c in b.columns), strict=True):
                 before = np.cumsum(ws) - ws
                 n = int(ws.sum())
@@ -169,10 +170,9 @@ def first_entries(ranked: DataFrame, percent: int, step: float) -> DataFrame:
                     at = np.flatnonzero((before <= slack) & (dfs > 1))
                     r = log(n)
                     one = np.ones(len(at), np.int64)
-                    out.append([els[at], one * min(r, q), one * max(r, q), one * (r <= q), one * (r >= q), one * node, one * comp, one * n, one * slack, at, before[at], ws[at], n - before[at] - ws[at]])
-            yield entries(out)
+                    yield [els[at], one * min(r, q), one * max(r, q), one * (r <= q), one * (r >= q), one * node, one * comp, one * n, one * slack, at, before[at], ws[at], n - before[at] - ws[at]]
 
-    return ranked.select("node", "comp", "els", "dfs", "ws").mapInArrow(run, ENTRY)
+    return ranked.select("node", "comp", "els", "dfs", "ws").mapInArrow(lambda batches: entry_batches(parts(batches)), ENTRY)
 
 
 def entries(parts: list[list[np.ndarray]], more: list[str] = ()) -> pa.RecordBatch:
@@ -182,12 +182,24 @@ def entries(parts: list[list[np.ndarray]], more: list[str] = ()) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(c.astype(kinds.get(n, np.int64))) for n, c in zip(names, cols, strict=True)], names)
 
 
+def entry_batches(parts, more: list[str] = ()):
+    """Record batches of about ENTRIES entries: a set makes as many as it has elements in its slack, so batches go by entries instead of sets."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= ENTRIES:
+            yield entries(held, more)
+            held, size = [], 0
+    if size:
+        yield entries(held, more)
+
+
 def longer_entries(some: DataFrame, ranked: DataFrame) -> DataFrame:
     """For each entry one for each element that may be the next that a pair shares, with the list that it came from (parent)."""
 
-    def run(batches):
-        for b in batches:
-            out = []
+    def parts(batches):
+        for b in tidied(batches):
             for key, r1, r2, is_low, is_high, node, comp, n, slack, pos, missed, got, _, els, dfs, ws in zip(*(c.to_numpy(zero_copy_only=False) for c in b.columns), strict=True):
                 ws, dfs, tail = ws[pos + 1 :], dfs[pos + 1 :], np.ascontiguousarray(els[pos + 1 :], np.int64)
                 upto = np.cumsum(ws) - ws + missed
@@ -196,10 +208,9 @@ def longer_entries(some: DataFrame, ranked: DataFrame) -> DataFrame:
                 with np.errstate(over="ignore"):
                     child = mix(mix(np.array([key], np.int64).view(np.uint64)) + tail[at].view(np.uint64)).view(np.int64)
                 shared = got + ws[at]
-                out.append([child, one * r1, one * r2, one * is_low, one * is_high, one * node, one * comp, one * n, one * slack, pos + 1 + at, upto[at], shared, n - upto[at] - shared, one * key])
-            yield entries(out, ["parent"])
+                yield [child, one * r1, one * r2, one * is_low, one * is_high, one * node, one * comp, one * n, one * slack, pos + 1 + at, upto[at], shared, n - upto[at] - shared, one * key]
 
-    return some.join(ranked.select("node", "els", "dfs", "ws"), "node").select(*ENTRY_NAMES, "els", "dfs", "ws").mapInArrow(run, ENTRY + ", parent long")
+    return some.join(ranked.select("node", "els", "dfs", "ws"), "node").select(*ENTRY_NAMES, "els", "dfs", "ws").mapInArrow(lambda batches: entry_batches(parts(batches), ["parent"]), ENTRY + ", parent long")
 
 
 def mixed_lists(keys: DataFrame, parent: list[str] = ()) -> DataFrame:
@@ -269,7 +280,7 @@ def same_id(sk: DataFrame, reps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96, hot: int = 48, kind: str = "space") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text, ...)."""
     least = least_shared(k, percent)
-    sk = cut(sketches(docs, n, k, kind))
+    sk = cut(sketches(small_batches(docs), n, k, kind))
     reps = cut(classes_of(sk))
     values = reps.select("node", "n_shingles", F.explode("sketch").alias("value"))
     held = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")

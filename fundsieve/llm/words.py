@@ -6,12 +6,15 @@ from two positions, so no Python object is made per word. Hashes are 64 bits wid
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
 PIECE = 1 << 18
+TIDY = 1 << 22
 U = np.uint64
 LOWER = np.array([b + 32 * (65 <= b <= 90) for b in range(256)], np.uint8)
 
@@ -121,9 +124,28 @@ def distinct_words(raw: np.ndarray, word: np.ndarray, start: np.ndarray, end: np
     return coded.dictionary.take(order), rank[coded.indices.to_numpy(zero_copy_only=False)]
 
 
+def give_back() -> None:
+    """Return to the system what Arrow's and C's allocators hold unused."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def tidied(batches):
+    """The record batches; after the last, the worker gives its unused memory back if the task had more than a little, as Spark keeps workers for later tasks."""
+    seen = 0
+    for b in batches:
+        seen += b.nbytes
+        yield b
+        del b
+    if seen > TIDY:
+        give_back()
+
+
 def slices(batches, column: int = 1, limit: int = 1 << 20):
     """The record batches in parts of about `limit` bytes of one text column, so that what is derived from a part stays small."""
-    for b in batches:
+    for b in tidied(batches):
         size = np.diff(utf8(b.column(column))[1])
         upto, lo = np.cumsum(size), 0
         while lo < b.num_rows:

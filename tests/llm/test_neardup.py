@@ -1,7 +1,12 @@
 """Hot lists of near-duplicates: candidates of template texts, and links against brute force in hard mixtures."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +87,34 @@ def test_elements_hold_shingles_of_the_same_classes(spark):
     sets = spark.createDataFrame([(1, [1, 2, 3, 9]), (2, [1, 2, 3, 8, 7]), (3, [3, 4])], "node long, shingles array<long>")
     got = {r.node: list(zip(r.dfs, r.ws, strict=True)) for r in neardup.elements(sets).collect()}
     assert got == {1: [(1, 1), (2, 2), (3, 1)], 2: [(1, 2), (2, 2), (3, 1)], 3: [(1, 1), (3, 1)]}
+
+
+def test_entries_come_in_bounded_batches():
+    part = lambda k, n: [np.full(n, k), *[np.ones(n, np.int64)] * 12]
+    sizes = [1, 0, 50_000, 40_000, 200_000, 3, 0, 65_536, 7]
+    got = list(neardup.entry_batches(part(k, n) for k, n in enumerate(sizes)))
+    assert [b.num_rows for b in got] == [90_001, 200_000, 65_539, 7]
+    assert np.concatenate([b.column(0).to_numpy() for b in got]).tolist() == np.repeat(np.arange(len(sizes)), sizes).tolist()
+    assert list(neardup.entry_batches(part(k, 0) for k in range(3))) == []
+
+
+def test_workers_give_unused_memory_back():
+    """Many small pieces freed under one that stays: C's allocator keeps them until asked."""
+    code = """
+import re
+import pyarrow as pa
+from fundsieve.llm.words import slices
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(["a " * (3 << 20)] * 2)], ["doc_id", "text"])
+before = held()
+for b in slices([batch]):
+    pieces = [bytes(1000) for _ in range(150_000)]
+    last = bytes(1000)
+    del pieces
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=60, cwd=Path(__file__).parents[2])
+    assert float(out.stdout) < 60
