@@ -131,7 +131,7 @@ def inferred_title(c: Column, generic: str, lines: int = 120) -> Column:
 
 def distinct_matches(items: Column, pattern: str, most: int, shortest: int = 12) -> Column:
     """The first distinct sentences that fit, joined by spaces; null without one."""
-    hits = F.slice(F.array_distinct(F.filter(items, lambda s: s.rlike(pattern) & (F.length(s) >= shortest))), 1, most)
+    hits = F.slice(F.array_distinct(F.filter(items, lambda s: T.found(s, pattern) & (F.length(s) >= shortest))), 1, most)
     return F.when(F.size(hits) > 0, F.array_join(hits, " "))
 
 
