@@ -207,7 +207,7 @@ ROLES = "(?i)(the|der|les|los) [a-zé]+ (of|und|de)"
 
 @query(f"SELECT doc_id, substring(list_filter({SENTENCES.format(c='text')}, x -> regexp_matches(x, '{ROLES}'))[1], 1, 850) AS evidence FROM documents")
 def c15_operator_evidence(t):
-    return t("documents").select("doc_id", F.substring(F.try_element_at(F.filter(T.sentences(F.col("text")), lambda s: s.rlike(ROLES)), F.lit(1)), 1, 850).alias("evidence"))
+    return t("documents").select("doc_id", F.substring(T.first_matching(T.sentences(F.col("text")), ROLES), 1, 850).alias("evidence"))
 
 
 @query(f"""WITH s AS ({SECTION_SQL}), p AS (SELECT page_id, {SENTENCES.format(c='k')} AS w FROM (SELECT page_id, {HTML_TEXT.format(c='html')} AS k FROM pages)) SELECT page_id, field, md5(substring(v, 1, 850)) AS digest, locator FROM (""" + " UNION ALL ".join(f"SELECT p.page_id, '{f}' AS field, coalesce(s.text, " + (f"list_filter(w, x -> regexp_matches(x, '{FALLBACK[f]}'))[1]" if f in FALLBACK else "NULL") + f") AS v, CASE WHEN s.text IS NOT NULL THEN 'section:{f}' ELSE 'page-text-match:{f}' END AS locator FROM p LEFT JOIN s ON s.page_id = p.page_id AND section = '{f}'" for f, _ in LEXICON) + ") WHERE v IS NOT NULL")
