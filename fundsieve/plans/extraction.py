@@ -245,8 +245,8 @@ COMPANY, CUE = "(?i)the|der|les", "(?i)and|und|pour"
 
 @query(f"SELECT doc_id, md5(CASE WHEN p > 0 THEN substring(text, greatest(1, p - 180), p - greatest(1, p - 180) + 300) END) AS snippet, md5(list_filter({SENTENCES.format(c='text')}, x -> regexp_matches(x, '{COMPANY}') AND regexp_matches(x, '{CUE}'))[1]) AS eligible FROM (SELECT *, strpos(lower(text), 'licensed under') AS p FROM documents)")
 def c19_official_page(t):
-    hit = F.try_element_at(F.filter(T.sentences(F.col("text")), lambda s: s.rlike(COMPANY) & s.rlike(CUE)), F.lit(1))
-    return t("documents").select("doc_id", F.md5(X.around(F.col("text"), F.instr(F.lower("text"), "licensed under"), 180, 300)).alias("snippet"), F.md5(hit).alias("eligible"))
+    hit = F.try_element_at(F.filter(T.sentences(F.col("text")), lambda s: T.found(s, COMPANY) & T.found(s, CUE)), F.lit(1))
+    return t("documents").select("doc_id", F.md5(X.around(F.col("text"), F.instr(T.lower(F.col("text")), "licensed under"), 180, 300)).alias("snippet"), F.md5(hit).alias("eligible"))
 
 
 EXCLUDED, TYPED, ELSE = [("LICENSED", "licensed under"), ("COOKIES", "cookies")], [("SUBVENTION", "the"), ("AVANCE_REMBOURSABLE", "und"), ("PRET_TAUX_ZERO", "los")], [("FRENCH_ONLY", "les|des")]
