@@ -267,8 +267,8 @@ def c20_instrument_rules(t):
 
 @query(f"SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'cookies|subscribe') THEN NULL ELSE coalesce(CASE WHEN p > 0 THEN md5(substring(text, greatest(1, p - 180), p - greatest(1, p - 180) + 260)) END, md5(list_filter({SENTENCES.format(c='text')}, x -> regexp_matches(x, '{COMPANY}') AND regexp_matches(x, '{CUE}'))[1])) END AS evidence FROM (SELECT *, strpos(lower(text), ' und ') AS p FROM documents)")
 def c21_enterprise_evidence(t):
-    low = F.lower("text")
-    hit = F.try_element_at(F.filter(T.sentences(F.col("text")), lambda s: s.rlike(COMPANY) & s.rlike(CUE)), F.lit(1))
+    low = T.lower(F.col("text"))
+    hit = F.try_element_at(F.filter(T.sentences(F.col("text")), lambda s: T.found(s, COMPANY) & T.found(s, CUE)), F.lit(1))
     return t("documents").select("doc_id", F.when(~low.rlike("cookies|subscribe"), F.coalesce(F.md5(X.around(F.col("text"), F.instr(low, " und "), 180, 260)), F.md5(hit))).alias("evidence"))
 
 

@@ -44,6 +44,6 @@ def test_sentences_lose_spaces_only(spark):
     assert row.s == ["none:", "first 1.", "1,2,3 ;", "2 two 2", "33.3"]
 
 
-@pytest.mark.parametrize("name", ["b9_sentences", "c14_regulatory_fallback", "c15_operator_evidence", "c16_evidence", "c19_official_page"])
+@pytest.mark.parametrize("name", ["b9_sentences", "c14_regulatory_fallback", "c15_operator_evidence", "c16_evidence", "c19_official_page", "c21_enterprise_evidence"])
 def test_odd_texts_equal_the_sql(spark, odd, name):
     assert differ(spark, connect(odd), __spark_entry__.queries()[name], __spark_entry__.oracle_sql()[name], odd) is None
