@@ -41,17 +41,78 @@ def within(left: DataFrame, right: DataFrame, left_time: str, right_time: str, s
     return a.join(b, "_bucket").drop("_bucket").withColumn("apart", apart).where(F.col("apart") <= 1_000_000 * seconds)
 
 
+def best_by_pairs(builds: DataFrame, runs: DataFrame, seconds: int) -> DataFrame:
+    """(build_id, source_id, f): the best run of each source for each build, from all pairs within the tolerance."""
+    fields = F.struct("success", "imported")
+    own = builds.join(runs, builds["cycle"] == runs["cycle_id"]).select("build_id", "source_id", F.struct(F.lit(0).cast("long").alias("kind"), F.lit(0).cast("long").alias("apart"), F.col("cycle_id")).alias("o"), fields.alias("f"))
+    near = within(builds, runs, "generated_at", "checked_at", seconds).select("build_id", "source_id", F.struct(F.lit(1).cast("long").alias("kind"), "apart", "cycle_id").alias("o"), fields.alias("f"))
+    return own.union(near).groupBy("build_id", "source_id").agg(F.min(F.struct("o", "f"))["f"].alias("f"))
+
+
+def reigns(runs: DataFrame, seconds: int) -> DataFrame:
+    """(source_id, first, last, f): the microseconds from first to last at which a run is its source's nearest within the tolerance; of equally near ones the smaller cycle_id."""
+    at = F.unix_micros(F.col("checked_at").cast("timestamp"))
+    t = runs.select("source_id", at.alias("at"), F.struct("cycle_id", F.struct("success", "imported").alias("f")).alias("r")).where("at IS NOT NULL")
+    t = t.groupBy("source_id", "at").agg(F.min("r").alias("r"))
+    w = Window.partitionBy("source_id").orderBy("at")
+    # Up to the middle between two runs the earlier one is nearest; in the middle itself the smaller of both.
+    twice, beats = F.col("at") + F.lead("at").over(w), F.col("r") <= F.lead("r").over(w)
+    t = t.withColumn("until", F.shiftright(twice - F.when(beats, 0).otherwise(1), 1))
+    micros = 1_000_000 * seconds
+    first = F.greatest(F.col("at") - micros, F.lag("until").over(w) + 1)
+    return t.select("source_id", first.alias("first"), F.least(F.col("at") + micros, "until").alias("last"), F.col("r.f").alias("f")).where("first <= last")
+
+
+def running_sums(rows: DataFrame, at: str, ties: str, names: list[str], partitions: int | None = None) -> DataFrame:
+    """rows with each named column replaced by its sum over all rows up to theirs in order of at, then ties: by ranges of `at`, whose sums are carried to the ranges behind them."""
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(rows.repartitionByRange(n, at).withColumn("_range", F.spark_partition_id()))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    sums = dealt.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in names])
+    sums = sums.select("_range", *[F.coalesce(F.sum(f"_{c}").over(ahead), F.lit(0)).alias(f"_{c}") for c in names])
+    inside = Window.partitionBy("_range").orderBy(at, ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = dealt.join(F.broadcast(sums), "_range").withColumns({c: F.col(f"_{c}") + F.sum(c).over(inside) for c in names})
+    return out.drop("_range", *[f"_{c}" for c in names])
+
+
 def fresh_coverage(builds: DataFrame, runs: DataFrame, seconds: int) -> DataFrame:
     """(build_id, fresh, successful, imported): the sources whose run nearest to the build's time is fresh: one of its own cycle, else one within the tolerance.
 
     builds: build_id, cycle, generated_at; runs: cycle_id, source_id, checked_at, success, imported. A run of the
     build's cycle comes before all others, then the nearest, then the smaller cycle_id.
+
+    Each run is its source's nearest for one stretch of time, so a build's totals are running sums of what begins and
+    ends before it, and no build meets the runs around it. For the few sources that have a run of the build's own cycle,
+    the nearest run is looked up in order of time and taken off. Only builds whose id stands for several are paired.
     """
-    fields = F.struct("success", "imported")
-    own = builds.join(runs, builds["cycle"] == runs["cycle_id"]).select("build_id", "source_id", F.struct(F.lit(0).cast("long").alias("kind"), F.lit(0).cast("long").alias("apart"), F.col("cycle_id")).alias("o"), fields.alias("f"))
-    near = within(builds, runs, "generated_at", "checked_at", seconds).select("build_id", "source_id", F.struct(F.lit(1).cast("long").alias("kind"), "apart", "cycle_id").alias("o"), fields.alias("f"))
-    best = own.union(near).groupBy("build_id", "source_id").agg(F.min(F.struct("o", "f"))["f"].alias("f"))
-    return best.groupBy("build_id").agg(F.count(F.lit(1)).alias("fresh"), F.count_if("f.success").alias("successful"), F.sum("f.imported").alias("imported"))
+    builds = written(builds.distinct().withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("build_id"))))
+    again = builds.where("_n > 1").drop("_n")
+    builds = builds.where("_n = 1").select("build_id", "cycle", F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at"))
+    names = ["fresh", "successful", "known", "imported"]
+
+    def counted(f: Column, sign: int) -> list[Column]:
+        values = [F.lit(1), f["success"].cast("int"), f["imported"].isNotNull().cast("int"), f["imported"]]
+        return [(F.coalesce(v.cast("long"), F.lit(0)) * sign).alias(n) for n, v in zip(names, values, strict=True)]
+
+    nearest = written(reigns(runs, seconds))
+    nobody = F.lit(None).cast(builds.schema["build_id"].dataType).alias("build_id")
+    changes = nearest.select("first", "last", "f")
+    steps = changes.select(F.col("first").alias("at"), nobody, F.lit(0).alias("asks"), *counted(F.col("f"), 1)).union(changes.select(F.col("last") + 1, nobody, F.lit(0), *counted(F.col("f"), -1)))
+    steps = steps.groupBy("at", "build_id", "asks").agg(*[F.sum(n).alias(n) for n in names])
+    asked = builds.where("at IS NOT NULL").select("at", "build_id", F.lit(1).alias("asks"), *[F.lit(0).cast("long").alias(n) for n in names])
+    near = running_sums(steps.union(asked), "at", "asks", names).where("asks = 1").select("build_id", *names)
+
+    # A run of the build's own cycle takes the place of its source's nearest one.
+    own = builds.join(runs, builds["cycle"] == runs["cycle_id"]).groupBy("build_id", "source_id", "at").agg(F.min(F.struct("success", "imported")).alias("f"))
+    own = written(own)
+    line = nearest.select("source_id", F.col("first").alias("at"), F.lit(0).alias("asks"), nobody, F.struct("last", "f").alias("now"))
+    line = line.union(own.where("at IS NOT NULL").select("source_id", "at", F.lit(1), "build_id", F.lit(None).cast(line.schema["now"].dataType)))
+    sofar = Window.partitionBy("source_id").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    off = line.withColumn("now", F.last("now", True).over(sofar)).where("asks = 1 AND at <= now.last")
+    parts = near.union(own.select("build_id", *counted(F.col("f"), 1))).union(off.select("build_id", *counted(F.col("now.f"), -1)))
+    parts = parts.union(best_by_pairs(again, runs, seconds).select("build_id", *counted(F.col("f"), 1)))
+    total = parts.groupBy("build_id").agg(*[F.sum(n).alias(n) for n in names]).where("fresh > 0")
+    return total.select("build_id", "fresh", "successful", F.when(F.col("known") > 0, F.col("imported")).alias("imported"))
 
 
 def sitemap_pages(maps: DataFrame, starts: DataFrame, most_maps: int | None = None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import random
 import re
+from datetime import datetime, timedelta
 
+from fundsieve.operators import ordering as N
 from fundsieve.operators import search as L
 
 
@@ -19,3 +21,24 @@ def test_substring_search_shuffles_no_pairs(spark):
     terms = lambda q: {w[:-1] if len(w) > 4 and w.endswith("s") else w for w in q.split() if len(w) > 1}
     want = [(q, d) for q, asks in asked for d, text in docs if terms(asks) and all(w in text.lower() for w in terms(asks))]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_coverage_by_running_sums_equals_pairs(spark):
+    r = random.Random(11)
+    when = lambda: None if r.random() < 0.05 else datetime(1969, 12, 31, 22) + timedelta(seconds=r.randrange(0, 9000, 300), microseconds=r.randrange(3))
+    runs = [(r.choice([None, *range(40)]), r.choice([None, 1, 2, 3]), when(), r.choice([None, True, False]), r.choice([None, 1, 5])) for _ in range(120)]
+    builds = [(r.choice([None, *range(30)]), r.choice([None, *range(40)]), when()) for _ in range(40)]
+    builds += builds[:5]
+    b, t = spark.createDataFrame(builds, "build_id long, cycle long, generated_at timestamp"), spark.createDataFrame(runs, "cycle_id long, source_id long, checked_at timestamp, success boolean, imported int")
+    for seconds in (600, 1):
+        pairs = N.best_by_pairs(b, t, seconds).collect()
+        want = {}
+        for x in pairs:
+            n, ok, got = want.get(x.build_id, (0, 0, None))
+            want[x.build_id] = (n + 1, ok + bool(x.f.success), got if x.f.imported is None else (got or 0) + x.f.imported)
+        assert {x.build_id: (x.fresh, x.successful, x.imported) for x in N.fresh_coverage(b, t, seconds).collect()} == want
+        # Each microsecond belongs to one run of a source at most.
+        last = {}
+        for x in N.reigns(t, seconds).orderBy("source_id", "first").collect():
+            assert last.get(x.source_id, x.first - 1) < x.first <= x.last
+            last[x.source_id] = x.last
