@@ -29,7 +29,7 @@ def page_worth(page: Column, catalogue_paths: list[str]) -> Column:
     return F.struct((~page.rlike(DOCUMENT)).cast("int").alias("is_page"), kind.alias("kind"))
 
 
-def fold_records(records: DataFrame, key: list[str], order: list[str], rank: Column, catalogue_paths: list[str], scalars: list[str] = (), at_least: list[str] = (), unions: list[str] = (), chains: list[str] = ()) -> DataFrame:
+def fold_records(records: DataFrame, key: list[str], order: list[str], rank: Column, catalogue_paths: list[str], scalars: list[str] = (), at_least: list[str] = (), unions: list[str] = (), chains: list[str] = (), together: int = 1000) -> DataFrame:
     """One record per key from records in order, as a fold of each into what the ones before gave.
 
     Columns: title, official_page, lifecycle, last_seen, tier and the named ones. `order` must tell a key's records apart.
@@ -43,43 +43,47 @@ def fold_records(records: DataFrame, key: list[str], order: list[str], rank: Col
     - last_seen: the last one. tier: the first of the highest rank. Each is null or the first record's where none has it.
 
     The highest rank before each record comes from one window, what each record would put in follows, and the last of
-    these is the result; unions combine before their shuffle.
+    these is the result. Records that come dealt by key and in order are neither shuffled nor sorted again, so columns
+    derived after that cost no disk. Lists are made distinct for every `together` records, then for the key.
     """
-    before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    at = F.struct(*order)
-    rows = records.withColumn("_rank", rank).withColumn("_most", F.max("_rank").over(before))
-    above = F.col("_rank") > F.col("_most")
+    whole = Window.partitionBy(*key).orderBy(*order)
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_at")
     some = lambda c: F.coalesce(F.col(c).cast("string") != "", F.lit(False))
-    named = ~names_nothing(F.col("title"))
-    rows = rows.withColumn("_named", F.max(named.cast("int")).over(before))
+    rows = records.withColumns({"_rank": rank, "_names": ~names_nothing(F.col("title"))})
+    had = {f"_had_{c}": F.count(F.when(some(c), 1)).over(before) for c in scalars}
+    rows = rows.withColumns({"_at": F.row_number().over(whole), "_most": F.max("_rank").over(before), "_named": F.max(F.col("_names").cast("int")).over(before)} | had)
+    above, named = F.col("_rank") > F.col("_most"), F.col("_names")
     title = named & (F.coalesce(F.col("_named"), F.lit(0)) == 0) | named & ~F.coalesce(F.col("official_page").rlike(DOCUMENT), F.lit(False)) & F.coalesce(above, F.lit(False))
     took = {"title": title, "last_seen": some("last_seen")}
     for c in scalars:
-        rows = rows.withColumn(f"_had_{c}", F.count(F.when(some(c), 1)).over(before))
         took[c] = some(c) & ((F.col(f"_had_{c}") == 0) | above)
     for c in at_least:
         took[c] = F.col("_most").isNull() | F.col(c).isNotNull() & (F.col("_rank") >= F.col("_most"))
-    last = [F.max(F.when(cond, F.struct(at.alias("at"), F.col(c).alias("v")))).alias(f"_{c}") for c, cond in took.items()]
-    first = F.min(F.struct(at.alias("at"), *[F.col(c) for c in dict.fromkeys([*took, *unions, "lifecycle", "official_page"])])).alias("_first")
-    page = F.max(F.when(some("official_page"), F.struct(page_worth(F.col("official_page"), catalogue_paths).alias("worth"))))
+    last = [F.max(F.when(cond, F.struct(at, F.col(c).alias("v")))).alias(f"_{c}") for c, cond in took.items()]
+    first = F.min(F.struct(at, *[F.col(c) for c in dict.fromkeys([*took, "lifecycle", "official_page"])])).alias("_first")
+    # The first record of the best page and of the highest tier: the least by what is worse, then by place.
+    worth = page_worth(F.col("official_page"), catalogue_paths)
+    best = F.min(F.when(some("official_page"), F.struct((-worth["is_page"]).alias("a"), (-worth["kind"]).alias("b"), at, F.col("official_page").alias("v"))))["v"].alias("_best")
+    tier = F.min(F.when(F.col("_rank").isNotNull(), F.struct((-F.col("_rank")).alias("a"), at, F.col("tier").alias("v"))))["v"].alias("tier")
     states = [F.max((F.col("lifecycle") == s).cast("int")).alias(f"_is_{s}") for s in LIFECYCLE]
-    joined = [F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(at.alias("at"), F.coalesce(F.col(c), F.array()).alias("v")))), lambda x: x["v"])).alias(c) for c in chains]
-    out = rows.groupBy(*key).agg(*last, first, page.alias("_page"), F.max("_rank").alias("tier_rank"), F.count(F.lit(1)).alias("records"), *states, *joined)
-
-    # The first record of the best page and of the highest tier, for the key's own best.
-    tops = rows.join(out.select(*key, "_page", "tier_rank"), key)
-    is_best = some("official_page") & (F.struct(page_worth(F.col("official_page"), catalogue_paths).alias("worth")) == F.col("_page"))
-    tops = tops.groupBy(*key).agg(F.min(F.when(is_best, F.struct(at.alias("at"), F.col("official_page").alias("v"))))["v"].alias("_best"), F.min(F.when(F.col("_rank") == F.col("tier_rank"), F.struct(at.alias("at"), F.col("tier").alias("v"))))["v"].alias("tier"))
-    out = out.join(tops, key)
-    if unions:
-        stacked = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("values")) for c in unions])
-        each = records.select(*key, at.alias("at"), F.explode(stacked).alias("e")).select(*key, "at", F.col("e.field").alias("field"), F.posexplode("e.values").alias("pos", "value"))
-        each = each.where("value <> ''").groupBy(*key, "field", "value").agg(F.min(F.struct("at", "pos")).alias("at"))
-        lists = each.groupBy(*key).agg(*[F.transform(F.sort_array(F.collect_list(F.when(F.col("field") == c, F.struct("at", "value")))), lambda x: x["value"]).alias(f"_u_{c}") for c in unions])
-        out = out.join(lists, key, "left")
+    out = rows.groupBy(*key).agg(*last, first, best, tier, F.max("_rank").alias("tier_rank"), F.count(F.lit(1)).alias("records"), *states)
+
+    if unions or chains:
+        listed = records.withColumn("_at", F.row_number().over(whole)).select(*key, "_at", F.floor(at / together).alias("_part"), *unions, *chains)
+        held = lambda c: F.filter(c, lambda x: x != "")
+        empty = lambda c: F.array().cast(records.schema[c].dataType)
+        inside = lambda c, by, v: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(F.col(by).alias("n"), v.alias("v")))), lambda x: x["v"]))
+        parts = listed.groupBy(*key, "_part").agg(*[F.array_distinct(inside(c, "_at", F.coalesce(held(c), empty(c)))).alias(c) for c in unions], *[inside(c, "_at", F.coalesce(c, empty(c))).alias(c) for c in chains], F.min(F.struct(at, *unions)).alias("_lone"))
+        lists = parts.groupBy(*key).agg(*[F.array_distinct(inside(c, "_part", F.col(c))).alias(f"_u_{c}") for c in unions], *[inside(c, "_part", F.col(c)).alias(c) for c in chains], F.min("_lone").alias("_lone"))
+        # Equal keys need no further shuffle; the few with a null in them, which a join on keys would lose, go apart.
+        some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+        apart, null_lists = out.where(some_null), lists.where(some_null)
+        apart = apart.join(null_lists, [apart[k].eqNullSafe(null_lists[k]) for k in key]).drop(*[null_lists[k] for k in key])
+        out = out.where(~some_null).join(lists, key).unionByName(apart)
     state = reduce(lambda t, s: F.when(F.col(f"_is_{s}") == 1, s).otherwise(t), reversed(LIFECYCLE), F.col("_first.lifecycle"))
     value = lambda c: F.when(F.col(f"_{c}").isNotNull(), F.col(f"_{c}.v")).otherwise(F.col(f"_first.{c}")).alias(c)
-    union = lambda c: F.when(F.col("records") == 1, F.col(f"_first.{c}")).otherwise(F.coalesce(f"_u_{c}", F.array().cast("array<string>"))).alias(c)
+    union = lambda c: F.when(F.col("records") == 1, F.col(f"_lone.{c}")).otherwise(F.col(f"_u_{c}")).alias(c)
     alone = F.when(F.col("records") == 1, F.col("_first.official_page"))
     return out.select(*key, *[value(c) for c in took], F.coalesce("_best", alone).alias("official_page"), state.alias("lifecycle"), "tier", "tier_rank", "records", *[union(c) for c in unions], *chains)
 

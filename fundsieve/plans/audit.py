@@ -119,11 +119,13 @@ SELECT o.program_id, {', '.join(f"coalesce(arg_max({c}, rn) FILTER ({c} <> '' AN
  CASE WHEN bool_or(lifecycle = 'ACTIVE') THEN 'ACTIVE' WHEN bool_or(lifecycle = 'STALE') THEN 'STALE' WHEN bool_or(lifecycle = 'ARCHIVE') THEN 'ARCHIVE' ELSE first(lifecycle ORDER BY rn) END AS lifecycle,
  arg_max(last_seen, rn) AS last_seen, arg_max(tier, rk * 1000 - rn) AS tier, max(rk)::INTEGER AS tier_rank, count(*) AS records FROM o LEFT JOIN v USING (program_id) GROUP BY 1""")
 def e7_whole_fold(t):
-    rows = t("fx_evidence").withColumn("q", F.expr("CAST(substring(evidence_text, 7) AS INT)"))
-    rows = rows.selectExpr("*", *RECORD_COLUMNS)
+    order = ["seq", "source_url", "checked_on", "evidence_text", "tier"]
+    # Dealt and sorted while rows are narrow; the many columns are made behind that.
+    rows = t("fx_evidence").select("program_id", *order).repartition("program_id").sortWithinPartitions("program_id", *order)
+    rows = rows.withColumn("q", F.expr("CAST(substring(evidence_text, 7) AS INT)")).selectExpr("*", *RECORD_COLUMNS)
     for c in UNIONS:
         rows = rows.withColumn(c, F.split(c, r"\|"))
-    merged = G.fold_records(rows, ["program_id"], ["seq", "source_url", "checked_on", "evidence_text", "tier"], C.tier_rank(F.col("tier")), CATALOGUE_PATHS, SCALARS, FROM_EQUAL, UNIONS)
+    merged = G.fold_records(rows, ["program_id"], order, C.tier_rank(F.col("tier")), CATALOGUE_PATHS, SCALARS, FROM_EQUAL, UNIONS)
     return merged.select(*[F.array_join(c, "|").alias(c) if c in UNIONS else c for c in merged.columns])
 
 

@@ -4,6 +4,9 @@ import random
 import re
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
+from fundsieve.operators import merging as G
 from fundsieve.operators import ordering as N
 from fundsieve.operators import search as L
 
@@ -42,3 +45,21 @@ def test_coverage_by_running_sums_equals_pairs(spark):
         for x in N.reigns(t, seconds).orderBy("source_id", "first").collect():
             assert last.get(x.source_id, x.first - 1) < x.first <= x.last
             last[x.source_id] = x.last
+
+
+def test_fold_moves_dealt_records_once_and_keeps_null_keys(spark):
+    r = random.Random(5)
+    rows = [(r.choice([None, 1, 2, 3]), i, r.choice(["A", "B", None]), r.choice([None, "", "x y z", "abcd"]), r.choice([None, ["a", "", "b"], ["c", "a"], []]), r.choice([None, ["p", ""], ["p"]])) for i in range(60)] + [(9, 100, "C", "t", ["", "z"], None)]
+    t = spark.createDataFrame(rows, "k long, seq int, tier string, v string, u array<string>, chain array<string>")
+    t = t.repartition("k").sortWithinPartitions("k", "seq")
+    nothing = {c: F.lit(None).cast("string") for c in ("title", "official_page", "lifecycle", "last_seen")}
+    got = G.fold_records(t.withColumns(nothing), ["k"], ["seq"], F.when(F.col("tier") == "A", 2).when(F.col("tier") == "B", 1), [], ["v"], [], ["u"], ["chain"], together=3)
+    dealt = re.findall(r"Exchange hashpartitioning\((k#\d+L), \d+\), (\w+)", plan(got))
+    assert dealt and all(how == "REPARTITION_BY_COL" for _, how in dealt)
+    want = {}
+    for k, _, _, _, u, chain in sorted(rows, key=lambda x: x[1]):
+        us, cs = want.setdefault(k, ([], []))
+        us += [x for x in u or [] if x and x not in us]
+        cs += chain or []
+    want[9] = (["", "z"], [])  # a lone record's list stays as it is
+    assert {x.k: (x.u, x.chain) for x in got.collect()} == want
