@@ -4,8 +4,10 @@ import random
 import re
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from fundsieve.operators import merging as G
 from fundsieve.operators import ordering as N
 from fundsieve.operators import search as L
@@ -63,3 +65,15 @@ def test_fold_moves_dealt_records_once_and_keeps_null_keys(spark):
         cs += chain or []
     want[9] = (["", "z"], [])  # a lone record's list stays as it is
     assert {x.k: (x.u, x.chain) for x in got.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["k8_eligibility"])
+def test_pairs_are_made_where_programmes_lie(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(__spark_entry__.queries()[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [territory_key" in text and "SortMergeJoin [territory_key" not in text
+    # Nothing behind the pairs is shuffled.
+    assert not re.search(r"Exchange (?!Broadcast)[^\n]*company_id", text.split("BroadcastHashJoin [territory_key")[0])
