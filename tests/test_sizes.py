@@ -67,7 +67,7 @@ def test_fold_moves_dealt_records_once_and_keeps_null_keys(spark):
     assert {x.k: (x.u, x.chain) for x in got.collect()} == want
 
 
-@pytest.mark.parametrize("name", ["k8_eligibility", "k14_points_to_secure", "k7_relevance"])
+@pytest.mark.parametrize("name", ["k8_eligibility", "k14_points_to_secure", "k7_relevance", "k5_fit_scores"])
 def test_pairs_are_made_where_programmes_lie(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
