@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from fundsieve.operators import merging as G
 from fundsieve.operators import ordering as N
+from fundsieve.operators import scoring as S
 from fundsieve.operators import search as L
+from fundsieve.plans import search as P
 
 
 def plan(df) -> str:
@@ -77,3 +79,20 @@ def test_pairs_are_made_where_programmes_lie(spark, name):
     assert "BroadcastHashJoin [territory_key" in text and "SortMergeJoin [territory_key" not in text
     # Nothing behind the pairs is shuffled.
     assert not re.search(r"Exchange (?!Broadcast)[^\n]*company_id", text.split("BroadcastHashJoin [territory_key")[0])
+
+
+def test_shortlist_of_leading_pairs_equals_that_of_all(spark):
+    r = random.Random(2)
+    day = datetime(1998, 6, 30)
+    programs = [(i, r.choice([None, True, False]), r.choice([None, (day + timedelta(days=r.randrange(-3, 3))).date()]), r.choice([None, *range(0, 90, 10)]), r.choice([None, *range(10, 200, 10)]), r.choice(["PRET", "OTHER"]), r.choice(["NATIONAL", "REGIONAL"]), r.choice(["ASIA", "EUROPE", None]), r.choice([None, "PME", "PME|GE"])) for i in range(700)]
+    asked = [(i, r.choice(["PME", "GE", "À préciser"]), r.choice([None, 0, 5, 30, 60, 1000]), r.choice(["ASIA", "EUROPE", "AFRICA", None])) for i in range(60)]
+    q = spark.createDataFrame(programs, "program_id long, permanent boolean, closing_date date, min_cost int, max_cost int, instrument string, scope string, region string, company_categories string").withColumns({c: F.col(c).cast("double") for c in ("min_cost", "max_cost")})
+    p = spark.createDataFrame(asked, "company_id long, category string, budget int, company_region string").withColumn("budget", F.col("budget").cast("double"))
+    score = lambda p, q, pair: P.scored(S.fit_scores(p, q, P.day(), P.has_terms(), pair=pair))
+    tiers = [("A", (F.col("score") >= 90) & (F.col("documented") >= 4), 2), ("B", (F.col("score") >= 70) & (F.col("documented") >= 3), 3), ("C", F.lit(True), 2)]
+    order = [F.desc("score"), "program_id"]
+    want = S.shortlist(score(p, q, S.by_territory), "company_id", "program_id", order, tiers)
+    leading = S.leading_pairs(p, q, score, "company_id", "program_id", P.kinds(), "min_cost", "max_cost", tiers, first=2, growth=3)
+    got = S.shortlist(leading, "company_id", "program_id", order, tiers)
+    rows = lambda t: sorted((x.company_id, x.program_id, x.score, x.tier) for x in t.collect())
+    assert rows(got) == rows(want) and leading.count() < score(p, q, S.by_territory).count() / 4
