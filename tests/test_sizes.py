@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from fundsieve.operators import locate
 from fundsieve.operators import merging as G
 from fundsieve.operators import ordering as N
 from fundsieve.operators import scoring as S
@@ -96,3 +97,17 @@ def test_shortlist_of_leading_pairs_equals_that_of_all(spark):
     got = S.shortlist(leading, "company_id", "program_id", order, tiers)
     rows = lambda t: sorted((x.company_id, x.program_id, x.score, x.tier) for x in t.collect())
     assert rows(got) == rows(want) and leading.count() < score(p, q, S.by_territory).count() / 4
+
+
+def test_pieces_and_pages_pick_the_same_runs(spark):
+    r = random.Random(6)
+    for letters in ("abé \U0001f642", "a"):
+        text = "".join(r.choice(letters) for _ in range(400))
+        at, numbers = locate.picks(text, 70)
+        page = dict(zip(at.tolist(), numbers.tolist(), strict=True))
+        for i in range(len(text) - 69):
+            inside, number = locate.picks(text[i : i + 70], 70)
+            assert page[i + int(inside[0])] == int(number[0])
+    pages = spark.createDataFrame([(1, 0, text)], "doc_id long, page int, text string")
+    # No text goes with the runs that pages and pieces meet by.
+    assert [f.name for f in locate.picked(pages, ["doc_id", "page"], "text", 70, False).schema] == ["doc_id", "page", "at", "hash"]
