@@ -23,7 +23,7 @@ def slid(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
 
 def hashes(text: str) -> np.ndarray:
     """A number for each run of SIZE characters of a text."""
-    h, base, reach = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15), 1
+    h, base, reach = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1), np.array([0x9E3779B97F4A7C15], np.uint64), 1
     while reach < SIZE:
         h = h[:-reach] + base * h[reach:]
         base, reach = base * base, 2 * reach
@@ -46,8 +46,7 @@ def picked(rows: DataFrame, keys: list[str], text: str, length: int, first: bool
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in frames:
             t = t[t["_text"].map(len) >= length]
-            with np.errstate(over="ignore"):
-                found = [picks(x, length) for x in t["_text"]]
+            found = [picks(x, length) for x in t["_text"]]
             if first:
                 found = [(at[:1], h[:1]) for at, h in found]
             out = t[keys].loc[t.index.repeat([len(at) for at, _ in found])].reset_index(drop=True)
